@@ -17,6 +17,7 @@ Two page fetchers:
 from __future__ import annotations
 
 import json
+import sys
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -162,6 +163,11 @@ class PagedSource(DataSource):
 def read_pages(spark: SparkSession, *, path: str | None = None, url: str | None = None,
                pages: int | None = None, pages_per_partition: int = 16, **options) -> DataFrame:
     """Raw ``(page, record)`` rows of a paged source (records as JSON text)."""
+    # The reader needs only this module; ship it by value so executors do not
+    # have to import the package.
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PagedSource)
     reader = spark.read.format(SOURCE_NAME).option("pages_per_partition", pages_per_partition)
     if path:
