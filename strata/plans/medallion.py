@@ -89,8 +89,10 @@ def bronze_stage(run: MedallionRun, source: DataFrame, run_ts=None) -> int:
 def silver_stage(run: MedallionRun) -> int:
     """Trim/rename/select, de-duplicate deterministically, write the Silver snapshot."""
     spec = run.spec
-    cleaned = clean(run.read("bronze"), spec.silver_columns)
-    silver = dedup(cleaned, spec.keys, spec.version, spec.keep)
+    outputs = {dst for _, dst, _ in spec.silver_columns}
+    carried = [v for v in spec.version if v not in outputs]  # version columns Silver drops
+    cleaned = clean(run.read("bronze"), [*spec.silver_columns, *[(v, v, False) for v in carried]])
+    silver = dedup(cleaned, spec.keys, spec.version, spec.keep).drop(*carried)
     checked = [c for c in spec.null_check if c in silver.columns]
     obs = Observation("silver")
     silver = silver.observe(obs, F.count(F.lit(1)).alias("rows"),

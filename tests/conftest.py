@@ -1,0 +1,31 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from strata.session import local_session
+
+    s = local_session(4, shuffle_partitions=8, app="strata-tests")
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def base(tmp_path):
+    """A private folder for layer output (tests only; jobs use the checkpoint dir)."""
+    return str(tmp_path / "lake")
+
+
+def rows(df, *cols):
+    """Sorted list of tuples of ``cols`` (all columns when omitted)."""
+    sel = df.select(*cols) if cols else df
+    return sorted((tuple(r) for r in sel.collect()), key=repr)

@@ -1,0 +1,91 @@
+"""Bronze contract, conforming projection and schema checks."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.functions.contracts import (
+    BRONZE_CONTRACT, BRONZE_FIELDS, SchemaMismatchError, all_strings, assert_schema, conform,
+    missing_columns, schema_diff,
+)
+from strata.operators.bronze import from_json_records, normalize_strings
+
+FULL_ROW = {
+    "id": "5128df48-79fc-4f0f-8b52-d06be54d0cec", "name": "(405) Brewing Co",
+    "brewery_type": "micro", "address_1": "1716 Topeka St", "address_2": None,
+    "address_3": None, "city": "Norman", "state_province": "Oklahoma",
+    "postal_code": "73069-8224", "country": "United States", "county_province": None,
+    "phone": "4058160490", "website_url": "http://www.405brewing.com",
+    "updated_at": "2023-01-04T04:46:02.393Z", "created_at": "2023-01-04T04:46:02.393Z",
+}
+
+
+def test_contract_shape():
+    assert BRONZE_CONTRACT.fieldNames() == list(BRONZE_FIELDS)
+    assert len(BRONZE_FIELDS) == 15
+    assert all(isinstance(f.dataType, T.StringType) for f in BRONZE_CONTRACT.fields)
+    assert [f.name for f in BRONZE_CONTRACT.fields if not f.nullable] == ["name"]
+
+
+def test_full_valid_row_passes_strict_check(spark):
+    df = spark.createDataFrame([FULL_ROW], BRONZE_CONTRACT)
+    assert assert_schema(df, BRONZE_CONTRACT) is df
+
+
+def test_conform_fills_missing_and_drops_extra(spark):
+    df = spark.createDataFrame([(1, "Brewery 1", "CA", "extra")], "id int, name string, state string, x string")
+    out = conform(df, BRONZE_CONTRACT)
+    assert out.columns == list(BRONZE_FIELDS)
+    r = out.first()
+    assert r["id"] == "1" and r["name"] == "Brewery 1" and r["city"] is None
+    assert "x" not in out.columns and "state" not in out.columns
+
+
+def test_spark_cast_semantics_for_text(spark):
+    df = spark.createDataFrame([(True, 1.5, 10)], "b boolean, d double, i long")
+    r = normalize_strings(df).first()
+    assert (r["b"], r["d"], r["i"]) == ("true", "1.5", "10")
+
+
+def test_parquet_roundtrip_needs_lenient_check(spark, base):
+    df = spark.createDataFrame([FULL_ROW], BRONZE_CONTRACT)
+    df.write.parquet(base)
+    back = spark.read.parquet(base)
+    with pytest.raises(SchemaMismatchError, match="nullable"):
+        assert_schema(back, BRONZE_CONTRACT, strict=True)
+    assert_schema(back, BRONZE_CONTRACT, strict=False)
+
+
+def test_schema_diff_reports_missing_type_and_order():
+    a = T.StructType([T.StructField("b", T.IntegerType()), T.StructField("a", T.StringType())])
+    e = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType()),
+                      T.StructField("c", T.StringType())])
+    diff = schema_diff(a, e)
+    assert "missing field 'c'" in diff
+    assert any("type int != string" in d for d in diff)
+    ok = T.StructType([T.StructField("b", T.StringType()), T.StructField("a", T.StringType())])
+    assert schema_diff(ok, all_strings(["a", "b"])) == ["field order differs"]
+    assert schema_diff(ok, all_strings(["a", "b"]), order=False) == []
+
+
+def test_mixed_number_types_never_break_the_load(spark):
+    records = spark.createDataFrame(
+        [('{"id": 1, "name": "a"}',), ('{"id": 1.0, "name": "b", "extra": true}',),
+         ('{"name": "c"}',)], "record string")
+    out = from_json_records(records, BRONZE_CONTRACT)
+    got = sorted(((r["id"], r["name"]) for r in out.select("id", "name").collect()), key=lambda t: t[1])
+    assert got == [("1", "a"), ("1.0", "b"), (None, "c")]
+
+
+def test_missing_columns_is_metadata_only(spark):
+    df = spark.createDataFrame([("CA",)], "state string")
+    assert missing_columns(df, ["state", "brewery_type", "qty"]) == ["brewery_type", "qty"]
+
+
+def test_name_required_is_reportable(spark):
+    from strata.operators.quality import Rule, check
+
+    df = conform(spark.createDataFrame([("1", None), ("2", "x")], "id string, name string"),
+                 BRONZE_CONTRACT)
+    report = {r["rule"]: r for r in check(df, [Rule("name_required", F.col("name").isNull())]).collect()}
+    assert report["name_required"]["failed"] == 1 and not report["name_required"]["passed"]

@@ -1,0 +1,80 @@
+"""Gold aggregates."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.functions.contracts import EmptyInputError
+from strata.operators.gold import (
+    count_by, count_non_null_keys, date_part_stats, gold_top_n, point_lookup, stats_by,
+)
+from strata.operators.quality import check_gold, guard_non_empty
+from tests.conftest import rows
+
+F4 = [(1, "CA", "micro"), (2, "CA", "micro"), (3, "NY", "nano"), (4, "NY", "micro"),
+      (5, "NY", "micro")]
+
+
+@pytest.fixture()
+def silver(spark):
+    return spark.createDataFrame(F4, "id bigint, state string, brewery_type string")
+
+
+def test_fixture_counts(silver):
+    gold = count_by(silver)
+    assert gold.columns == ["state", "brewery_type", "qty"]
+    assert rows(gold) == [("CA", "micro", 2), ("NY", "micro", 2), ("NY", "nano", 1)]
+    assert gold.filter(F.col("state").isNull() | F.col("brewery_type").isNull()
+                       | F.col("qty").isNull()).count() == 0
+
+
+def test_order_is_total(silver):
+    assert [tuple(r) for r in count_by(silver).collect()] == [
+        ("CA", "micro", 2), ("NY", "micro", 2), ("NY", "nano", 1)]
+
+
+def test_point_lookup(silver):
+    assert rows(point_lookup(count_by(silver), state="CA", brewery_type="micro")) == [
+        ("CA", "micro", 2)]
+
+
+def test_empty_input_raises(spark):
+    empty = spark.createDataFrame([], "id int, state string, brewery_type string")
+    with pytest.raises(EmptyInputError, match="empty"):
+        guard_non_empty(empty, "silver")
+
+
+def test_null_id_group_has_zero_and_fails_rule(spark):
+    df = spark.createDataFrame([(None, "TX", "micro"), (None, "TX", "micro")],
+                               "id string, state string, brewery_type string")
+    gold = count_by(df)
+    assert rows(gold) == [("TX", "micro", 0)]
+    report = {r["rule"]: r for r in check_gold(gold).collect()}
+    assert report["positive_measure"]["failed"] == 1
+
+
+def test_top_n_and_non_null_keys(spark, silver):
+    assert rows(gold_top_n(count_by(silver, order=False), 1)) == [("CA", "micro", 2)]
+    df = silver.union(spark.createDataFrame([(6, None, "micro")], silver.schema))
+    assert rows(count_non_null_keys(df, ["state", "brewery_type"])) == [
+        ("CA", "micro", 2), ("NY", "micro", 2), ("NY", "nano", 1)]
+    assert ("", ) not in rows(count_by(df, ["state"], None, "n"))
+    assert (None, 1) in rows(count_by(df, ["state"], None, "n"))
+
+
+def test_stats_are_exact_and_order_independent(spark):
+    vals = [0.1] * 10 + [0.2] * 10
+    df = spark.createDataFrame([("a", v) for v in vals], "k string, x double")
+    r = stats_by(df, ["k"], "x").first()
+    assert r["sum_x"] == 3.0 and r["n"] == 20 and r["avg_x"] == 3.0 / 20
+    r2 = stats_by(df.repartition(7).orderBy(F.rand(1)), ["k"], "x").first()
+    assert r2 == r
+
+
+def test_date_part_stats(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(dt.datetime(2026, 2, 1, 10), 1.25), (dt.datetime(2026, 2, 1, 23), 2.5),
+                                (dt.datetime(2026, 3, 1), 4.0)], "ts timestamp_ntz, v double")
+    got = {(r["year"], r["month"], r["day"]): (r["n"], r["sum_v"]) for r in
+           date_part_stats(df, "ts", "v").collect()}
+    assert got == {(2026, 2, 1): (2, 3.75), (2026, 3, 1): (1, 4.0)}

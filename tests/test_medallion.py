@@ -1,0 +1,75 @@
+"""The whole Bronze → Silver → Gold → quality run (G1-G8) on fixture records."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from strata.functions.contracts import BRONZE_CONTRACT, EmptyInputError
+from strata.operators.quality import DataQualityError
+from strata.plans.medallion import MedallionSpec, run_medallion
+from strata.sources.paged import read_paged
+from tests.conftest import rows
+
+GOOD = [
+    {"id": 1, "name": "  OLD NAME  ", "brewery_type": "micro", "state_province": "  CA  ",
+     "updated_at": "2024-01-01"},
+    {"id": 1, "name": "  JOHN BREWERY ", "brewery_type": "micro", "state_province": "CA",
+     "updated_at": "2025-01-01", "extra": True},
+    {"id": 2.0, "name": "JANE", "brewery_type": "nano", "state_province": "\tNY "},
+    {"id": 3, "name": "X", "brewery_type": "micro", "state_province": "NY"},
+]
+NULL_IDS = [{"id": None, "name": "A", "brewery_type": "micro", "state_province": "TX"},
+            {"name": "B", "brewery_type": "micro", "state_province": "TX"}]
+SPEC = MedallionSpec(version=("updated_at",))
+
+
+def landing(tmp_path, records):
+    root = str(tmp_path / "landing")
+    os.makedirs(f"{root}/page=1")
+    with open(f"{root}/page=1/data.json", "w") as f:
+        json.dump(records, f)
+    return root
+
+
+def test_run_end_to_end(spark, tmp_path, base):
+    src = read_paged(spark, BRONZE_CONTRACT, path=landing(tmp_path, GOOD))
+    run = run_medallion(spark, src, base, dt.date(2026, 2, 2), SPEC)
+    assert run.counts == {"bronze": 4, "silver": 3, "gold": 3}
+    assert run.nulls == {"id": 0, "name": 0, "state": 0}
+    assert rows(run.gold()) == sorted([("CA", "micro", 1), ("NY", "micro", 1), ("\tNY", "nano", 1)],
+                                      key=repr)
+    silver = run.read("silver")
+    assert silver.columns == ["id", "name", "brewery_type", "state", "city", "country",
+                              "website_url", "phone", "ingested_at"]
+    assert silver.filter("id = '1'").first()["name"] == "JOHN BREWERY"
+    assert {r["id"] for r in silver.collect()} == {"1", "2.0", "3"}
+    m = {r["layer"]: r for r in run.metrics().collect()}
+    assert m["silver"]["removed"] == 1 and m["silver"]["reduction_pct"] == 25.0
+    assert all(r["passed"] for r in run.quality)
+
+
+def test_null_id_group_fails_quality(spark, tmp_path, base):
+    src = read_paged(spark, BRONZE_CONTRACT, path=landing(tmp_path, GOOD + NULL_IDS))
+    with pytest.raises(DataQualityError, match="positive_measure"):
+        run_medallion(spark, src, base, dt.date(2026, 2, 2), SPEC)
+
+
+def test_rerun_and_backfill_touch_only_their_date(spark, tmp_path, base):
+    src = read_paged(spark, BRONZE_CONTRACT, path=landing(tmp_path, GOOD))
+    d1, d2 = dt.date(2026, 2, 1), dt.date(2026, 2, 2)
+    r1 = run_medallion(spark, src, base, d1, SPEC)
+    r2 = run_medallion(spark, src, base, d2, SPEC)
+    first = rows(r1.gold())
+    run_medallion(spark, src, base, d1, SPEC)
+    assert rows(r1.gold()) == first and rows(r2.gold()) == first
+    gold_dirs = sorted(os.listdir(f"{base}/gold/breweries_stats"))
+    assert [d for d in gold_dirs if d.startswith("snapshot_date=")] == [
+        "snapshot_date=2026-02-01", "snapshot_date=2026-02-02"]
+
+
+def test_empty_source_raises(spark, base):
+    empty = spark.createDataFrame([], BRONZE_CONTRACT)
+    with pytest.raises(EmptyInputError):
+        run_medallion(spark, empty, base, dt.date(2026, 2, 2))

@@ -1,0 +1,33 @@
+"""Every registered query equals its DuckDB oracle (rows, columns, values)."""
+
+import pytest
+
+from __spark_entry__ import oracle_sql, queries
+from tests.conftest import SF_SMALL
+from tools.oracle_check import compare, duck
+
+KEYS = list(queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_SMALL)
+
+
+def test_every_query_has_an_oracle():
+    assert set(oracle_sql()) == set(queries())
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_query_matches_oracle(spark, con, key):
+    ok, n, _, detail = compare(spark, con, key, queries()[key], oracle_sql()[key], SF_SMALL)
+    assert ok, detail
+    assert n > 0
+
+
+def test_entry_smoke(spark):
+    from __spark_entry__ import entry
+
+    df = entry(spark)
+    assert df.columns == ["source", "lang", "qty"]
+    assert df.count() > 0

@@ -1,0 +1,129 @@
+"""Silver: trim / rename / select and deterministic de-duplication."""
+
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from strata.functions.contracts import EmptyInputError
+from strata.operators.silver import (
+    clean, clean_columns, dedup, dedup_report, dedup_window, distinct_rows,
+)
+from strata.sinks.writes import write_partitioned
+from strata.sources.scans import read_snapshot
+from tests.conftest import rows
+
+F3_SCHEMA = ("brewery_type string, city string, country string, id bigint, ingested_at string, "
+             "name string, phone string, state_province string, website_url string")
+F3_ROWS = [
+    ("micro", "San Francisco", "USA", 1, "2026-02-01T00:00:00", "  JOHN BREWERY  ", "555-1234",
+     "  CA  ", "http://example.com"),
+    ("nano", "New York", "USA", 2, "2026-02-01T00:00:00", "  JANE BREWERY  ", "555-5678",
+     "  NY  ", "http://example.com"),
+]
+F3_ROWS.append(F3_ROWS[0])
+
+
+@pytest.fixture()
+def bronze(spark):
+    return spark.createDataFrame(F3_ROWS, F3_SCHEMA)
+
+
+def test_fixture_dedup_and_trim(spark, bronze):
+    silver = dedup(clean(bronze), ["id"])
+    assert silver.count() == 2
+    assert silver.select("id").distinct().count() == 2
+    assert {r["state"] for r in silver.collect()} == {"CA", "NY"}
+    assert silver.columns == ["id", "name", "brewery_type", "state", "city", "country",
+                              "website_url", "phone", "ingested_at"]
+    assert silver.filter(F.col("state") != F.trim("state")).count() == 0
+
+
+def test_partitioned_by_state(spark, bronze, base):
+    write_partitioned(dedup(clean(bronze), ["id"]), base, ["state"])
+    import os
+
+    assert sorted(d for d in os.listdir(base) if d.startswith("state=")) == ["state=CA", "state=NY"]
+
+
+def test_empty_or_unreadable_input_raises(spark, base):
+    with pytest.raises(EmptyInputError):
+        read_snapshot(spark, base + "/missing", None)
+    empty = spark.createDataFrame([], "id int, state_province string")
+    empty.write.json(base + "/json_only")
+    with pytest.raises(EmptyInputError):
+        read_snapshot(spark, base + "/json_only", None)
+
+
+def test_trim_keeps_tabs_and_empty_strings(spark):
+    df = spark.createDataFrame([("\tCA ",), ("   ",), (None,), ("01",)], "state_province string")
+    got = [r[0] for r in clean_columns(df, trim=["state_province"]).collect()]
+    assert got == ["\tCA", "", None, "01"]
+
+
+def test_null_ids_collapse_or_pass_through(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b"), ("1", "c")], "id string, name string")
+    assert dedup(df, ["id"]).count() == 2
+    assert dedup(df, ["id"], null_keys="keep").count() == 3
+
+
+def test_keep_latest_and_first_by_version(spark):
+    df = spark.createDataFrame([("1", "old", "2024-01-01"), ("1", "new", "2025-01-01"),
+                                ("2", "only", None)], "id string, name string, updated_at string")
+    last = dict(rows(dedup(df, ["id"], ["updated_at"], keep="last"), "id", "name"))
+    first = dict(rows(dedup(df, ["id"], ["updated_at"], keep="first"), "id", "name"))
+    assert last == {"1": "new", "2": "only"}
+    assert first == {"1": "old", "2": "only"}
+
+
+def test_nulls_rank_lowest(spark):
+    df = spark.createDataFrame([("1", None), ("1", "2025")], "id string, v string")
+    assert rows(dedup(df, ["id"], ["v"], keep="last")) == [("1", "2025")]
+    assert rows(dedup(df, ["id"], ["v"], keep="first")) == [("1", None)]
+
+
+def test_map_columns_are_carried(spark):
+    df = spark.createDataFrame([("1", 1, {"a": 1}), ("1", 2, {"b": 2})],
+                               "id string, v int, m map<string,int>")
+    out = dedup(df, ["id"], ["v"]).collect()
+    assert len(out) == 1 and out[0]["v"] == 2 and out[0]["m"] == {"b": 2}
+
+
+def test_dedup_report(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "id int")
+    r = dedup_report(df, ["id"]).first()
+    assert (r["n_in"], r["n_out"], r["removed"], r["dup_keys"]) == (5, 3, 2, 2)
+
+
+def test_distinct_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "id int, v string")
+    assert distinct_rows(df).count() == 2
+
+
+def brute_force(records, keep):
+    best = {}
+    for r in records:
+        k = r[0]
+        order = (r[1] is not None, r[1], r[2] is not None, r[2])
+        if k not in best or (order > best[k][0] if keep == "last" else order < best[k][0]):
+            best[k] = (order, r)
+    return sorted((v[1] for v in best.values()), key=repr)
+
+
+records = st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(0, 3)),
+                             st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))),
+                   min_size=0, max_size=30)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=records, keep=st.sampled_from(["last", "first"]), seed=st.integers(0, 1000))
+def test_dedup_matches_brute_force_and_ignores_row_order(spark, data, keep, seed):
+    shuffled = data[:]
+    random.Random(seed).shuffle(shuffled)
+    df = spark.createDataFrame(shuffled, "k int, v int, w string").repartition(3)
+    got = rows(dedup(df, ["k"], ["v"], keep=keep))
+    assert got == brute_force(data, keep)
+    assert rows(dedup(dedup(df, ["k"], ["v"], keep=keep), ["k"], ["v"], keep=keep)) == got
+    assert rows(dedup_window(df, ["k"], ["v"], keep=keep)) == got
