@@ -38,27 +38,33 @@ def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str =
 def enrich_and_aggregate(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Sequence[str],
                          dim_keys: Sequence[str], value: str | None = None, scale: int = 2,
                          max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join then group: ``count(*)`` (and an exact ``sum(value)``) per fact × dim keys.
+    """Join then group: ``count(*)`` (and an exact ``sum(value)``) per dim × fact keys.
+
+    * Reference side proven small: broadcast hash join on the map side, then one
+      partial + final aggregate; the only shuffle carries groups.
+    * Otherwise: the fact side is first reduced to one row per (join key, fact
+      keys), so the shuffle join and the final aggregate see groups, not rows.
 
-    The fact side is first reduced to one row per (join key, fact keys) with a
-    partial aggregate, so the join and the final shuffle see groups, not rows.
     Output: ``*dim_keys, *fact_keys, n`` (+ ``sum_<value>``).
     """
+    dim = dim.select(on, *dim_keys)
+    if fits_broadcast(dim, max_broadcast_rows):
+        return enrich_and_aggregate_plain(fact, F.broadcast(dim), on, fact_keys, dim_keys,
+                                          value, scale)
     pre = [F.count(F.lit(1)).alias("n")]
     if value is not None:
         pre.append(F.sum(F.col(value).cast(f"decimal(18,{scale})")).alias("_sum"))
     reduced = fact.groupBy(on, *fact_keys).agg(*pre)
-    joined = enrich(reduced, dim.select(on, *dim_keys), on, "inner", max_broadcast_rows)
     post = [F.sum("n").cast("bigint").alias("n")]
     if value is not None:
         post.append(F.sum("_sum").cast("double").alias(f"sum_{value}"))
-    return joined.groupBy(*dim_keys, *fact_keys).agg(*post)
+    return reduced.join(dim, on, "inner").groupBy(*dim_keys, *fact_keys).agg(*post)
 
 
 def enrich_and_aggregate_plain(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Sequence[str],
                                dim_keys: Sequence[str], value: str | None = None,
                                scale: int = 2) -> DataFrame:
-    """Reference form of ``enrich_and_aggregate`` (join rows, then group); for tests."""
+    """Join the rows, then group (the broadcast path of ``enrich_and_aggregate``)."""
     aggs = [F.count(F.lit(1)).cast("bigint").alias("n")]
     if value is not None:
         aggs.append(exact_sum(value, scale).alias(f"sum_{value}"))

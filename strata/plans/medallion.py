@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from strata.functions.contracts import BRONZE_CONTRACT, EmptyInputError
 from strata.operators import gold as gold_ops
 from strata.operators import quality
-from strata.operators.bronze import to_bronze
+from strata.operators.bronze import from_json_records, to_bronze
 from strata.operators.silver import SILVER_COLUMNS, clean, dedup
 from strata.sinks.writes import write_snapshot
 from strata.sources.scans import read_snapshot
@@ -39,11 +39,15 @@ class MedallionSpec:
     version: Sequence[str] = ()
     keep: str = "last"
     null_check: Sequence[str] = ("id", "name", "state")
+    # Extension point: extra DataFrame -> DataFrame steps applied to the cleaned
+    # Silver rows (through ``DataFrame.transform``) before de-duplication.
+    silver_transforms: Sequence[Callable[[DataFrame], DataFrame]] = ()
     gold_keys: Sequence[str] = gold_ops.GOLD_KEYS
     gold_measure: str = gold_ops.GOLD_MEASURE
     gold_alias: str = gold_ops.GOLD_ALIAS
     layers: dict = field(default_factory=lambda: {
-        "bronze": "bronze/breweries", "silver": "silver/breweries", "gold": "gold/breweries_stats"})
+        "landing": "landing/breweries", "bronze": "bronze/breweries", "silver": "silver/breweries",
+        "gold": "gold/breweries_stats"})
 
 
 @dataclass
@@ -75,6 +79,25 @@ class MedallionRun:
         return quality.with_reduction(counts)
 
 
+def land_stage(run: MedallionRun, records: DataFrame) -> int:
+    """Keep the raw records (one JSON text per row) untouched in the landing snapshot.
+
+    Landing is text, in its own directory, so raw payloads never mix with the
+    Parquet layers; Bronze is then parsed from it and can be rebuilt from it.
+    """
+    rows = write_snapshot(records.select(F.col("record").alias("value")), run.path("landing"),
+                          run.snapshot, fmt="text")
+    run.counts["landing"] = rows
+    return rows
+
+
+def landed_records(run: MedallionRun) -> DataFrame:
+    """The landing snapshot parsed into the Bronze contract (JVM-side ``from_json``)."""
+    raw = read_snapshot(run.spark, run.path("landing"), run.snapshot, fmt="text",
+                        schema=T.StructType([T.StructField("value", T.StringType())]))
+    return from_json_records(raw.select(F.col("value").alias("record")), run.spec.contract)
+
+
 def bronze_stage(run: MedallionRun, source: DataFrame, run_ts=None) -> int:
     """Conform the source records and write the Bronze snapshot."""
     rows = write_snapshot(to_bronze(source, run.spec.contract, run_ts), run.path("bronze"),
@@ -92,6 +115,8 @@ def silver_stage(run: MedallionRun) -> int:
     outputs = {dst for _, dst, _ in spec.silver_columns}
     carried = [v for v in spec.version if v not in outputs]  # version columns Silver drops
     cleaned = clean(run.read("bronze"), [*spec.silver_columns, *[(v, v, False) for v in carried]])
+    for step in spec.silver_transforms:
+        cleaned = cleaned.transform(step)
     silver = dedup(cleaned, spec.keys, spec.version, spec.keep).drop(*carried)
     checked = [c for c in spec.null_check if c in silver.columns]
     obs = Observation("silver")
@@ -127,11 +152,19 @@ def quality_stage(run: MedallionRun) -> list:
 
 def run_medallion(spark: SparkSession, source: DataFrame, base: str, snapshot,
                   spec: MedallionSpec = MedallionSpec(), run_ts=None) -> MedallionRun:
-    """Run every stage for ``snapshot`` (a date) under ``base``; rerunnable."""
+    """Run every stage for ``snapshot`` (a date) under ``base``; rerunnable.
+
+    ``source`` is either typed rows or raw records (a ``record`` JSON-text
+    column, as the paged source yields): raw records are landed first and
+    Bronze is parsed from the landing snapshot.
+    """
     day = snapshot if isinstance(snapshot, dt.date) else dt.date.fromisoformat(str(snapshot))
     if isinstance(day, dt.datetime):
         day = day.date()
     run = MedallionRun(spark, base, day, spec)
+    if "record" in source.columns:
+        land_stage(run, source)
+        source = landed_records(run)
     bronze_stage(run, source, run_ts if run_ts is not None else f"{day.isoformat()} 00:00:00")
     silver_stage(run)
     gold_stage(run)

@@ -73,3 +73,25 @@ def test_empty_source_raises(spark, base):
     empty = spark.createDataFrame([], BRONZE_CONTRACT)
     with pytest.raises(EmptyInputError):
         run_medallion(spark, empty, base, dt.date(2026, 2, 2))
+
+
+def test_raw_records_are_landed_then_parsed(spark, tmp_path, base):
+    from strata.sources.paged import read_pages
+
+    raw = read_pages(spark, path=landing(tmp_path, GOOD))
+    run = run_medallion(spark, raw, base, dt.date(2026, 2, 2), SPEC)
+    assert run.counts["landing"] == 4 and run.counts["silver"] == 3
+    assert os.listdir(f"{base}/landing/breweries") and any(
+        d == "snapshot_date=2026-02-02" for d in os.listdir(f"{base}/landing/breweries"))
+    landed = spark.read.text(f"{base}/landing/breweries/snapshot_date=2026-02-02")
+    assert landed.filter("value like '%\\\"extra\\\":true%'").count() == 1  # raw payload kept whole
+
+
+def test_silver_extension_step(spark, tmp_path, base):
+    from pyspark.sql import functions as F
+
+    spec = MedallionSpec(version=("updated_at",),
+                         silver_transforms=(lambda df: df.withColumn("name", F.lower("name")),))
+    src = read_paged(spark, BRONZE_CONTRACT, path=landing(tmp_path, GOOD))
+    run = run_medallion(spark, src, base, dt.date(2026, 2, 2), spec)
+    assert run.read("silver").filter("id = '1'").first()["name"] == "john brewery"

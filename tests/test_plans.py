@@ -65,13 +65,24 @@ def test_unbounded_dimension_is_not_forced_to_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_join_then_group_pre_aggregates_the_fact_side(spark):
+def test_join_then_group_shuffles_groups_only(spark):
     customer = table(spark, SF_SMALL, "customer")
     nation = table(spark, SF_SMALL, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     p = plan(enrich_and_aggregate(customer, nation, "c_nationkey", ["c_mktsegment"], ["n_name"],
                                   value="c_acctbal"))
-    join_at = p.index("BroadcastHashJoin")
-    assert "partial_count" in p[join_at:]
+    assert p.count("Exchange hashpartitioning") == 1
+    assert p.index("partial_sum") < p.index("BroadcastHashJoin")  # partial agg above the join
+
+
+def test_join_then_group_pre_aggregates_without_broadcast(spark):
+    customer = table(spark, SF_SMALL, "customer")
+    nation = table(spark, SF_SMALL, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    big = enrich_and_aggregate(customer, nation, "c_nationkey", ["c_mktsegment"], ["n_name"],
+                               value="c_acctbal", max_broadcast_rows=10)
+    small = enrich_and_aggregate(customer, nation, "c_nationkey", ["c_mktsegment"], ["n_name"],
+                                 value="c_acctbal")
+    assert "partial_count" in plan(big).split("Join")[-1]
+    assert sorted(big.collect()) == sorted(small.collect())
 
 
 def test_top_n_is_take_ordered(spark):

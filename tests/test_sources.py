@@ -62,3 +62,13 @@ def test_split_records():
     assert _split_records(b'[{"a": 1}, {"a": 2.0}]') == ['{"a":1}', '{"a":2.0}']
     assert _split_records(b'{"a": 1}\n\n{"a": 2}\n') == ['{"a": 1}', '{"a": 2}']
     assert _split_records(b"  ") == []
+
+
+def test_raw_landing_file_with_one_json_array(spark, tmp_path):
+    from strata.sources.scans import read_json_records
+
+    root = tmp_path / "landing" / "snapshot_date=2026-02-02"
+    root.mkdir(parents=True)
+    (root / "data.json").write_text(json.dumps([{"id": 1, "name": "a"}, {"id": 2, "name": "b"}]))
+    df = read_json_records(spark, str(tmp_path / "landing"), BRONZE_CONTRACT, multiline=True)
+    assert sorted(r["name"] for r in df.collect()) == ["a", "b"]
