@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The layered flow is batch, one snapshot per logical date, and it has no
+watermark, window or state semantics to carry. Incremental reruns are handled
+by snapshot writes with dynamic partition overwrite (``strata.sinks``).
+"""
