@@ -64,7 +64,11 @@ class MedallionRun:
         return f"{self.base.rstrip('/')}/{self.spec.layers[layer]}"
 
     def read(self, layer: str) -> DataFrame:
-        return read_snapshot(self.spark, self.path(layer), self.snapshot).drop("snapshot_date")
+        """The run's snapshot of ``layer``; its emptiness is known from the write metrics."""
+        if self.counts.get(layer) == 0:
+            raise EmptyInputError(f"{layer} snapshot {self.snapshot} is empty")
+        return read_snapshot(self.spark, self.path(layer), self.snapshot,
+                             require=layer not in self.counts).drop("snapshot_date")
 
     def gold(self) -> DataFrame:
         spec = self.spec
@@ -93,8 +97,11 @@ def land_stage(run: MedallionRun, records: DataFrame) -> int:
 
 def landed_records(run: MedallionRun) -> DataFrame:
     """The landing snapshot parsed into the Bronze contract (JVM-side ``from_json``)."""
+    if run.counts.get("landing") == 0:
+        raise EmptyInputError("landing: the source returned no records")
     raw = read_snapshot(run.spark, run.path("landing"), run.snapshot, fmt="text",
-                        schema=T.StructType([T.StructField("value", T.StringType())]))
+                        schema=T.StructType([T.StructField("value", T.StringType())]),
+                        require=False)
     return from_json_records(raw.select(F.col("value").alias("record")), run.spec.contract)
 
 

@@ -111,3 +111,18 @@ def test_union_by_name_fills_missing(spark):
     out = union_all([a, b])
     assert out.columns == ["id", "a", "b"]
     assert rows(out) == [(1, "x", None), (2, None, "y")]
+
+
+def test_hot_partition_value_is_split_across_tasks(spark, base):
+    """A value holding a third of the rows is written by several tasks, not one."""
+    df = spark.range(0, 300_000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string"))
+        .alias("state"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_partitioned(df, base, ["state"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = [f for f in os.listdir(f"{base}/state=hot") if f.endswith(".parquet")]
+    assert len(hot) > 1
+    assert spark.read.parquet(base).filter("state = 'hot'").count() == 100_000
