@@ -6,38 +6,62 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.columns import exact_sum
 
-#: Largest reference table (rows) that is ever broadcast by ``enrich``.
+#: Largest reference table ever broadcast by ``enrich``: rows and bytes.
 MAX_BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows.
-
-    The probe is ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded, so checking a big table costs at most ``max_rows`` rows.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _row_bytes(dim: DataFrame):
+    """Per-row size: exact for text/binary, JSON length for nested values, 8 otherwise."""
+    size = F.lit(0)
+    for f in dim.schema.fields:
+        t, c = f.dataType, F.col(f.name)
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+        else:
+            size = size + F.lit(8)  # fixed-width scalars: at most 8 bytes (16 for decimals)
+    return size
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                   max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows and ``max_bytes`` bytes of data.
+
+    The probe is one aggregate over ``limit(max_rows + 1)``: it stops reading once
+    the row bound is exceeded, so checking a big table costs at most ``max_rows``
+    rows, and it measures text columns exactly rather than trusting statistics.
     """
-    return dim.limit(max_rows + 1).count() <= max_rows
+    probe = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                        F.coalesce(F.sum(_row_bytes(dim)), F.lit(0)).alias("b"))
+    r = probe.first()
+    return r["n"] <= max_rows and r["b"] <= max_bytes
 
 
 def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-           max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+           max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``fact`` with a reference table.
 
     The reference side is broadcast (``BroadcastHashJoin``, no shuffle of the
     fact side, immune to skewed join keys) only when its row count is proven
-    under ``max_broadcast_rows``; otherwise the plan stays a shuffle join that
-    adaptive execution may still convert or split for skew.
+    under ``max_broadcast_rows`` and ``max_broadcast_bytes``; otherwise the plan
+    stays a shuffle join that adaptive execution may still convert or split for skew.
     """
-    right = F.broadcast(dim) if fits_broadcast(dim, max_broadcast_rows) else dim
+    small = fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes)
+    right = F.broadcast(dim) if small else dim
     return fact.join(right, on=on, how=how)
 
 
 def enrich_and_aggregate(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Sequence[str],
                          dim_keys: Sequence[str], value: str | None = None, scale: int = 2,
-                         max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                         max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                         max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join then group: ``count(*)`` (and an exact ``sum(value)``) per dim × fact keys.
 
     * Reference side proven small: broadcast hash join on the map side, then one
@@ -48,7 +72,7 @@ def enrich_and_aggregate(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Se
     Output: ``*dim_keys, *fact_keys, n`` (+ ``sum_<value>``).
     """
     dim = dim.select(on, *dim_keys)
-    if fits_broadcast(dim, max_broadcast_rows):
+    if fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):
         return enrich_and_aggregate_plain(fact, F.broadcast(dim), on, fact_keys, dim_keys,
                                           value, scale)
     pre = [F.count(F.lit(1)).alias("n")]

@@ -77,6 +77,12 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a layer or partition directory exists (any Hadoop file system)."""
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def drop_partitions(spark: SparkSession, base: str, key: str, values: Iterable) -> list[str]:
     """Delete the ``key=value`` directories of ``base`` (any Hadoop file system)."""
     dropped = []

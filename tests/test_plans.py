@@ -48,6 +48,7 @@ def test_small_dimension_is_broadcast_after_size_check(spark):
     customer = table(spark, SF_SMALL, "customer")
     nation = table(spark, SF_SMALL, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     assert fits_broadcast(nation, 25) and not fits_broadcast(nation, 24)
+    assert not fits_broadcast(nation, 25, max_bytes=100)
     p = plan(enrich(customer, nation, "c_nationkey"))
     assert "BroadcastHashJoin" in p
 

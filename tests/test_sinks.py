@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.sinks.writes import (
-    drop_partitions, export_csv, retain_snapshots, stage, write_partitioned, write_snapshot,
+    drop_partitions, export_csv, path_exists, retain_snapshots, stage, write_partitioned, write_snapshot,
     write_table,
 )
 from strata.sources.scans import list_snapshots, read_snapshot, read_table, union_all
@@ -22,7 +22,9 @@ def test_json_roundtrip_exists_delete(spark, base):
     back = read_table(spark, base, "json", "id string, name string")
     assert back.columns == ["id", "name"] and back.count() == 2
     write_partitioned(df.withColumn("snapshot_date", F.lit(D1)), base + "/layer", ["snapshot_date"])
+    assert path_exists(spark, base + "/layer/snapshot_date=2026-02-01")
     assert drop_partitions(spark, base + "/layer", "snapshot_date", [D1.isoformat()]) == ["2026-02-01"]
+    assert not path_exists(spark, base + "/layer/snapshot_date=2026-02-01")
     assert drop_partitions(spark, base + "/layer", "snapshot_date", [D1.isoformat()]) == []
 
 
