@@ -54,7 +54,8 @@ def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str =
     stays a shuffle join that adaptive execution may still convert or split for skew.
     """
     small = fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes)
-    right = F.broadcast(dim) if small else dim
+    # Over the bound, pin a shuffle join so no optimistic size estimate broadcasts it.
+    right = F.broadcast(dim) if small else dim.hint("shuffle_merge")
     return fact.join(right, on=on, how=how)
 
 
@@ -82,7 +83,8 @@ def enrich_and_aggregate(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Se
     post = [F.sum("n").cast("bigint").alias("n")]
     if value is not None:
         post.append(F.sum("_sum").cast("double").alias(f"sum_{value}"))
-    return reduced.join(dim, on, "inner").groupBy(*dim_keys, *fact_keys).agg(*post)
+    joined = reduced.join(dim.hint("shuffle_merge"), on, "inner")
+    return joined.groupBy(*dim_keys, *fact_keys).agg(*post)
 
 
 def enrich_and_aggregate_plain(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Sequence[str],

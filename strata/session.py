@@ -35,15 +35,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private temporary folder
-    created and registered as the checkpoint directory.
+    Only when the session has none and runs in local mode (tests) is a private
+    temporary folder created and registered; on a cluster a missing setting is
+    an error, never a silent fallback to a machine-local disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root) if _conf_settable(spark) else None
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder on shared storage")
+        root = tempfile.mkdtemp(prefix="strata-ckpt-")  # local mode (tests) only
+        if _conf_settable(spark):
+            spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
