@@ -1,6 +1,7 @@
 """Writes: snapshots with dynamic overwrite, value partitions, exports, retention."""
 
 from strata.sinks.writes import (  # noqa: F401
-    drop_partitions, export_csv, path_exists, retain_snapshots, stage, write_partitioned, write_snapshot,
+    drop_partitions, export_csv, path_exists, retain_snapshots, stage, write_partitioned,
+    write_snapshot, write_snapshots,
     write_table,
 )

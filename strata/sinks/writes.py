@@ -71,6 +71,17 @@ def write_snapshot(df: DataFrame, base: str, snapshot, key: str = SNAPSHOT_KEY,
     return rows
 
 
+def write_snapshots(df: DataFrame, base: str, key: str = SNAPSHOT_KEY, fmt: str = "parquet",
+                    **options) -> None:
+    """Backfill: write every date present in ``df[key]`` in ONE job.
+
+    Dynamic overwrite replaces exactly those dates; dates absent from ``df`` are
+    untouched. Rows are rebalanced by date so each date gets a few files, and
+    AQE splits a date that holds most of the rows.
+    """
+    write_partitioned(df, base, [key], fmt, "overwrite", dynamic=True, **options)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

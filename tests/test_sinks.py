@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.sinks.writes import (
-    drop_partitions, export_csv, path_exists, retain_snapshots, stage, write_partitioned, write_snapshot,
-    write_table,
+    drop_partitions, export_csv, path_exists, retain_snapshots, stage, write_partitioned,
+    write_snapshot, write_snapshots, write_table,
 )
 from strata.sources.scans import list_snapshots, read_snapshot, read_table, union_all
 from tests.conftest import rows
@@ -128,3 +128,13 @@ def test_hot_partition_value_is_split_across_tasks(spark, base):
     hot = [f for f in os.listdir(f"{base}/state=hot") if f.endswith(".parquet")]
     assert len(hot) > 1
     assert spark.read.parquet(base).filter("state = 'hot'").count() == 100_000
+
+
+def test_backfill_several_dates_in_one_job(spark, base):
+    D3 = dt.date(2026, 2, 3)
+    for d in (D1, D2, D3):
+        write_snapshot(spark.createDataFrame([(0,)], "id int"), base, d)
+    redo = spark.createDataFrame([(1, D1), (2, D1), (3, D2)], "id int, snapshot_date date")
+    write_snapshots(redo, base)
+    assert rows(read_snapshot(spark, base), "snapshot_date", "id") == [
+        (D1, 1), (D1, 2), (D2, 3), (D3, 0)]
