@@ -59,7 +59,8 @@ def write_snapshot(df: DataFrame, base: str, snapshot, key: str = SNAPSHOT_KEY,
     other date alone, so a rerun or backfill of one logical date is safe. The
     row count is observed during the write (no second job). An empty result
     still clears the date, which dynamic overwrite alone would not do.
-    Returns the number of rows written.
+    Output is staged and swapped in at job commit, so ``df`` may itself read the
+    snapshot it replaces. Returns the number of rows written.
     """
     day = _date_value(snapshot)
     obs = metrics or Observation(f"write_{key}_{day.isoformat()}")

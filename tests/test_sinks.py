@@ -138,3 +138,11 @@ def test_backfill_several_dates_in_one_job(spark, base):
     write_snapshots(redo, base)
     assert rows(read_snapshot(spark, base), "snapshot_date", "id") == [
         (D1, 1), (D1, 2), (D2, 3), (D3, 0)]
+
+
+def test_rewriting_a_snapshot_from_itself(spark, base):
+    write_snapshot(spark.createDataFrame([(1,), (2,)], "id int"), base, D1)
+    write_snapshot(spark.createDataFrame([(9,)], "id int"), base, D2)
+    again = read_snapshot(spark, base, D1).drop("snapshot_date").withColumn("id", F.col("id") * 10)
+    assert write_snapshot(again, base, D1) == 2
+    assert rows(read_snapshot(spark, base), "snapshot_date", "id") == [(D1, 10), (D1, 20), (D2, 9)]
