@@ -64,6 +64,9 @@ def check(df: DataFrame, rules: Sequence[Rule] = (), *, required: Sequence[str]
             bad = bad | (F.col("_rows") > F.lit(max_rows))
         rows.append(_report_row("row_count", "error", F.when(bad, 1).otherwise(0)))
     rows += [_report_row(r.name, r.severity, F.col(f"_r{i}")) for i, r in enumerate(rules)]
+    if not rows:
+        return df.sparkSession.createDataFrame(
+            [], "rule string, severity string, failed bigint, passed boolean")
     return totals.select(F.inline(F.array(*rows)))
 
 
@@ -213,6 +216,8 @@ def reconcile(layers: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     Each layer is counted by its own partial aggregate; only the k count rows
     meet in the final window.
     """
+    if not layers:
+        raise ValueError("reconcile needs at least one layer")
     counts = None
     for step, (name, df) in enumerate(layers):
         one = df.agg(F.count(F.lit(1)).alias("rows")).select(

@@ -184,3 +184,24 @@ def read_paged(spark: SparkSession, contract: T.StructType = BRONZE_CONTRACT, **
     from strata.operators.bronze import from_json_records
 
     return from_json_records(read_pages(spark, **kwargs), contract)
+
+
+def page_report(pages: DataFrame, per_page: int | None = None) -> DataFrame:
+    """One row checking a paged read: no page missing inside the range, records per page.
+
+    Columns: ``pages, first_page, last_page, missing_pages, short_pages, records``.
+    ``short_pages`` counts pages with fewer than ``per_page`` records (the last page
+    normally is one). Repeated ids across pages (page drift) are reported by
+    ``strata.operators.silver.dedup_report`` on the parsed records.
+    """
+    from pyspark.sql import functions as F
+
+    per = pages.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+    short = F.count_if(F.col("n") < per_page) if per_page else F.lit(None).cast("bigint")
+    return per.agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.min("page").alias("first_page"),
+        F.max("page").alias("last_page"),
+        (F.max("page") - F.min("page") + 1 - F.count(F.lit(1))).cast("bigint").alias("missing_pages"),
+        short.alias("short_pages"),
+        F.sum("n").cast("bigint").alias("records"))

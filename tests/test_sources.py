@@ -6,7 +6,9 @@ import os
 import pytest
 
 from strata.functions.contracts import BRONZE_CONTRACT
-from strata.sources.paged import _split_records, discover_page_count, read_paged, read_pages
+from strata.sources.paged import (
+    _split_records, discover_page_count, page_report, read_paged, read_pages,
+)
 
 
 def write_pages(root, pages, as_array=True):
@@ -72,3 +74,25 @@ def test_raw_landing_file_with_one_json_array(spark, tmp_path):
     (root / "data.json").write_text(json.dumps([{"id": 1, "name": "a"}, {"id": 2, "name": "b"}]))
     df = read_json_records(spark, str(tmp_path / "landing"), BRONZE_CONTRACT, multiline=True)
     assert sorted(r["name"] for r in df.collect()) == ["a", "b"]
+
+
+def test_page_report_and_drift(spark, tmp_path):
+    from strata.operators.silver import dedup_report
+
+    root = str(tmp_path / "api")
+    write_pages(root, [[{"id": 1, "name": "a"}, {"id": 2, "name": "b"}],
+                       [{"id": 2, "name": "b"}, {"id": 3, "name": "c"}], [{"id": 4, "name": "d"}]])
+    raw = read_pages(spark, path=root)
+    r = page_report(raw, per_page=2).first()
+    assert (r["pages"], r["first_page"], r["last_page"], r["missing_pages"], r["short_pages"],
+            r["records"]) == (3, 1, 3, 0, 1, 5)
+    drift = dedup_report(read_paged(spark, BRONZE_CONTRACT, path=root), ["id"]).first()
+    assert drift["dup_keys"] == 1 and drift["removed"] == 1
+    gap = raw.filter("page <> 2")
+    assert page_report(gap, 2).first()["missing_pages"] == 1
+
+
+def test_check_without_rules_is_an_empty_report(spark):
+    from strata.operators.quality import check
+
+    assert check(spark.range(3)).count() == 0
