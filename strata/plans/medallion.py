@@ -23,7 +23,7 @@ from strata.operators import gold as gold_ops
 from strata.operators import quality
 from strata.operators.bronze import from_json_records, to_bronze
 from strata.operators.silver import SILVER_COLUMNS, clean, dedup
-from strata.sinks.writes import write_snapshot
+from strata.sinks.writes import drop_partitions, write_snapshot
 from strata.sources.scans import read_snapshot
 
 log = logging.getLogger(__name__)
@@ -38,6 +38,10 @@ class MedallionSpec:
     keys: Sequence[str] = ("id",)
     version: Sequence[str] = ()
     keep: str = "last"
+    # Rows missing a required (non-nullable) contract field: "warn" (count them),
+    # "fail" (raise, leaving no Bronze snapshot) or "quarantine" (write them to
+    # their own layer and keep them out of Bronze).
+    on_missing_required: str = "warn"
     null_check: Sequence[str] = ("id", "name", "state")
     # Extension point: extra DataFrame -> DataFrame steps applied to the cleaned
     # Silver rows (through ``DataFrame.transform``) before de-duplication.
@@ -47,7 +51,7 @@ class MedallionSpec:
     gold_alias: str = gold_ops.GOLD_ALIAS
     layers: dict = field(default_factory=lambda: {
         "landing": "landing/breweries", "bronze": "bronze/breweries", "silver": "silver/breweries",
-        "gold": "gold/breweries_stats"})
+        "gold": "gold/breweries_stats", "quarantine": "quarantine/breweries"})
 
 
 @dataclass
@@ -58,6 +62,7 @@ class MedallionRun:
     spec: MedallionSpec
     counts: dict = field(default_factory=dict)
     nulls: dict = field(default_factory=dict)
+    violations: dict = field(default_factory=dict)
     quality: list = field(default_factory=list)
 
     def path(self, layer: str) -> str:
@@ -106,10 +111,31 @@ def landed_records(run: MedallionRun) -> DataFrame:
 
 
 def bronze_stage(run: MedallionRun, source: DataFrame, run_ts=None) -> int:
-    """Conform the source records and write the Bronze snapshot."""
-    rows = write_snapshot(to_bronze(source, run.spec.contract, run_ts), run.path("bronze"),
-                          run.snapshot)
+    """Conform the source records and write the Bronze snapshot.
+
+    Rows missing a required contract field are counted during the write (an
+    ``Observation``, no extra job) and handled per ``spec.on_missing_required``.
+    """
+    spec = run.spec
+    bronze = to_bronze(source, spec.contract, run_ts)
+    required = [f.name for f in spec.contract.fields if not f.nullable]
+    missing = quality.any_null(required) if required else F.lit(False)
+    if spec.on_missing_required == "quarantine" and required:
+        run.counts["quarantine"] = write_snapshot(bronze.filter(missing), run.path("quarantine"),
+                                                  run.snapshot)
+        bronze = bronze.filter(~missing)
+    obs = Observation("bronze")
+    bronze = bronze.observe(obs, F.count_if(missing).alias("missing_required"))
+    rows = write_snapshot(bronze, run.path("bronze"), run.snapshot)
     run.counts["bronze"] = rows
+    run.violations["missing_required"] = int(obs.get.get("missing_required") or 0)
+    if run.violations["missing_required"]:
+        if spec.on_missing_required == "fail":
+            drop_partitions(run.spark, run.path("bronze"), "snapshot_date", [run.snapshot.isoformat()])
+            raise quality.DataQualityError(
+                f"bronze: {run.violations['missing_required']} rows miss a required field {required}")
+        log.warning("bronze: %s rows miss a required field %s",
+                    run.violations["missing_required"], required)
     if rows == 0:
         raise EmptyInputError("bronze: the source returned no records")
     log.info("bronze: %s rows", rows)

@@ -95,3 +95,27 @@ def test_silver_extension_step(spark, tmp_path, base):
     src = read_paged(spark, BRONZE_CONTRACT, path=landing(tmp_path, GOOD))
     run = run_medallion(spark, src, base, dt.date(2026, 2, 2), spec)
     assert run.read("silver").filter("id = '1'").first()["name"] == "john brewery"
+
+
+NO_NAME = [{"id": 7, "brewery_type": "micro", "state_province": "CA"}]
+
+
+@pytest.mark.parametrize("mode", ["warn", "fail", "quarantine"])
+def test_missing_required_name(spark, tmp_path, base, mode):
+    spec = MedallionSpec(version=("updated_at",), on_missing_required=mode,
+                         null_check=("id", "state"))
+    src = read_paged(spark, BRONZE_CONTRACT, path=landing(tmp_path, GOOD + NO_NAME))
+    day = dt.date(2026, 2, 2)
+    if mode == "fail":
+        with pytest.raises(DataQualityError, match="required"):
+            run_medallion(spark, src, base, day, spec)
+        assert not os.path.exists(f"{base}/bronze/breweries/snapshot_date=2026-02-02")
+        return
+    run = run_medallion(spark, src, base, day, spec)
+    if mode == "warn":
+        assert run.violations["missing_required"] == 1 and run.counts["bronze"] == 5
+    else:
+        assert run.violations["missing_required"] == 0
+        assert run.counts["quarantine"] == 1 and run.counts["bronze"] == 4
+        q = spark.read.parquet(f"{base}/quarantine/breweries")
+        assert [r["id"] for r in q.collect()] == ["7"]
