@@ -48,11 +48,8 @@ CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
     T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
     T.StructField("c_mktsegment", T.StringType())])
-NATION_SCHEMA = T.StructType([
-    T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
-    T.StructField("n_regionkey", T.IntegerType())])
-NATION_CONTRACT = all_strings(["n_nationkey", "n_name", "n_regionkey", "n_comment"],
-                              required=["n_name"])
+CUSTOMER_CONTRACT = all_strings(["c_custkey", "c_name", "c_nationkey", "c_acctbal",
+                                 "c_mktsegment", "c_comment"], required=["c_name"])
 
 DOCS_SPEC = MedallionSpec(
     contract=all_strings(["doc_id", "source", "lang", "n_chars", "text"]),
@@ -97,12 +94,12 @@ def q_normalize_strings(spark, sf_dir):
 
 
 def q_bronze_metadata(spark, sf_dir):
-    return add_ingest_metadata(table(spark, sf_dir, "nation"), RUN_TS)
+    return add_ingest_metadata(table(spark, sf_dir, "customer"), RUN_TS)
 
 
 def q_bronze_contract(spark, sf_dir):
-    out = conform(table(spark, sf_dir, "nation"), NATION_CONTRACT)
-    return assert_schema(out, NATION_CONTRACT, strict=False)
+    out = conform(table(spark, sf_dir, "customer"), CUSTOMER_CONTRACT)
+    return assert_schema(out, CUSTOMER_CONTRACT, strict=False)
 
 
 def q_schema_evolve(spark, sf_dir):
@@ -115,9 +112,9 @@ def q_schema_evolve(spark, sf_dir):
 
 
 def q_bronze_stage(spark, sf_dir):
-    nation = quality.guard_non_empty(table(spark, sf_dir, "nation"), "nation")
+    customer = quality.guard_non_empty(table(spark, sf_dir, "customer"), "customer")
     base = scratch_path(spark, "bronze_stage")
-    write_snapshot(to_bronze(nation, NATION_CONTRACT, RUN_TS), base, RUN_DATE)
+    write_snapshot(to_bronze(customer, CUSTOMER_CONTRACT, RUN_TS), base, RUN_DATE)
     return read_snapshot(spark, base, RUN_DATE)
 
 
@@ -274,9 +271,9 @@ def q_write_roundtrip(spark, sf_dir):
 
 
 def q_scan_json_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "nation_json")
-    write_table(table(spark, sf_dir, "nation"), path, "json")
-    return read_table(spark, path, "json", NATION_SCHEMA)
+    path = scratch_path(spark, "customer_json")
+    write_table(table(spark, sf_dir, "customer"), path, "json")
+    return read_table(spark, path, "json", CUSTOMER_SCHEMA)
 
 
 def q_csv_export(spark, sf_dir):

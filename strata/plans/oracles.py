@@ -27,6 +27,8 @@ def _long(table: str, columns: list[str], expr: str, value: str) -> str:
         f"SELECT '{c}' AS column_name, {expr.format(c=c)} AS {value} FROM {table}" for c in columns)
 
 
+CUSTOMER_TEXT = ("c_custkey::varchar AS c_custkey, c_name, c_nationkey::varchar AS c_nationkey, "
+                 "c_acctbal::varchar AS c_acctbal, c_mktsegment, NULL::varchar AS c_comment")
 LI_NULLS = ("(SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
             "l_discount, l_tax, nullif(l_returnflag, 'A') AS l_returnflag, l_linestatus, "
             "l_shipdate FROM lineitem)")
@@ -44,19 +46,15 @@ ORACLES: dict[str, str] = {
     "normalize_strings": ("SELECT c_custkey::varchar AS c_custkey, c_name, "
                           "c_nationkey::varchar AS c_nationkey, c_acctbal::varchar AS c_acctbal, "
                           "c_mktsegment FROM customer"),
-    "bronze_metadata": ("SELECT n_nationkey, n_name, n_regionkey, "
-                        "TIMESTAMP '2026-02-02 00:00:00' AS ingested_at, "
-                        "DATE '2026-02-02' AS ingested_date FROM nation"),
-    "bronze_contract": ("SELECT n_nationkey::varchar AS n_nationkey, n_name, "
-                        "n_regionkey::varchar AS n_regionkey, NULL::varchar AS n_comment FROM nation"),
+    "bronze_metadata": ("SELECT *, TIMESTAMP '2026-02-02 00:00:00' AS ingested_at, "
+                        "DATE '2026-02-02' AS ingested_date FROM customer"),
+    "bronze_contract": f"SELECT {CUSTOMER_TEXT} FROM customer",
     "schema_evolve": ("SELECT o_orderkey, o_custkey::varchar AS o_custkey, o_orderstatus, "
                       "o_totalprice, o_orderdate::date AS o_orderdate, NULL::varchar AS o_clerk "
                       "FROM orders"),
-    "bronze_stage": ("SELECT n_nationkey::varchar AS n_nationkey, n_name, "
-                     "n_regionkey::varchar AS n_regionkey, NULL::varchar AS n_comment, "
-                     "TIMESTAMP '2026-02-02 00:00:00' AS ingested_at, "
+    "bronze_stage": (f"SELECT {CUSTOMER_TEXT}, TIMESTAMP '2026-02-02 00:00:00' AS ingested_at, "
                      "DATE '2026-02-02' AS ingested_date, DATE '2026-02-02' AS snapshot_date "
-                     "FROM nation"),
+                     "FROM customer"),
     "src_paged": "SELECT * FROM orders",
     "union_pages": (
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
@@ -134,7 +132,7 @@ ORACLES: dict[str, str] = {
                        "count(*) / sum(count(*)) OVER () AS share FROM orders GROUP BY 1"),
     "scan_parquet": "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0",
     "write_roundtrip": DOCS_GOLD,
-    "scan_json_roundtrip": "SELECT * FROM nation",
+    "scan_json_roundtrip": "SELECT * FROM customer",
     "csv_export": "SELECT * FROM customer",
     "partition_by_value": "SELECT * FROM customer",
     "staged_checkpoint": LI_GOLD.format(src=f"({_dedup('last')})"),
