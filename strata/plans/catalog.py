@@ -34,9 +34,6 @@ RUN_TS = "2026-02-02 00:00:00"
 RUN_DATE = dt.date(2026, 2, 2)
 
 LINEITEM_KEYS = ["l_orderkey", "l_linenumber"]
-LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-                 "l_shipdate"]
 ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                "o_orderpriority"]
 ORDERS_SCHEMA = T.StructType([

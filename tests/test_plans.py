@@ -1,7 +1,5 @@
 """Physical-plan checks: the operators plan the way the design says."""
 
-from pyspark.sql import functions as F
-
 from strata.operators.enrich import enrich, enrich_and_aggregate, fits_broadcast
 from strata.operators.gold import count_by
 from strata.operators.silver import dedup
