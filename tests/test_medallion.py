@@ -119,3 +119,16 @@ def test_missing_required_name(spark, tmp_path, base, mode):
         assert run.counts["quarantine"] == 1 and run.counts["bronze"] == 4
         q = spark.read.parquet(f"{base}/quarantine/breweries")
         assert [r["id"] for r in q.collect()] == ["7"]
+
+
+def test_command_line(spark, tmp_path, base, capsys):
+    from strata.__main__ import main
+
+    pages = landing(tmp_path, GOOD)
+    assert main(["run", "--pages", pages, "--base", base, "--date", "2026-02-02",
+                 "--version", "updated_at"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["counts"]["silver"] == 3
+    assert main(["check", "--base", base, "--date", "2026-02-02"]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert all(r["passed"] for r in report)
