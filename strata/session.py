@@ -62,3 +62,31 @@ def _conf_settable(spark: SparkSession) -> bool:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, advisory_mb: int = 256,
+               max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle sizing for a job over ``input_bytes`` on ``total_cores`` executor cores.
+
+    Adaptive execution can coalesce shuffle partitions but never split them (skew
+    aside), so the *initial* count must be large enough for the biggest shuffle
+    (a full-row de-duplication moves about the whole input): one partition per
+    ``advisory_mb`` of input, at least two waves of tasks, at most
+    ``max_partitions``. AQE then merges the small ones after aggregations.
+    """
+    advisory = advisory_mb * 1024 * 1024
+    initial = max(2 * total_cores, -(-input_bytes // advisory))
+    initial = min(initial, max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{advisory_mb * 4}m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL options (those a running session accepts)."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)

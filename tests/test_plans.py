@@ -97,3 +97,15 @@ def test_no_python_udf_in_sql_operators(spark):
     for key in ("medallion", "dedup_latest", "dq_gold", "broadcast_enrich", "null_profile"):
         p = plan(QUERIES[key](spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, key
+
+
+def test_scale_conf_sizes_shuffles_from_input():
+    from strata.session import scale_conf
+
+    tb = 1024 ** 4
+    big = scale_conf(100 * tb, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000  # capped; AQE merges later
+    mid = scale_conf(10 * tb, total_cores=8000)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 40_960
+    small = scale_conf(40 * 1024 ** 2, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
