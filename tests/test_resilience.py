@@ -1,0 +1,18 @@
+"""Lost tasks are retried and the run stays exact (metrics are not double-counted)."""
+
+import json
+import subprocess
+import sys
+from pathlib import Path
+
+
+def test_flow_survives_failed_task_attempts(tmp_path):
+    job = Path(__file__).with_name("resilience_job.py")
+    out = subprocess.run([sys.executable, str(job), str(tmp_path / "lake")], capture_output=True,
+                         text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    result = json.loads(out.stdout.strip().splitlines()[-1])
+    assert result["injected"] >= 4  # ingestion and Silver tasks each failed once
+    assert result["gold_ok"]
+    assert result["counts"]["landing"] == result["docs"] == result["counts"]["bronze"]
+    assert result["counts"]["silver"] == result["docs"]
