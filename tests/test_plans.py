@@ -1,5 +1,7 @@
 """Physical-plan checks: the operators plan the way the design says."""
 
+from pyspark.sql import functions as F
+
 from strata.operators.enrich import enrich, enrich_and_aggregate, fits_broadcast
 from strata.operators.gold import count_by
 from strata.operators.silver import dedup
@@ -109,3 +111,44 @@ def test_scale_conf_sizes_shuffles_from_input():
     assert int(mid["spark.sql.shuffle.partitions"]) == 40_960
     small = scale_conf(40 * 1024 ** 2, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def shuffle_records(df) -> int:
+    """Rows written by every shuffle of ``df``'s own execution (from SQL metrics)."""
+    df.collect()  # runs df's own query execution (a write would plan a new one)
+    total, stack = 0, [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            stack.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):  # stages are leaves; their plan holds the exchange
+            stack.append(node.plan())
+            continue
+        metric = node.metrics().get("shuffleRecordsWritten")
+        if metric.isDefined():
+            total += metric.get().value()
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+    return total
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    """A key holding a third of 300k rows crosses the shuffle once per map task."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    df = spark.range(0, 300_000, 1, 8).select(hot.alias("k"), (F.col("id") % 97).alias("v"),
+                                              F.col("id").cast("string").alias("s"))
+    distinct_keys = 200_000 + 1
+    for out in (dedup(df, ["k"], ["v"]), count_by(df, ["k"], "v", order=False)):
+        written = shuffle_records(out)
+        assert distinct_keys <= written <= distinct_keys + 8, written
+
+
+def test_group_of_copies_is_reduced_before_the_shuffle(spark):
+    from strata.operators.silver import distinct_rows
+
+    copy = F.when(F.col("id") % 3 == 0, F.lit("copy")).otherwise(F.col("id").cast("string"))
+    df = spark.range(0, 300_000, 1, 8).select(copy.alias("s"), F.lit(1).alias("one"))
+    written = shuffle_records(distinct_rows(df))
+    assert 200_001 <= written <= 200_001 + 8, written
