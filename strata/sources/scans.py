@@ -42,7 +42,8 @@ def read_snapshot(spark: SparkSession, base: str, snapshot=None, key: str = SNAP
     The layer base is scanned with ``key`` as a typed partition column and the
     snapshot is a filter on it, so Spark prunes every other directory
     (``PartitionFilters`` in the plan) instead of the caller building paths.
-    ``schema`` is the data schema (without the key). With ``require`` an
+    ``schema`` is the data schema (without the key). A base written without
+    snapshot partitions is read whole, as that snapshot. With ``require`` an
     unreadable or empty snapshot raises ``EmptyInputError``.
     """
     reader = spark.read.format(fmt).option("basePath", base)
@@ -55,7 +56,12 @@ def read_snapshot(spark: SparkSession, base: str, snapshot=None, key: str = SNAP
             raise EmptyInputError(f"{base} is empty or unreadable: {exc}") from exc
         raise
     if snapshot is not None:
-        df = df.filter(F.col(key) == _partition_literal(snapshot).cast(key_type))
+        if key not in df.columns:
+            # Unpartitioned layout (a layer written without snapshots): the whole
+            # base is the one snapshot there is.
+            df = df.withColumn(key, _partition_literal(snapshot).cast(key_type))
+        else:
+            df = df.filter(F.col(key) == _partition_literal(snapshot).cast(key_type))
     if require and df.isEmpty():
         raise EmptyInputError(f"{base} snapshot {snapshot} is empty")
     return df

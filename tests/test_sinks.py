@@ -145,3 +145,9 @@ def test_rewriting_a_snapshot_from_itself(spark, base):
     again = read_snapshot(spark, base, D1).drop("snapshot_date").withColumn("id", F.col("id") * 10)
     assert write_snapshot(again, base, D1) == 2
     assert rows(read_snapshot(spark, base), "snapshot_date", "id") == [(D1, 10), (D1, 20), (D2, 9)]
+
+
+def test_snapshot_read_tolerates_an_unpartitioned_layer(spark, base):
+    write_table(spark.createDataFrame([(1,), (2,)], "id int"), base)
+    back = read_snapshot(spark, base, D1)
+    assert rows(back) == [(1, D1), (2, D1)]
