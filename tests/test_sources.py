@@ -96,3 +96,48 @@ def test_check_without_rules_is_an_empty_report(spark):
     from strata.operators.quality import check
 
     assert check(spark.range(3)).count() == 0
+
+
+class _Resp:
+    def __init__(self, body):
+        self.body = body
+
+    def read(self):
+        return self.body
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        return False
+
+
+def test_http_fetcher_pages_and_per_page_retries(monkeypatch):
+    """The HTTP fetcher (no server: urlopen is replaced) asks ?page=&per_page= and
+    retries each page on its own budget."""
+    import urllib.parse
+    import urllib.request
+
+    from strata.sources import paged
+
+    calls, failures = [], {"left": 2}
+    pages = {1: [{"id": 1, "name": "a"}, {"id": 2, "name": "b"}], 2: [{"id": 3, "name": "c"}]}
+
+    def fake_urlopen(url, timeout):
+        q = dict(urllib.parse.parse_qsl(urllib.parse.urlsplit(url).query))
+        calls.append(q)
+        if q["page"] == "2" and failures["left"]:
+            failures["left"] -= 1
+            raise OSError("connection reset")
+        return _Resp(json.dumps(pages.get(int(q["page"]), [])).encode())
+
+    monkeypatch.setattr(urllib.request, "urlopen", fake_urlopen)
+    monkeypatch.setattr(paged.time, "sleep", lambda s: None)
+    http = paged._HttpPages("http://api.test/items?x=1", per_page=2, retries=3, timeout=5)
+    assert http.fetch(1) == ['{"id":1,"name":"a"}', '{"id":2,"name":"b"}']
+    assert calls[0] == {"x": "1", "page": "1", "per_page": "2"}
+    assert http.fetch(2) == ['{"id":3,"name":"c"}']  # two failures, then success
+    assert discover_page_count(http.fetch) == 2
+    failures["left"] = 10
+    with pytest.raises(OSError):
+        http.fetch(2)
