@@ -44,7 +44,7 @@ def main(argv):
         hot = hot.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.lit(-1))
                              .otherwise(F.col("l_orderkey")))
         hot.write.parquet(hot_path)
-    nation = spark.read.parquet(f"{src}/supplier.parquet").select(
+    supplier = spark.read.parquet(f"{src}/supplier.parquet").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     results = {}
     for name, path in (("plain", plain_path), ("hot", hot_path)):
@@ -55,7 +55,7 @@ def main(argv):
             "count_by": lambda d: count_by(d, ["l_orderkey"], "l_quantity", order=False),
             "distinct_rows": distinct_rows,
             "dedup_report": lambda d: dedup_report(d, ["l_orderkey", "l_linenumber"]),
-            "join_group": lambda d: enrich_and_aggregate(d, nation, "l_suppkey",
+            "join_group": lambda d: enrich_and_aggregate(d, supplier, "l_suppkey",
                                                          ["l_returnflag"], ["s_nationkey"],
                                                          value="l_extendedprice"),
         }
