@@ -83,25 +83,66 @@ def write_snapshots(df: DataFrame, base: str, key: str = SNAPSHOT_KEY, fmt: str
     write_partitioned(df, base, [key], fmt, "overwrite", dynamic=True, **options)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+class _HadoopFS:
+    """Directory operations through the session's Hadoop file systems (hdfs, s3a, gs, file)."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm = spark.sparkContext._jvm
+        self.conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _resolve(self, path: str):
+        p = self.jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.conf)
+
+    def exists(self, path: str) -> bool:
+        p, fs = self._resolve(path)
+        return bool(fs.exists(p))
+
+    def delete(self, path: str) -> None:
+        p, fs = self._resolve(path)
+        fs.delete(p, True)
+
+
+class _ArrowFS:
+    """The same operations through pyarrow, for sessions without a JVM (Spark Connect)."""
+
+    def _resolve(self, path: str):
+        from pyarrow import fs
+
+        if path.startswith("file:") and not path.startswith("file://"):
+            path = "/" + path[len("file:"):].lstrip("/")
+        return fs.FileSystem.from_uri(path)
+
+    def exists(self, path: str) -> bool:
+        from pyarrow import fs
+
+        filesystem, p = self._resolve(path)
+        return filesystem.get_file_info(p).type != fs.FileType.NotFound
+
+    def delete(self, path: str) -> None:
+        filesystem, p = self._resolve(path)
+        filesystem.delete_dir(p)
+
+
+def _fs(spark: SparkSession):
+    try:
+        return _HadoopFS(spark)
+    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect)
+        return _ArrowFS()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a layer or partition directory exists (any Hadoop file system)."""
-    p, fs = _fs(spark, path)
-    return bool(fs.exists(p))
+    """Whether a layer or partition directory exists."""
+    return _fs(spark).exists(path)
 
 
 def drop_partitions(spark: SparkSession, base: str, key: str, values: Iterable) -> list[str]:
-    """Delete the ``key=value`` directories of ``base`` (any Hadoop file system)."""
-    dropped = []
+    """Delete the ``key=value`` directories of ``base``; return the values dropped."""
+    fs, dropped = _fs(spark), []
     for v in values:
-        p, fs = _fs(spark, f"{base.rstrip('/')}/{key}={v}")
-        if fs.exists(p):
-            fs.delete(p, True)
+        path = f"{base.rstrip('/')}/{key}={v}"
+        if fs.exists(path):
+            fs.delete(path)
             dropped.append(str(v))
     return dropped
 

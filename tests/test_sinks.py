@@ -151,3 +151,15 @@ def test_snapshot_read_tolerates_an_unpartitioned_layer(spark, base):
     write_table(spark.createDataFrame([(1,), (2,)], "id int"), base)
     back = read_snapshot(spark, base, D1)
     assert rows(back) == [(1, D1), (2, D1)]
+
+
+def test_arrow_file_system_fallback(base, tmp_path):
+    from strata.sinks.writes import _ArrowFS
+
+    d = tmp_path / "layer" / "snapshot_date=2026-02-01"
+    d.mkdir(parents=True)
+    (d / "part-0.parquet").write_bytes(b"x")
+    fs = _ArrowFS()
+    assert fs.exists(str(d)) and fs.exists(f"file:{d}")
+    fs.delete(str(d))
+    assert not fs.exists(str(d))
