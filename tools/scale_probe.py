@@ -1,6 +1,7 @@
 """Scaling experiment: run the core operators on lineitem replicated N times.
 
     python tools/scale_probe.py <scratch_dir> [copies]
+    python tools/scale_probe.py <scratch_dir> [copies] --medallion
 
 Writes ``copies`` × sf0.1 lineitem (keys offset per copy, so the duplicate
 ratio stays the same) as a multi-file Parquet set, plus a skewed variant in
@@ -19,6 +20,38 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
+def medallion_probe(spark, scratch: str, copies: int) -> dict:
+    """The whole flow on sf0.1 documents replicated ``copies`` times (ids offset)."""
+    from pyspark.sql import functions as F
+
+    from strata.plans import medallion as M
+    from strata.plans.catalog import DOCS_SPEC, RUN_DATE, RUN_TS
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    span = docs.agg(F.max("doc_id")).first()[0] + 1
+    path = f"{scratch}/documents_x{copies}"
+    if not Path(path).exists():
+        big = docs.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_c"))
+        big = big.withColumn("doc_id", F.col("doc_id") + F.col("_c") * span).drop("_c")
+        big.repartition(32).write.parquet(path)
+    src = spark.read.parquet(path)
+    raw = src.select(F.to_json(F.struct(*src.columns)).alias("record"))
+    run = M.MedallionRun(spark, f"{scratch}/lake_x{copies}", RUN_DATE, DOCS_SPEC)
+    steps = [("landing", lambda: M.land_stage(run, raw)),
+             ("bronze", lambda: M.bronze_stage(run, M.landed_records(run), RUN_TS)),
+             ("silver", lambda: M.silver_stage(run)),
+             ("gold", lambda: M.gold_stage(run)),
+             ("quality", lambda: M.quality_stage(run))]
+    out = {}
+    for name, step in steps:
+        t = time.perf_counter()
+        step()
+        out[name] = round(time.perf_counter() - t, 2)
+    out["total"] = round(sum(out.values()), 2)
+    out["rows"] = dict(run.counts)
+    return out
+
+
 def main(argv):
     from pyspark.sql import functions as F
 
@@ -27,11 +60,16 @@ def main(argv):
     from strata.operators.silver import dedup, dedup_report, distinct_rows
     from strata.session import local_session, scale_conf
 
+    medallion = "--medallion" in argv
+    argv = [a for a in argv if a != "--medallion"]
     scratch, copies = argv[0], int(argv[1]) if len(argv) > 1 else 32
     src = "/root/testdata/sf0.1"
     input_bytes = (Path(src) / "lineitem.parquet").stat().st_size * copies
     conf = scale_conf(input_bytes, 8)
     spark = local_session(8, int(conf["spark.sql.shuffle.partitions"]), extra=conf)
+    if medallion:
+        print(json.dumps(medallion_probe(spark, scratch, copies)))
+        return
     li = spark.read.parquet(f"{src}/lineitem.parquet")
     span = li.agg(F.max("l_orderkey")).first()[0] + 1
     # Replicate with explode over a copy index (one output row per input row and copy).
