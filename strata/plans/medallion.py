@@ -29,6 +29,17 @@ from strata.sources.scans import read_snapshot
 log = logging.getLogger(__name__)
 
 
+# Layer directories under the lake base (landing and quarantine are
+# this library's own; the other three keep the familiar layer names).
+DEFAULT_LAYERS = {
+    "landing": "landing/breweries",
+    "bronze": "bronze/breweries",
+    "silver": "silver/breweries",
+    "gold": "gold/breweries_stats",
+    "quarantine": "quarantine/breweries",
+}
+
+
 @dataclass(frozen=True)
 class MedallionSpec:
     """What each layer keeps; the defaults are the brewery contract."""
@@ -49,9 +60,7 @@ class MedallionSpec:
     gold_keys: Sequence[str] = gold_ops.GOLD_KEYS
     gold_measure: str = gold_ops.GOLD_MEASURE
     gold_alias: str = gold_ops.GOLD_ALIAS
-    layers: dict = field(default_factory=lambda: {
-        "landing": "landing/breweries", "bronze": "bronze/breweries", "silver": "silver/breweries",
-        "gold": "gold/breweries_stats", "quarantine": "quarantine/breweries"})
+    layers: dict = field(default_factory=lambda: dict(DEFAULT_LAYERS))
 
 
 @dataclass
