@@ -161,18 +161,20 @@ def retain_snapshots(spark: SparkSession, base: str, keep_from, key: str = SNAPS
 
 
 def export_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False,
-               max_single_file_rows: int = 1_000_000, mode: str = "overwrite") -> bool:
+               max_single_file_rows: int = 1_000_000, mode: str = "overwrite",
+               **options) -> bool:
     """CSV export; returns True when it produced a single file.
 
     ``single_file`` funnels rows through one task, so it is honoured only when
     the row count is proven under ``max_single_file_rows`` (a ``limit`` probe);
-    larger data is written in parallel part files.
+    larger data is written in parallel part files. ``options`` go to the CSV
+    writer (for example ``nullValue="\\N"`` so that ``''`` and null stay apart).
     """
     one = single_file and df.limit(max_single_file_rows + 1).count() <= max_single_file_rows
     if single_file and not one:
         log.warning("export_csv: more than %s rows, writing part files", max_single_file_rows)
     out = df.coalesce(1) if one else df
-    out.write.mode(mode).option("header", header).csv(path)
+    out.write.mode(mode).option("header", header).options(**options).csv(path)
     return one
 
 
