@@ -46,14 +46,24 @@ def to_bronze(df: DataFrame, contract: T.StructType = BRONZE_CONTRACT,
     return add_ingest_metadata(normalize_strings(df, contract), run_ts)
 
 
+CORRUPT_RECORD = "_corrupt_record"
+
+
 def from_json_records(records: DataFrame, contract: T.StructType = BRONZE_CONTRACT,
-                      column: str = "record") -> DataFrame:
+                      column: str = "record", corrupt: str | None = CORRUPT_RECORD) -> DataFrame:
     """Parse one-JSON-object-per-row text into the contract, JVM-side.
 
     With text fields, JSON numbers/booleans/objects keep their raw JSON text,
     so row-to-row type drift (``1`` vs ``1.0``) never breaks the load. Other
-    columns of ``records`` (for example a page number) are kept in front.
+    columns of ``records`` (for example a page number) are kept in front. A
+    record that is not valid JSON keeps its raw text in the ``corrupt`` column
+    (null for good records) instead of silently becoming a row of nulls.
     """
     keep = [c for c in records.columns if c != column]
-    parsed = F.from_json(F.col(column), contract, {"mode": "PERMISSIVE"}).alias("_r")
+    schema = contract
+    options = {"mode": "PERMISSIVE"}
+    if corrupt:
+        schema = T.StructType(list(contract.fields) + [T.StructField(corrupt, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt
+    parsed = F.from_json(F.col(column), schema, options).alias("_r")
     return records.select(*keep, parsed).select(*keep, "_r.*")

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from strata.functions.contracts import BRONZE_CONTRACT, EmptyInputError
 from strata.operators import gold as gold_ops
 from strata.operators import quality
-from strata.operators.bronze import from_json_records, to_bronze
+from strata.operators.bronze import CORRUPT_RECORD, from_json_records, to_bronze
 from strata.operators.silver import SILVER_COLUMNS, clean, dedup
 from strata.sinks.writes import drop_partitions, write_snapshot
 from strata.sources.scans import read_snapshot
@@ -122,29 +122,40 @@ def landed_records(run: MedallionRun) -> DataFrame:
 def bronze_stage(run: MedallionRun, source: DataFrame, run_ts=None) -> int:
     """Conform the source records and write the Bronze snapshot.
 
-    Rows missing a required contract field are counted during the write (an
-    ``Observation``, no extra job) and handled per ``spec.on_missing_required``.
+    Rows missing a required contract field, and records that were not valid JSON
+    (raw text kept in ``_corrupt_record`` by the parser), are counted during the
+    write (an ``Observation``, no extra job) and handled per
+    ``spec.on_missing_required``: warn, fail, or quarantine (bad rows, with their
+    raw text, go to the quarantine layer instead of Bronze).
     """
     spec = run.spec
-    bronze = to_bronze(source, spec.contract, run_ts)
     required = [f.name for f in spec.contract.fields if not f.nullable]
+    contract = spec.contract
+    malformed = F.lit(False)
+    if CORRUPT_RECORD in source.columns:
+        contract = T.StructType(list(contract.fields)
+                                + [T.StructField(CORRUPT_RECORD, T.StringType())])
+        malformed = F.col(CORRUPT_RECORD).isNotNull()
     missing = quality.any_null(required) if required else F.lit(False)
-    if spec.on_missing_required == "quarantine" and required:
-        run.counts["quarantine"] = write_snapshot(bronze.filter(missing), run.path("quarantine"),
+    bad = missing | malformed
+    bronze = to_bronze(source, contract, run_ts)
+    if spec.on_missing_required == "quarantine":
+        run.counts["quarantine"] = write_snapshot(bronze.filter(bad), run.path("quarantine"),
                                                   run.snapshot)
-        bronze = bronze.filter(~missing)
+        bronze = bronze.filter(~bad)
     obs = Observation("bronze")
-    bronze = bronze.observe(obs, F.count_if(missing).alias("missing_required"))
-    rows = write_snapshot(bronze, run.path("bronze"), run.snapshot)
+    bronze = bronze.observe(obs, F.count_if(missing & ~malformed).alias("missing_required"),
+                            F.count_if(malformed).alias("malformed"))
+    rows = write_snapshot(bronze.drop(CORRUPT_RECORD), run.path("bronze"), run.snapshot)
     run.counts["bronze"] = rows
-    run.violations["missing_required"] = int(obs.get.get("missing_required") or 0)
-    if run.violations["missing_required"]:
+    got = obs.get
+    run.violations = {k: int(got.get(k) or 0) for k in ("missing_required", "malformed")}
+    if sum(run.violations.values()):
         if spec.on_missing_required == "fail":
             drop_partitions(run.spark, run.path("bronze"), "snapshot_date", [run.snapshot.isoformat()])
             raise quality.DataQualityError(
-                f"bronze: {run.violations['missing_required']} rows miss a required field {required}")
-        log.warning("bronze: %s rows miss a required field %s",
-                    run.violations["missing_required"], required)
+                f"bronze: bad records {run.violations} (required fields {required})")
+        log.warning("bronze: bad records %s (required fields %s)", run.violations, required)
     if rows == 0:
         raise EmptyInputError("bronze: the source returned no records")
     log.info("bronze: %s rows", rows)

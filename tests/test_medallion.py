@@ -132,3 +132,42 @@ def test_command_line(spark, tmp_path, base, capsys):
     assert main(["check", "--base", base, "--date", "2026-02-02"]) == 0
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert all(r["passed"] for r in report)
+
+
+
+def jsonl_landing(tmp_path, lines):
+    root = str(tmp_path / "landing_lines")
+    os.makedirs(f"{root}/page=1")
+    with open(f"{root}/page=1/data.json", "w") as f:
+        f.write("\n".join(lines))
+    return root
+
+
+@pytest.mark.parametrize("mode", ["warn", "fail", "quarantine"])
+def test_malformed_records_are_caught(spark, tmp_path, base, mode):
+    from strata.sources.paged import read_pages
+
+    lines = [json.dumps(r) for r in GOOD] + ['{"id": 9, "name": "broken"']
+    raw = read_pages(spark, path=jsonl_landing(tmp_path, lines))
+    spec = MedallionSpec(version=("updated_at",), on_missing_required=mode)
+    day = dt.date(2026, 2, 2)
+    if mode == "fail":
+        with pytest.raises(DataQualityError, match="malformed"):
+            run_medallion(spark, raw, base, day, spec)
+        return
+    if mode == "warn":
+        from strata.plans import medallion as M
+
+        run = M.MedallionRun(spark, base, day, spec)
+        M.land_stage(run, raw)
+        M.bronze_stage(run, M.landed_records(run))
+        assert run.violations == {"missing_required": 0, "malformed": 1}
+        assert run.counts == {"landing": 5, "bronze": 5}  # kept, counted, warned
+        with pytest.raises(DataQualityError, match="no_null_keys"):  # caught again at Gold
+            run_medallion(spark, raw, base, day, spec)
+        return
+    run = run_medallion(spark, raw, base, day, spec)
+    assert run.counts["landing"] == 5
+    assert run.counts["quarantine"] == 1 and run.counts["bronze"] == 4
+    q = spark.read.parquet(f"{base}/quarantine/breweries").first()
+    assert q["_corrupt_record"] == '{"id": 9, "name": "broken"'

@@ -31,7 +31,8 @@ def test_success(spark, tmp_path):
     df = read_paged(spark, BRONZE_CONTRACT, path=root)
     got = sorted((r["id"], r["name"]) for r in df.collect())
     assert got == [("1", "Brewery 1"), ("2", "Brewery 2")]
-    assert df.columns == ["page", *BRONZE_CONTRACT.fieldNames()]
+    assert df.columns == ["page", *BRONZE_CONTRACT.fieldNames(), "_corrupt_record"]
+    assert df.filter("_corrupt_record is not null").count() == 0
 
 
 def test_pagination_stops_at_first_empty_page(spark, tmp_path):
