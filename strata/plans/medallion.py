@@ -24,6 +24,7 @@ from strata.operators import quality
 from strata.operators.bronze import CORRUPT_RECORD, from_json_records, to_bronze
 from strata.operators.silver import SILVER_COLUMNS, clean, dedup
 from strata.sinks.writes import drop_partitions, write_snapshot
+from strata.sources.paged import page_report
 from strata.sources.scans import read_snapshot
 
 log = logging.getLogger(__name__)
@@ -72,6 +73,7 @@ class MedallionRun:
     counts: dict = field(default_factory=dict)
     nulls: dict = field(default_factory=dict)
     violations: dict = field(default_factory=dict)
+    pages: dict = field(default_factory=dict)
     quality: list = field(default_factory=list)
 
     def path(self, layer: str) -> str:
@@ -97,15 +99,32 @@ class MedallionRun:
         return quality.with_reduction(counts)
 
 
-def land_stage(run: MedallionRun, records: DataFrame) -> int:
-    """Keep the raw records (one JSON text per row) untouched in the landing snapshot.
+LANDING_SCHEMA = T.StructType([T.StructField("page", T.IntegerType()),
+                              T.StructField("value", T.StringType())])
+
 
-    Landing is text, in its own directory, so raw payloads never mix with the
-    Parquet layers; Bronze is then parsed from it and can be rebuilt from it.
+def land_stage(run: MedallionRun, records: DataFrame) -> int:
+    """Keep the raw records untouched in the landing snapshot, with their page number.
+
+    Landing has its own directory, so raw payloads never mix with the curated
+    layers; each record's JSON text is stored byte for byte (``value``) next to
+    the page it came from (``page``, null when the source has no pages). Bronze
+    is parsed from it and can always be rebuilt from it without refetching.
+    When pages are known, one aggregate over the page column (no record is read)
+    checks that no page inside the fetched range is missing.
     """
-    rows = write_snapshot(records.select(F.col("record").alias("value")), run.path("landing"),
-                          run.snapshot, fmt="text")
+    page = F.col("page").cast("int") if "page" in records.columns else F.lit(None).cast("int")
+    rows = write_snapshot(records.select(page.alias("page"), F.col("record").alias("value")),
+                          run.path("landing"), run.snapshot)
     run.counts["landing"] = rows
+    if rows and "page" in records.columns:
+        landed = read_snapshot(run.spark, run.path("landing"), run.snapshot,
+                               schema=LANDING_SCHEMA, require=False)
+        run.pages = page_report(landed).first().asDict()
+        if run.pages["missing_pages"]:
+            if run.spec.on_missing_required == "fail":
+                raise quality.DataQualityError(f"landing: pages missing {run.pages}")
+            log.warning("landing: pages missing %s", run.pages)
     return rows
 
 
@@ -113,8 +132,7 @@ def landed_records(run: MedallionRun) -> DataFrame:
     """The landing snapshot parsed into the Bronze contract (JVM-side ``from_json``)."""
     if run.counts.get("landing") == 0:
         raise EmptyInputError("landing: the source returned no records")
-    raw = read_snapshot(run.spark, run.path("landing"), run.snapshot, fmt="text",
-                        schema=T.StructType([T.StructField("value", T.StringType())]),
+    raw = read_snapshot(run.spark, run.path("landing"), run.snapshot, schema=LANDING_SCHEMA,
                         require=False)
     return from_json_records(raw.select(F.col("value").alias("record")), run.spec.contract)
 

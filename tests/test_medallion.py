@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.functions.contracts import BRONZE_CONTRACT, EmptyInputError
 from strata.operators.quality import DataQualityError
@@ -83,8 +84,11 @@ def test_raw_records_are_landed_then_parsed(spark, tmp_path, base):
     assert run.counts["landing"] == 4 and run.counts["silver"] == 3
     assert os.listdir(f"{base}/landing/breweries") and any(
         d == "snapshot_date=2026-02-02" for d in os.listdir(f"{base}/landing/breweries"))
-    landed = spark.read.text(f"{base}/landing/breweries/snapshot_date=2026-02-02")
-    assert landed.filter("value like '%\\\"extra\\\":true%'").count() == 1  # raw payload kept whole
+    landed = spark.read.parquet(f"{base}/landing/breweries/snapshot_date=2026-02-02")
+    assert landed.columns == ["page", "value"]
+    assert landed.filter(F.col("value").contains('"extra":true')).count() == 1  # kept whole
+    assert run.pages == {"pages": 1, "first_page": 1, "last_page": 1, "missing_pages": 0,
+                         "short_pages": None, "records": 4}
 
 
 def test_silver_extension_step(spark, tmp_path, base):
@@ -171,3 +175,20 @@ def test_malformed_records_are_caught(spark, tmp_path, base, mode):
     assert run.counts["quarantine"] == 1 and run.counts["bronze"] == 4
     q = spark.read.parquet(f"{base}/quarantine/breweries").first()
     assert q["_corrupt_record"] == '{"id": 9, "name": "broken"'
+
+
+
+def test_missing_page_is_reported(spark, tmp_path, base):
+    from strata.sources.paged import read_pages
+
+    root = str(tmp_path / "gappy")
+    for page, recs in ((1, GOOD[:2]), (2, GOOD[2:3]), (3, GOOD[3:])):
+        os.makedirs(f"{root}/page={page}")
+        with open(f"{root}/page={page}/data.json", "w") as f:
+            json.dump(recs, f)
+    raw = read_pages(spark, path=root, pages=3).filter("page <> 2")  # page 2 lost in transit
+    run = run_medallion(spark, raw, base, dt.date(2026, 2, 2), SPEC)
+    assert run.pages["missing_pages"] == 1 and run.pages["records"] == 3
+    strict = MedallionSpec(version=("updated_at",), on_missing_required="fail")
+    with pytest.raises(DataQualityError, match="pages missing"):
+        run_medallion(spark, raw, base + "2", dt.date(2026, 2, 2), strict)
