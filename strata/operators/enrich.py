@@ -24,8 +24,10 @@ def _row_bytes(dim: DataFrame):
             size = size + F.coalesce(F.octet_length(c), F.lit(0))
         elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
             size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+        elif isinstance(t, T.DecimalType):
+            size = size + F.lit(16)
         else:
-            size = size + F.lit(8)  # fixed-width scalars: at most 8 bytes (16 for decimals)
+            size = size + F.lit(8)  # other fixed-width scalars: at most 8 bytes
     return size
 
 
@@ -49,9 +51,9 @@ def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str =
     """Join ``fact`` with a reference table.
 
     The reference side is broadcast (``BroadcastHashJoin``, no shuffle of the
-    fact side, immune to skewed join keys) only when its row count is proven
-    under ``max_broadcast_rows`` and ``max_broadcast_bytes``; otherwise the plan
-    stays a shuffle join that adaptive execution may still convert or split for skew.
+    fact side, immune to skewed join keys) only when it is proven under
+    ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` bytes; otherwise the
+    join is a sort-merge join, which adaptive execution splits for skewed keys.
     """
     small = fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes)
     # Over the bound, pin a shuffle join so no optimistic size estimate broadcasts it.
