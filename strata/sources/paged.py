@@ -11,7 +11,8 @@ Two page fetchers:
 * ``path``: page payload files laid out as ``<path>/page=<n>/*`` (JSON lines,
   or one JSON array per file), on any file system pyarrow can open;
 * ``url``: an HTTP endpoint answering ``?page=<n>&per_page=<k>`` with a JSON
-  array (used only where the executors can reach it).
+  array (used only where the executors can reach it); options ``retries`` (per
+  page), ``timeout`` and ``min_interval`` (seconds between one task's requests).
 """
 
 from __future__ import annotations
@@ -74,8 +75,18 @@ class _FilePages:
 
 
 class _HttpPages:
-    def __init__(self, url: str, per_page: int, retries: int, timeout: float):
+    def __init__(self, url: str, per_page: int, retries: int, timeout: float,
+                 min_interval: float = 0.0):
         self.url, self.per_page, self.retries, self.timeout = url, per_page, retries, timeout
+        self.min_interval = min_interval  # rate limit: seconds between requests of one task
+        self._last = None
+
+    def _pace(self) -> None:
+        if self.min_interval and self._last is not None:
+            wait = self.min_interval - (time.monotonic() - self._last)
+            if wait > 0:
+                time.sleep(wait)
+        self._last = time.monotonic()
 
     def fetch(self, page: int) -> list[str]:
         import urllib.parse
@@ -84,6 +95,7 @@ class _HttpPages:
         sep = "&" if "?" in self.url else "?"
         query = urllib.parse.urlencode({"page": page, "per_page": self.per_page})
         for attempt in range(self.retries + 1):  # the retry budget is per page
+            self._pace()
             try:
                 with urllib.request.urlopen(f"{self.url}{sep}{query}", timeout=self.timeout) as r:
                     return _split_records(r.read())
@@ -99,7 +111,8 @@ def _fetcher(options: dict):
         return _FilePages(options["path"])
     if options.get("url"):
         return _HttpPages(options["url"], int(options.get("per_page", 200)),
-                          int(options.get("retries", 3)), float(options.get("timeout", 30)))
+                          int(options.get("retries", 3)), float(options.get("timeout", 30)),
+                          float(options.get("min_interval", 0)))
     raise ValueError("paged source needs a 'path' or 'url' option")
 
 

@@ -142,3 +142,20 @@ def test_http_fetcher_pages_and_per_page_retries(monkeypatch):
     failures["left"] = 10
     with pytest.raises(OSError):
         http.fetch(2)
+
+
+def test_http_fetcher_rate_limit(monkeypatch):
+    import urllib.request
+
+    from strata.sources import paged
+
+    clock = {"t": 0.0}
+    slept = []
+    monkeypatch.setattr(paged.time, "monotonic", lambda: clock["t"])
+    monkeypatch.setattr(paged.time, "sleep", lambda s: (slept.append(s), clock.update(t=clock["t"] + s)))
+    monkeypatch.setattr(urllib.request, "urlopen", lambda url, timeout: _Resp(b"[]"))
+    http = paged._HttpPages("http://api.test/items", 200, 0, 5, min_interval=0.2)
+    for page in (1, 2, 3):
+        http.fetch(page)
+        clock["t"] += 0.05  # each response takes 50 ms
+    assert slept == pytest.approx([0.15, 0.15])
