@@ -192,3 +192,15 @@ def test_missing_page_is_reported(spark, tmp_path, base):
     strict = MedallionSpec(version=("updated_at",), on_missing_required="fail")
     with pytest.raises(DataQualityError, match="pages missing"):
         run_medallion(spark, raw, base + "2", dt.date(2026, 2, 2), strict)
+
+
+
+def test_metrics_start_at_landing(spark, tmp_path, base):
+    from strata.sources.paged import read_pages
+
+    lines = [json.dumps(r) for r in GOOD] + ['{"broken"']
+    raw = read_pages(spark, path=jsonl_landing(tmp_path, lines))
+    spec = MedallionSpec(version=("updated_at",), on_missing_required="quarantine")
+    run = run_medallion(spark, raw, base, dt.date(2026, 2, 2), spec)
+    m = [(r["layer"], r["rows"], r["removed"]) for r in run.metrics().orderBy("step").collect()]
+    assert m == [("landing", 5, None), ("bronze", 4, 1), ("silver", 3, 1), ("gold", 3, 0)]
