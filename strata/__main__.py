@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
             read_pages(spark, path=src)
         result = run_medallion(spark, raw, args.base, args.date, spec)
         print(json.dumps({"counts": result.counts, "nulls": result.nulls,
-                          "violations": result.violations}))
+                          "violations": result.violations, "pages": result.pages}))
         return 0
     import datetime as dt
 

@@ -132,7 +132,7 @@ def test_command_line(spark, tmp_path, base, capsys):
     assert main(["run", "--pages", pages, "--base", base, "--date", "2026-02-02",
                  "--version", "updated_at"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["counts"]["silver"] == 3
+    assert out["counts"]["silver"] == 3 and out["pages"]["missing_pages"] == 0
     assert main(["check", "--base", base, "--date", "2026-02-02"]) == 0
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert all(r["passed"] for r in report)
