@@ -41,4 +41,5 @@ def orderable(dtype: T.DataType) -> bool:
 
 
 def orderable_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
+    """Names of the columns of ``df`` that Spark can order (minus ``exclude``)."""
     return [f.name for f in df.schema.fields if f.name not in exclude and orderable(f.dataType)]

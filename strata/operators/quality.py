@@ -83,6 +83,7 @@ def enforce(report: DataFrame) -> list:
 
 
 def any_null(cols: Sequence[str]) -> Column:
+    """True when any of ``cols`` is null."""
     cond = F.lit(False)
     for c in cols:
         cond = cond | F.col(c).isNull()

@@ -60,6 +60,7 @@ DOCS_SPEC = MedallionSpec(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (``<sf_dir>/<name>.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -87,19 +88,23 @@ def _orders_by_year(spark, sf_dir, name):
 # --- Bronze ---------------------------------------------------------------
 
 def q_normalize_strings(spark, sf_dir):
+    """P5: every customer value as text (Spark cast semantics)."""
     return normalize_strings(table(spark, sf_dir, "customer"))
 
 
 def q_bronze_metadata(spark, sf_dir):
+    """Ingestion timestamp and date from the run's logical instant."""
     return add_ingest_metadata(table(spark, sf_dir, "customer"), RUN_TS)
 
 
 def q_bronze_contract(spark, sf_dir):
+    """Customer conformed to an all-text contract; missing field null-filled."""
     out = conform(table(spark, sf_dir, "customer"), CUSTOMER_CONTRACT)
     return assert_schema(out, CUSTOMER_CONTRACT, strict=False)
 
 
 def q_schema_evolve(spark, sf_dir):
+    """Add a missing column and cast columns to an evolved schema."""
     target = T.StructType([
         T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.StringType()),
         T.StructField("o_orderstatus", T.StringType()),
@@ -109,6 +114,7 @@ def q_schema_evolve(spark, sf_dir):
 
 
 def q_bronze_stage(spark, sf_dir):
+    """G1, K2: guard, contract, metadata, snapshot write, snapshot read-back."""
     customer = quality.guard_non_empty(table(spark, sf_dir, "customer"), "customer")
     base = scratch_path(spark, "bronze_stage")
     write_snapshot(to_bronze(customer, CUSTOMER_CONTRACT, RUN_TS), base, RUN_DATE)
@@ -116,6 +122,7 @@ def q_bronze_stage(spark, sf_dir):
 
 
 def q_src_paged(spark, sf_dir):
+    """Orders cut into pages of 200 keys, read back through the paged source."""
     landing = scratch_path(spark, "landing_orders")
     orders = table(spark, sf_dir, "orders")
     pages = orders.withColumn("page", (F.col("o_orderkey") / 200).cast("bigint") + 1)
@@ -124,6 +131,7 @@ def q_src_paged(spark, sf_dir):
 
 
 def q_union_pages(spark, sf_dir):
+    """Separately read pages with drifting columns, unioned by name."""
     orders = table(spark, sf_dir, "orders")
     # Range predicates on the raw column (not year(...)) reach the Parquet reader,
     # so each slice skips the row groups of the others.
@@ -138,6 +146,7 @@ def q_union_pages(spark, sf_dir):
 # --- Silver ---------------------------------------------------------------
 
 def q_silver_clean(spark, sf_dir):
+    """Select, trim, rename on padded document fields."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.concat(F.lit("  "), "source", F.lit(" ")).alias("source"),
         F.concat(F.lit(" "), "lang", F.lit("  ")).alias("lang"), "n_chars")
@@ -146,57 +155,70 @@ def q_silver_clean(spark, sf_dir):
 
 
 def q_dedup_latest(spark, sf_dir):
+    """Keep the latest row per lineitem key (total order)."""
     return dedup(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, ["l_shipdate"], keep="last")
 
 
 def q_dedup_first(spark, sf_dir):
+    """Keep the first row per lineitem key (total order)."""
     return dedup(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, ["l_shipdate"], keep="first")
 
 
 def q_dedup_report(spark, sf_dir):
+    """Rows in, distinct keys out, removed rows, duplicated keys."""
     return dedup_report(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS)
 
 
 def q_distinct_rows(spark, sf_dir):
+    """Whole-row de-duplication."""
     return distinct_rows(table(spark, sf_dir, "lineitem"))
 
 
 # --- Gold -----------------------------------------------------------------
 
 def q_gold_stats(spark, sf_dir):
+    """A1, O1: count of documents per (source, lang), total order."""
     return _docs_gold(spark, sf_dir)
 
 
 def q_gold_top_n(spark, sf_dir):
+    """O2: top-10 Gold groups."""
     return gold_ops.gold_top_n(_docs_gold(spark, sf_dir, order=False), 10, "qty", ["source", "lang"])
 
 
 def q_gold_point_lookup(spark, sf_dir):
+    """one Gold group by equality filter."""
     return gold_ops.point_lookup(_docs_gold(spark, sf_dir, order=False), source="src7", lang="en")
 
 
 def q_ordered_sample(spark, sf_dir):
+    """O3: first rows of a total order."""
     return gold_ops.top_n(table(spark, sf_dir, "orders"), 5, [F.col("o_orderkey").asc()])
 
 
 def q_filter_threshold(spark, sf_dir):
+    """threshold filter pushed to the Parquet scan."""
     return table(spark, sf_dir, "lineitem").filter(F.col("l_quantity") > 10)
 
 
 def q_count_by_key(spark, sf_dir):
+    """Count per single key, null group included."""
     return gold_ops.count_by(_lineitem_nulls(spark, sf_dir), ["l_returnflag"], None, "n", order=False)
 
 
 def q_agg_non_null_keys(spark, sf_dir):
+    """count(*) per two keys over rows with non-null keys."""
     return gold_ops.count_non_null_keys(_lineitem_nulls(spark, sf_dir),
                                         ["l_returnflag", "l_linestatus"])
 
 
 def q_date_parts_stats(spark, sf_dir):
+    """count/min/max/sum/avg per year, month, day."""
     return gold_ops.date_part_stats(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
 
 
 def q_broadcast_enrich(spark, sf_dir):
+    """Customer joined to nation (size-checked broadcast), then grouped."""
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     return enrich_and_aggregate(customer, nation, "c_nationkey", ["c_mktsegment"], ["n_name"],
@@ -206,28 +228,34 @@ def q_broadcast_enrich(spark, sf_dir):
 # --- Quality --------------------------------------------------------------
 
 def q_dq_gold(spark, sf_dir):
+    """One-pass Gold quality report."""
     gold = _lineitem_gold(table(spark, sf_dir, "lineitem"))
     return quality.check_gold(gold, ["l_returnflag", "l_linestatus"], "qty")
 
 
 def q_dq_summary(spark, sf_dir):
+    """Gold summary (rows, distinct keys, total)."""
     gold = _lineitem_gold(table(spark, sf_dir, "lineitem"))
     return quality.gold_summary(gold, ["l_returnflag", "l_linestatus"], "qty")
 
 
 def q_null_profile(spark, sf_dir):
+    """Null count of every column in one aggregate."""
     return quality.null_profile(_lineitem_nulls(spark, sf_dir))
 
 
 def q_distinct_profile(spark, sf_dir):
+    """A10: exact distinct count of every column in one aggregate."""
     return quality.distinct_profile(table(spark, sf_dir, "orders"))
 
 
 def q_describe_stats(spark, sf_dir):
+    """Typed count/mean/stddev/min/max."""
     return quality.describe_stats(table(spark, sf_dir, "orders"), ["o_totalprice"], scale=2)
 
 
 def q_dq_trimmed(spark, sf_dir):
+    """F8: values with outer spaces per column."""
     docs = table(spark, sf_dir, "documents").select(
         F.when(F.col("lang") == "en", F.concat("source", F.lit(" "))).otherwise(F.col("source"))
          .alias("source"), "lang")
@@ -235,18 +263,22 @@ def q_dq_trimmed(spark, sf_dir):
 
 
 def q_dq_row_bounds(spark, sf_dir):
+    """Row count within bounds."""
     return quality.row_bounds(table(spark, sf_dir, "orders"), 1, 1_000_000)
 
 
 def q_row_count(spark, sf_dir):
+    """A2: global row count."""
     return table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_guard_non_empty(spark, sf_dir):
+    """Empty-input guard (passes the rows through)."""
     return quality.guard_non_empty(table(spark, sf_dir, "orders"), "orders")
 
 
 def q_layer_reconcile(spark, sf_dir):
+    """Rows per layer and reduction from the layer before."""
     bronze = table(spark, sf_dir, "lineitem")
     silver = dedup(bronze, LINEITEM_KEYS, ["l_shipdate"])
     return quality.reconcile([("bronze", bronze), ("silver", silver),
@@ -254,35 +286,41 @@ def q_layer_reconcile(spark, sf_dir):
 
 
 def q_partition_skew(spark, sf_dir):
+    """L4: rows and share per logical bucket of a key."""
     return key_skew(table(spark, sf_dir, "orders"), "o_custkey", 8)
 
 
 # --- Sinks and snapshot scans ------------------------------------------------
 
 def q_scan_parquet(spark, sf_dir):
+    """Format-generic Parquet scan with pruning and pushdown."""
     customer = read_table(spark, f"{sf_dir.rstrip('/')}/customer.parquet", "parquet")
     return customer.select("c_custkey", "c_name", "c_acctbal").filter(F.col("c_acctbal") > 0)
 
 
 def q_write_roundtrip(spark, sf_dir):
+    """K1, K5: unpartitioned Gold write and read-back."""
     path = scratch_path(spark, "gold_unpartitioned")
     write_table(_docs_gold(spark, sf_dir, order=False), path)
     return read_table(spark, path)
 
 
 def q_scan_json_roundtrip(spark, sf_dir):
+    """JSON write and read with an explicit schema."""
     path = scratch_path(spark, "customer_json")
     write_table(table(spark, sf_dir, "customer"), path, "json")
     return read_table(spark, path, "json", CUSTOMER_SCHEMA)
 
 
 def q_csv_export(spark, sf_dir):
+    """Single-file CSV export under a proven row bound, read back."""
     path = scratch_path(spark, "customer_csv")
     export_csv(table(spark, sf_dir, "customer"), path, single_file=True)
     return read_table(spark, path, "csv", CUSTOMER_SCHEMA, header=True)
 
 
 def q_partition_by_value(spark, sf_dir):
+    """K3, L1: value-partitioned write (REBALANCE), read back."""
     path = scratch_path(spark, "customer_by_segment")
     write_partitioned(table(spark, sf_dir, "customer"), path, ["c_mktsegment"])
     schema = T.StructType([f for f in CUSTOMER_SCHEMA.fields if f.name != "c_mktsegment"]
@@ -291,12 +329,14 @@ def q_partition_by_value(spark, sf_dir):
 
 
 def q_staged_checkpoint(spark, sf_dir):
+    """Silver staged on shared storage, Gold from the staged copy."""
     silver = stage(dedup(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, ["l_shipdate"]),
                    "silver_lineitem")
     return _lineitem_gold(silver)
 
 
 def q_snapshot_read(spark, sf_dir):
+    """One snapshot read through a partition filter."""
     base = scratch_path(spark, "orders_by_snapshot")
     orders = table(spark, sf_dir, "orders")
     snap = F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1))
@@ -305,6 +345,7 @@ def q_snapshot_read(spark, sf_dir):
 
 
 def q_partition_prune_ym(spark, sf_dir):
+    """year/month partitions pruned by a filter."""
     base = scratch_path(spark, "orders_by_ym")
     orders = table(spark, sf_dir, "orders")
     write_partitioned(orders.withColumn("year", F.year("o_orderdate"))
@@ -316,6 +357,7 @@ def q_partition_prune_ym(spark, sf_dir):
 
 
 def q_snapshot_overwrite(spark, sf_dir):
+    """One year rewritten with dynamic overwrite; others untouched."""
     base = _orders_by_year(spark, sf_dir, "orders_overwrite")
     schema = T.StructType(list(ORDERS_SCHEMA.fields) + [T.StructField("year", T.IntegerType())])
     redo = (spark.read.schema(schema).parquet(base).filter(F.col("year") == 1996)
@@ -325,11 +367,13 @@ def q_snapshot_overwrite(spark, sf_dir):
 
 
 def q_list_snapshots(spark, sf_dir):
+    """K8: partition values listed without reading data columns."""
     base = _orders_by_year(spark, sf_dir, "orders_list")
     return list_snapshots(spark, base, "year", key_type=T.IntegerType())
 
 
 def q_snapshot_retention(spark, sf_dir):
+    """K9: partitions below a cutoff dropped."""
     base = _orders_by_year(spark, sf_dir, "orders_retention")
     retain_snapshots(spark, base, 1998, key="year", key_type=T.IntegerType())
     schema = T.StructType(list(ORDERS_SCHEMA.fields) + [T.StructField("year", T.IntegerType())])
