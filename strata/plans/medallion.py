@@ -164,7 +164,7 @@ def bronze_stage(run: MedallionRun, source: DataFrame, run_ts=None) -> int:
         run.counts["quarantine"] = write_snapshot(bronze.filter(bad), run.path("quarantine"),
                                                   run.snapshot)
         bronze = bronze.filter(~bad)
-    obs = Observation("bronze")
+    obs = Observation()
     bronze = bronze.observe(obs, F.count_if(missing & ~malformed).alias("missing_required"),
                             F.count_if(malformed).alias("malformed"))
     rows = write_snapshot(bronze.drop(CORRUPT_RECORD), run.path("bronze"), run.snapshot)
@@ -193,7 +193,7 @@ def silver_stage(run: MedallionRun) -> int:
         cleaned = cleaned.transform(step)
     silver = dedup(cleaned, spec.keys, spec.version, spec.keep).drop(*carried)
     checked = [c for c in spec.null_check if c in silver.columns]
-    obs = Observation("silver")
+    obs = Observation()
     silver = silver.observe(obs, F.count(F.lit(1)).alias("rows"),
                             *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in checked])
     write_snapshot(silver, run.path("silver"), run.snapshot)

@@ -63,7 +63,7 @@ def write_snapshot(df: DataFrame, base: str, snapshot, key: str = SNAPSHOT_KEY,
     snapshot it replaces. Returns the number of rows written.
     """
     day = _date_value(snapshot)
-    obs = metrics or Observation(f"write_{key}_{day.isoformat()}")
+    obs = metrics or Observation()
     out = df.withColumn(key, F.lit(day)).observe(obs, F.count(F.lit(1)).alias("rows"))
     write_partitioned(out, base, [key], fmt, "overwrite", dynamic=True, rebalance=False, **options)
     rows = int(obs.get.get("rows", 0))
