@@ -204,3 +204,17 @@ def test_metrics_start_at_landing(spark, tmp_path, base):
     run = run_medallion(spark, raw, base, dt.date(2026, 2, 2), spec)
     m = [(r["layer"], r["rows"], r["removed"]) for r in run.metrics().orderBy("step").collect()]
     assert m == [("landing", 5, None), ("bronze", 4, 1), ("silver", 3, 1), ("gold", 3, 0)]
+
+
+def test_two_dates_run_concurrently(spark, tmp_path, base):
+    from concurrent.futures import ThreadPoolExecutor
+
+    src = read_paged(spark, BRONZE_CONTRACT, path=landing(tmp_path, GOOD))
+    days = [dt.date(2026, 2, 1), dt.date(2026, 2, 2)]
+    with ThreadPoolExecutor(2) as pool:
+        runs = list(pool.map(lambda d: run_medallion(spark, src, base, d, SPEC), days))
+    assert [r.counts for r in runs] == [{"bronze": 4, "silver": 3, "gold": 3}] * 2
+    assert rows(runs[0].gold()) == rows(runs[1].gold())
+    for layer in ("bronze/breweries", "silver/breweries", "gold/breweries_stats"):
+        assert sorted(d for d in os.listdir(f"{base}/{layer}") if d.startswith("snapshot_date=")) == [
+            "snapshot_date=2026-02-01", "snapshot_date=2026-02-02"]
