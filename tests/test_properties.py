@@ -58,3 +58,57 @@ def test_partition_values_edge_cases(spark, tmp_path):
     assert rows(back) == sorted([(1, "CA"), (2, None), (3, None), (4, "01"), (5, "\tCA ")], key=repr)
     inferred = spark.read.parquet(base)
     assert dict(inferred.dtypes)["state"] == "string"  # '\tCA ' keeps inference on string
+
+
+@settings(**SETTINGS)
+@given(data=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 2)),
+                     max_size=40))
+def test_dedup_report_matches_brute_force(spark, data):
+    from strata.operators.silver import dedup_report
+
+    df = spark.createDataFrame(data, "k int, l int")
+    r = dedup_report(df, ["k", "l"]).first()
+    keys = {}
+    for row in data:
+        keys[row] = keys.get(row, 0) + 1
+    assert (r["n_in"], r["n_out"], r["removed"], r["dup_keys"]) == (
+        len(data), len(keys), len(data) - len(keys), sum(1 for n in keys.values() if n > 1))
+
+
+@settings(**SETTINGS)
+@given(facts=st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["a", "b"]),
+                                st.decimals(min_value=-100, max_value=100, places=2)),
+                      max_size=40))
+def test_join_then_group_paths_agree(spark, facts):
+    from strata.operators.enrich import enrich_and_aggregate, enrich_and_aggregate_plain
+
+    fact = spark.createDataFrame([(k, s, float(v)) for k, s, v in facts], "key int, seg string, v double")
+    dim = spark.createDataFrame([(k, f"n{k % 3}") for k in range(5)], "key int, name string")
+    broadcast = rows(enrich_and_aggregate(fact, dim, "key", ["seg"], ["name"], value="v"))
+    shuffled = rows(enrich_and_aggregate(fact, dim, "key", ["seg"], ["name"], value="v",
+                                         max_broadcast_rows=1))
+    plain = rows(enrich_and_aggregate_plain(fact, dim, "key", ["seg"], ["name"], value="v"))
+    assert broadcast == shuffled == plain
+    expected = {}
+    for k, s, v in facts:
+        if k < 5:
+            n, total = expected.get((f"n{k % 3}", s), (0, 0))
+            expected[(f"n{k % 3}", s)] = (n + 1, total + v)
+    assert {(a, b): (n, t) for a, b, n, t in plain} == {
+        key: (n, float(t)) for key, (n, t) in expected.items()}
+
+
+@settings(**SETTINGS)
+@given(data=st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)), text), max_size=30))
+def test_null_profile_and_rules_match_python(spark, data):
+    from strata.operators.quality import Rule, check, null_profile
+
+    df = spark.createDataFrame(data, "a int, b string")
+    assert rows(null_profile(df)) == [("a", sum(r[0] is None for r in data)),
+                                      ("b", sum(r[1] is None for r in data))]
+    report = {r["rule"]: r["failed"] for r in check(
+        df, [Rule("neg", F.col("a") < 0), Rule("blank", F.trim("b") == "")],
+        min_rows=1).collect()}
+    assert report == {"row_count": int(len(data) < 1),
+                      "neg": sum(1 for a, _ in data if a is not None and a < 0),
+                      "blank": sum(1 for _, b in data if b is not None and b.strip(" ") == "")}
