@@ -112,3 +112,31 @@ def test_null_profile_and_rules_match_python(spark, data):
     assert report == {"row_count": int(len(data) < 1),
                       "neg": sum(1 for a, _ in data if a is not None and a < 0),
                       "blank": sum(1 for _, b in data if b is not None and b.strip(" ") == "")}
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(writes=st.lists(st.tuples(st.sampled_from([1, 2, 3]),
+                                 st.lists(st.integers(0, 9), max_size=4)), min_size=1, max_size=4))
+def test_snapshot_writes_behave_like_a_dict_of_dates(spark, tmp_path_factory, writes):
+    """Any sequence of per-date writes (including empty ones) leaves exactly the last
+    write of each date, and never touches another date."""
+    import datetime as dt
+
+    from strata.sinks.writes import write_snapshot
+    from strata.sources.scans import read_snapshot
+
+    base = str(tmp_path_factory.mktemp("snap") / "layer")
+    model = {}
+    for day, ids in writes:
+        date = dt.date(2026, 2, day)
+        write_snapshot(spark.createDataFrame([(i,) for i in ids], "id int"), base, date)
+        if ids:
+            model[date] = sorted(ids)
+        else:
+            model.pop(date, None)
+    expected = sorted((d, i) for d, ids in model.items() for i in ids)
+    if not expected:
+        return
+    got = rows(read_snapshot(spark, base, require=False), "snapshot_date", "id")
+    assert got == expected
