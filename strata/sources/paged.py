@@ -193,7 +193,11 @@ def read_pages(spark: SparkSession, *, path: str | None = None, url: str | None
 
 
 def read_paged(spark: SparkSession, contract: T.StructType = BRONZE_CONTRACT, **kwargs) -> DataFrame:
-    """Paged records parsed into ``contract`` (plus the ``page`` column)."""
+    """Paged records parsed into ``contract``.
+
+    Columns: ``page``, the contract fields, and ``_corrupt_record`` (the raw text of
+    a record that was not valid JSON; null otherwise).
+    """
     from strata.operators.bronze import from_json_records
 
     return from_json_records(read_pages(spark, **kwargs), contract)
