@@ -58,6 +58,9 @@ class MedallionSpec:
     # Extension point: extra DataFrame -> DataFrame steps applied to the cleaned
     # Silver rows (through ``DataFrame.transform``) before de-duplication.
     silver_transforms: Sequence[Callable[[DataFrame], DataFrame]] = ()
+    # Value partitions of the Silver snapshot below the date (e.g. ("state",)).
+    # Read back with the written schema, so '01' stays text; '' reads back as null.
+    silver_partition_by: Sequence[str] = ()
     gold_keys: Sequence[str] = gold_ops.GOLD_KEYS
     gold_measure: str = gold_ops.GOLD_MEASURE
     gold_alias: str = gold_ops.GOLD_ALIAS
@@ -74,6 +77,7 @@ class MedallionRun:
     nulls: dict = field(default_factory=dict)
     violations: dict = field(default_factory=dict)
     pages: dict = field(default_factory=dict)
+    schemas: dict = field(default_factory=dict)  # data schema written per layer
     quality: list = field(default_factory=list)
 
     def path(self, layer: str) -> str:
@@ -83,8 +87,10 @@ class MedallionRun:
         """The run's snapshot of ``layer``; its emptiness is known from the write metrics."""
         if self.counts.get(layer) == 0:
             raise EmptyInputError(f"{layer} snapshot {self.snapshot} is empty")
-        return read_snapshot(self.spark, self.path(layer), self.snapshot,
-                             require=layer not in self.counts).drop("snapshot_date")
+        schema = self.schemas.get(layer)
+        df = read_snapshot(self.spark, self.path(layer), self.snapshot, schema=schema,
+                           require=layer not in self.counts).drop("snapshot_date")
+        return df.select(*schema.fieldNames()) if schema is not None else df
 
     def gold(self) -> DataFrame:
         spec = self.spec
@@ -196,7 +202,10 @@ def silver_stage(run: MedallionRun) -> int:
     obs = Observation()
     silver = silver.observe(obs, F.count(F.lit(1)).alias("rows"),
                             *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in checked])
-    write_snapshot(silver, run.path("silver"), run.snapshot)
+    write_snapshot(silver, run.path("silver"), run.snapshot,
+                   partition_by=spec.silver_partition_by)
+    if spec.silver_partition_by:
+        run.schemas["silver"] = silver.schema
     got = obs.get
     run.counts["silver"] = int(got["rows"])
     run.nulls = {c: int(got[f"null_{c}"]) for c in checked}

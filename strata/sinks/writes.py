@@ -52,7 +52,8 @@ def _date_value(snapshot) -> dt.date:
 
 
 def write_snapshot(df: DataFrame, base: str, snapshot, key: str = SNAPSHOT_KEY,
-                   fmt: str = "parquet", metrics: Observation | None = None, **options) -> int:
+                   fmt: str = "parquet", metrics: Observation | None = None,
+                   partition_by: Sequence[str] = (), **options) -> int:
     """Write ``df`` as the ``key=snapshot`` partition of ``base``; idempotent per date.
 
     Dynamic partition overwrite replaces exactly that date and leaves every
@@ -60,12 +61,17 @@ def write_snapshot(df: DataFrame, base: str, snapshot, key: str = SNAPSHOT_KEY,
     row count is observed during the write (no second job). An empty result
     still clears the date, which dynamic overwrite alone would not do.
     Output is staged and swapped in at job commit, so ``df`` may itself read the
-    snapshot it replaces. Returns the number of rows written.
+    snapshot it replaces. ``partition_by`` adds value partitions below the date
+    (``key=<date>/<col>=<value>``); rows are then rebalanced on those columns so each
+    value gets few files and a hot value is split. Returns the number of rows written.
     """
     day = _date_value(snapshot)
     obs = metrics or Observation()
     out = df.withColumn(key, F.lit(day)).observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_partitioned(out, base, [key], fmt, "overwrite", dynamic=True, rebalance=False, **options)
+    if partition_by:
+        out = out.hint("rebalance", *partition_by)
+    write_partitioned(out, base, [key, *partition_by], fmt, "overwrite", dynamic=True,
+                      rebalance=False, **options)
     rows = int(obs.get.get("rows", 0))
     if rows == 0:
         drop_partitions(df.sparkSession, base, key, [day.isoformat()])

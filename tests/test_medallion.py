@@ -218,3 +218,18 @@ def test_two_dates_run_concurrently(spark, tmp_path, base):
     for layer in ("bronze/breweries", "silver/breweries", "gold/breweries_stats"):
         assert sorted(d for d in os.listdir(f"{base}/{layer}") if d.startswith("snapshot_date=")) == [
             "snapshot_date=2026-02-01", "snapshot_date=2026-02-02"]
+
+
+def test_silver_partitioned_by_state_below_the_date(spark, tmp_path, base):
+    recs = GOOD + [{"id": 11, "name": "Z", "brewery_type": "micro", "state_province": "01"}]
+    src = read_paged(spark, BRONZE_CONTRACT, path=landing(tmp_path, recs))
+    spec = MedallionSpec(version=("updated_at",), silver_partition_by=("state",))
+    run = run_medallion(spark, src, base, dt.date(2026, 2, 2), spec)
+    day_dir = f"{base}/silver/breweries/snapshot_date=2026-02-02"
+    assert sorted(d for d in os.listdir(day_dir) if d.startswith("state=")) == [
+        "state=%09NY", "state=01", "state=CA", "state=NY"]
+    silver = run.read("silver")
+    assert silver.columns[3] == "state" and dict(silver.dtypes)["state"] == "string"
+    assert sorted(r["state"] for r in silver.collect()) == ["\tNY", "01", "CA", "NY"]
+    plain = run_medallion(spark, src, base + "_plain", dt.date(2026, 2, 2), SPEC)
+    assert rows(run.gold()) == rows(plain.gold())
