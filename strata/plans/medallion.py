@@ -50,9 +50,9 @@ class MedallionSpec:
     keys: Sequence[str] = ("id",)
     version: Sequence[str] = ()
     keep: str = "last"
-    # Rows missing a required (non-nullable) contract field: "warn" (count them),
-    # "fail" (raise, leaving no Bronze snapshot) or "quarantine" (write them to
-    # their own layer and keep them out of Bronze).
+    # Bad records (missing a required contract field, or not valid JSON): "warn"
+    # (count them), "fail" (raise, leaving no Bronze snapshot) or "quarantine"
+    # (write them, raw text included, to their own layer and keep them out of Bronze).
     on_missing_required: str = "warn"
     null_check: Sequence[str] = ("id", "name", "state")
     # Extension point: extra DataFrame -> DataFrame steps applied to the cleaned
@@ -69,6 +69,8 @@ class MedallionSpec:
 
 @dataclass
 class MedallionRun:
+    """One logical date's run: where its layers live and what each stage observed."""
+
     spark: SparkSession
     base: str
     snapshot: dt.date
