@@ -140,3 +140,17 @@ def test_snapshot_writes_behave_like_a_dict_of_dates(spark, tmp_path_factory, wr
         return
     got = rows(read_snapshot(spark, base, require=False), "snapshot_date", "id")
     assert got == expected
+
+
+@settings(**SETTINGS)
+@given(data=st.lists(st.tuples(st.sampled_from(["CA", "NY", "TX", None]),
+                               st.sampled_from(["micro", "nano"]), st.integers(0, 5)),
+                     unique_by=lambda t: (t[0], t[1]), max_size=8),
+       n=st.integers(1, 5))
+def test_top_n_equals_sorted_slice(spark, data, n):
+    from strata.operators.gold import gold_top_n
+
+    df = spark.createDataFrame(data, "state string, brewery_type string, qty long")
+    got = [tuple(r) for r in gold_top_n(df, n).collect()]
+    order = sorted(data, key=lambda t: (-t[2], t[0] is not None, t[0] or "", t[1]))
+    assert got == [tuple(t) for t in order[:n]]
