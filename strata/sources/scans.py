@@ -42,7 +42,8 @@ def read_snapshot(spark: SparkSession, base: str, snapshot=None, key: str = SNAP
     The layer base is scanned with ``key`` as a typed partition column and the
     snapshot is a filter on it, so Spark prunes every other directory
     (``PartitionFilters`` in the plan) instead of the caller building paths.
-    ``schema`` is the data schema (without the key). A base written without
+    ``schema`` is the written schema without the key (value-partition columns
+    below the date included); passing it avoids partition type inference. A base written without
     snapshot partitions is read whole, as that snapshot. With ``require`` an
     unreadable or empty snapshot raises ``EmptyInputError``.
     """
