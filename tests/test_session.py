@@ -1,0 +1,54 @@
+"""The shared scratch folder comes from the session; no local fallback on a cluster."""
+
+import pytest
+
+from strata.session import checkpoint_root, scratch_path
+
+
+class _Conf:
+    def __init__(self, value):
+        self.value = value
+
+    def get(self, key, default=None):
+        return self.value if key == "spark.checkpoint.dir" else default
+
+    def isModifiable(self, key):
+        return False
+
+
+class _Context:
+    def __init__(self, master, ckpt=None):
+        self.master, self.ckpt = master, ckpt
+
+    def getCheckpointDir(self):
+        return self.ckpt
+
+    def setCheckpointDir(self, path):
+        self.ckpt = path
+
+
+class _Session:
+    def __init__(self, conf_value, master, ckpt=None):
+        self.conf = _Conf(conf_value)
+        self.sparkContext = _Context(master, ckpt)
+
+
+def test_reads_the_cluster_setting():
+    s = _Session("s3a://lake/_ckpt/", "yarn")
+    assert checkpoint_root(s) == "s3a://lake/_ckpt"
+    assert scratch_path(s, "x").startswith("s3a://lake/_ckpt/strata-scratch/x-")
+
+
+def test_falls_back_to_the_context_checkpoint_dir():
+    assert checkpoint_root(_Session(None, "yarn", "hdfs:///ckpt/abc")) == "hdfs:///ckpt/abc"
+
+
+def test_refuses_a_local_fallback_on_a_cluster():
+    with pytest.raises(ValueError, match="shared storage"):
+        checkpoint_root(_Session(None, "k8s://https://api:443"))
+
+
+def test_local_mode_gets_a_private_folder():
+    s = _Session(None, "local[4]")
+    root = checkpoint_root(s)
+    assert root and s.sparkContext.getCheckpointDir() == root
