@@ -2,11 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from strata.plans.catalog import QUERIES
+from strata.plans.oracles import ORACLES
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare, duck
 
-KEYS = list(queries())
+KEYS = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
@@ -24,8 +25,8 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    df = queries()[key](spark, SF_SMALL)
-    ok, n, _, detail = compare(spark, con, key, lambda s, d: df, oracle_sql()[key], SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
+    ok, n, _, detail = compare(spark, con, key, lambda s, d: df, ORACLES[key], SF_SMALL)
     assert ok, detail
     assert n > 0
     # No cross join and no row-at-a-time or Arrow Python UDF in any executed plan.
