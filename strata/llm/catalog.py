@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from strata.llm import exact, quality, simhash
+from strata.llm import exact, mixing, packing, quality, simhash
 
 QUERIES = {
     "op3_quality_rules": quality.query,
+    "op6_packing": packing.query,
     "op7_simhash": simhash.query,
+    "op9_mixing": mixing.query,
     "op10_exact_dedup": exact.query,
 }
 
