@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from strata.llm import exact, mixing, packing, quality, simhash
+from strata.llm import (
+    exact, langid, licenses, linededup, mixing, packing, pii, quality, simhash, toxicity,
+)
 
 QUERIES = {
+    "op1_language_id": langid.query,
+    "op2_pii": pii.query,
     "op3_quality_rules": quality.query,
+    "op4_line_dedup": linededup.query,
+    "op5_toxicity": toxicity.query,
     "op6_packing": packing.query,
     "op7_simhash": simhash.query,
+    "op8_license_scan": licenses.query,
     "op9_mixing": mixing.query,
     "op10_exact_dedup": exact.query,
 }
 
 ORACLES = {
+    "op8_license_scan": licenses.ORACLE,
     "op10_exact_dedup": exact.ORACLE,
 }
