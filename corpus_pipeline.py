@@ -12,7 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import exact, mixing, packing, quality, simhash
-from strata.llm.common import Scratch, documents
+from strata.llm.common import Scratch, documents, noted
+
+#: Scratch folders by (sf_dir, stage). A stage's result has been written when the next one
+#: begins, which then closes them (unless its ``docs`` still read them).
+_open: dict[tuple[str, int], list[Scratch]] = {}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +44,31 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(spark, docs)
 
 
-STAGES = [
+def _stage(k: int, operator):
+    """``operator`` as stage ``k``, which first closes the scratch of the stage before."""
+
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        before = _open.pop((sf_dir, k - 1), [])
+        files = docs.inputFiles() if before else []
+        for scratch in before:
+            if not any(scratch.base.rpartition("/")[2] in f for f in files):
+                scratch.close()
+        with noted() as made:
+            out = operator(spark, docs, sf_dir)
+        _open.setdefault((sf_dir, k), []).extend(made)
+        return out
+
+    stage.__doc__ = operator.__doc__
+    return stage
+
+
+STAGES = [(name, _stage(k, f)) for k, (name, f) in enumerate([
     ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
     ("simhash near-dedup", simhash_dedup),
     ("mixing", mix_sources),
     ("packing", pack_sequences),
-]
+])]
 
 #: Likelihood ratios, XXH64 fingerprints, seeded draws and token ids are beyond SQL.
 ORACLE_SQL = None

@@ -8,6 +8,7 @@ names; a superseded one is deleted at once, the last ones by :meth:`Scratch.clos
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,8 +53,13 @@ def slot(key: Column, salt: str, n: int) -> Column:
 class Scratch:
     """Tables of one operator call under the shared scratch folder."""
 
+    #: Lists that take note of new ones; see :func:`noted`.
+    watchers: list[list] = []
+
     def __init__(self, spark: SparkSession, op: str):
         self.spark, self.base, self.paths = spark, scratch_path(spark, op), {}
+        for seen in self.watchers:
+            seen.append(self)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back: cuts lineage, fixes row ids, survives lost executors."""
@@ -78,6 +84,17 @@ class Scratch:
             where, True)
 
 
+@contextmanager
+def noted() -> Iterator[list[Scratch]]:
+    """The scratch folders that are opened inside, for whoever uses the results to close."""
+    seen: list[Scratch] = []
+    Scratch.watchers.append(seen)
+    try:
+        yield seen
+    finally:
+        Scratch.watchers.remove(seen)
+
+
 def with_row_id(scratch: Scratch, df: DataFrame, rid: str) -> DataFrame:
     """``df`` with a row id that holds for every later read, as it is written once."""
     return scratch.stage(df.withColumn(rid, F.monotonically_increasing_id()), "rows")

@@ -159,9 +159,11 @@ def drop_near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_
     rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("rid"))
     firsts = scratch.stage(rows.groupBy("fp").agg(F.min(rank).alias("first")), "prints")
     classes = _classes(scratch, firsts.select("fp"), max_bits)
-    kept = scratch.stage(firsts.join(classes, "fp").groupBy("root").agg(F.min("first").alias("k"))
-                         .select(F.col("k.rid").alias(rid)), "kept")
-    return whole.join(kept, rid, "left_semi").select(*df.columns)
+    kept = (firsts.join(classes, "fp").groupBy("root").agg(F.min("first").alias("k"))
+            .select(F.col("k.rid").alias("rid")))
+    lost = scratch.stage(rows.select("rid").join(kept, "rid", "left_anti")
+                         .select(F.col("rid").alias(rid)), "lost")
+    return whole.join(small(lost), rid, "left_anti").select(*df.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
