@@ -120,18 +120,22 @@ def dedup_lines(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
                .join(hashed.select(F.col("rid").alias("owner"), F.col("lines").alias("theirs")),
                      "owner").select("rid", "mine", "theirs")
                .mapInArrow(_align, "rid long, at int"))
-    gone = scratch.stage(aligned.unionByName(common).distinct().groupBy("rid")
-                         .agg(F.array_sort(F.collect_list("at")).alias("gone")), "gone")
-    partners = scratch.stage(pairs.groupBy("rid").agg(
-        F.array_sort(F.collect_list("owner_id")).alias("partners")), "partners")
+    at_type = pairs.schema["owner_id"].dataType
+    marks = (aligned.unionByName(common).distinct()
+             .select("rid", "at", F.lit(None).cast(at_type).alias("owner_id"))
+             .unionByName(pairs.select("rid", F.lit(None).cast("int").alias("at"), "owner_id")))
+    changes = scratch.stage(marks.groupBy("rid").agg(
+        F.array_sort(F.collect_list("at")).alias("gone"),
+        F.array_sort(F.collect_list("owner_id")).alias("partners")), "changes")
     kept = F.array_join(F.filter(F.split("text", "\n"),
                                  lambda s, i: ~F.array_contains("gone", i)), "\n")
-    none = F.array().cast(partners.schema["partners"].dataType)
-    return (rows.join(small(gone), "rid", "left").join(small(partners), "rid", "left").select(
-        "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
+    none = F.array().cast(changes.schema["partners"].dataType)
+    # Most documents can lose lines, so this one join of texts is a shuffle at every size.
+    return rows.join(changes.hint("shuffle_merge"), "rid", "left").select(
+        "doc_id", F.when(F.size("gone") > 0, kept).otherwise(F.col("text")).alias("text"),
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("partners", none).alias("partners")))
+        F.coalesce("partners", none).alias("partners"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
