@@ -65,7 +65,8 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), keep
         raise ValueError("null_keys must be 'collapse' or 'keep'")
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = list(order_by) + [c for c in rest if c not in order_by and orderable(df.schema[c].dataType)]
+    order = [c for c in order_by if c not in keys]  # a key does not order its own group
+    order += [c for c in rest if c not in order and orderable(df.schema[c].dataType)]
     other = [c for c in rest if c not in order]
     pick = F.max if keep == "last" else F.min
     by = F.max_by if keep == "last" else F.min_by
@@ -98,7 +99,8 @@ def dedup_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (
 
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = list(order_by) + [c for c in rest if c not in order_by and orderable(df.schema[c].dataType)]
+    order = [c for c in order_by if c not in keys]  # a key does not order its own group
+    order += [c for c in rest if c not in order and orderable(df.schema[c].dataType)]
     sort = [F.col(c).desc_nulls_last() if keep == "last" else F.col(c).asc_nulls_first() for c in order]
     w = Window.partitionBy(*keys).orderBy(*sort)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

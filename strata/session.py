@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,7 +44,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir is not set: name a folder on shared storage")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")  # local mode (tests) only
         if _conf_settable(spark):

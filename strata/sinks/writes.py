@@ -33,12 +33,12 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "p
     A ``REBALANCE`` on the partition columns groups each value's rows into few
     tasks (few files per directory); adaptive execution splits a value that
     holds a large share of the rows across several tasks instead of one.
-    ``dynamic`` replaces only the partitions present in ``df``. Pass
+    ``dynamic`` replaces only the partitions present in ``df``, otherwise an overwrite
+    replaces the whole table, whatever the session's overwrite mode is. Pass
     ``rebalance=False`` when every row has the same value (a snapshot): each
     task then writes its own file and nothing is shuffled.
     """
-    if dynamic:
-        options = {**options, "partitionOverwriteMode": "dynamic"}
+    options = {**options, "partitionOverwriteMode": "dynamic" if dynamic else "static"}
     out = df.hint("rebalance", *by) if rebalance else df
     write_table(out, path, fmt, mode, by, **options)
 

@@ -38,13 +38,26 @@ class PageRange(InputPartition):
 
 
 def _split_records(payload: bytes) -> list[str]:
-    """Records of one page file: a JSON array, or JSON lines."""
+    """Records of one page file: a JSON array, or JSON lines, each as it was received.
+
+    Only a line feed ends a line: JSON text may hold U+2028 and its like. An array's
+    elements are cut from the text, so numbers and escapes keep their form; line breaks
+    between an element's tokens (JSON strings hold none) become spaces.
+    """
     text = payload.decode("utf-8").strip()
     if not text:
         return []
-    if text.startswith("["):
-        return [json.dumps(r, separators=(",", ":")) for r in json.loads(text)]
-    return [line for line in text.splitlines() if line.strip()]
+    if not text.startswith("["):
+        return [line for line in text.split("\n") if line.strip()]
+    records, at, parse = [], 1, json.JSONDecoder().raw_decode
+    while True:
+        while at < len(text) and text[at] in " \t\r\n,":
+            at += 1
+        if text[at:at + 1] == "]":
+            return records
+        _, end = parse(text, at)
+        records.append(text[at:end].replace("\r", " ").replace("\n", " "))
+        at = end
 
 
 class _FilePages:

@@ -1,0 +1,48 @@
+"""Faults found in review: reruns, raw records, dedup order, scratch folder."""
+
+from types import SimpleNamespace
+
+import pytest
+
+from strata import session
+from strata.operators.silver import dedup
+from strata.sinks.writes import write_partitioned
+from strata.sources.paged import _split_records
+
+
+def test_page_records_are_kept_as_received():
+    lines = '{"a":"x\u2028y"}\n{"b":"z\x85"}\n\n'.encode()
+    assert _split_records(lines) == ['{"a":"x\u2028y"}', '{"b":"z\x85"}']
+    array = b'[ {"n":12345678901234567.123456789,"m":1E5},\n {"s":"\xc3\xa9",\n"t":[1]} ]'
+    assert _split_records(array) == ['{"n":12345678901234567.123456789,"m":1E5}',
+                                     '{"s":"\u00e9", "t":[1]}']
+    assert _split_records(b"[]") == _split_records(b" \n") == []
+
+
+@pytest.mark.parametrize("mode", ["dynamic", "static"])
+def test_value_partitioned_overwrite_replaces_the_table(spark, base, mode):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        both = spark.createDataFrame([(1, "CA"), (2, "TX")], "id int, state string")
+        write_partitioned(both, base, ["state"])
+        write_partitioned(both.filter("state = 'CA'"), base, ["state"])
+        assert [tuple(r) for r in spark.read.parquet(base).collect()] == [(1, "CA")]
+        write_partitioned(both.filter("state = 'TX'"), base, ["state"], dynamic=True)
+        assert spark.read.parquet(base).count() == 2
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_dedup_ignores_keys_in_the_order(spark):
+    df = spark.createDataFrame([(1, 2), (1, 3), (2, 1)], "k int, v int")
+    assert sorted(map(tuple, dedup(df, ["k"], ["k", "v"]).collect())) == [(1, 3), (2, 1)]
+
+
+def test_a_local_cluster_needs_a_shared_folder():
+    fake = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *a: None),
+        sparkContext=SimpleNamespace(master="local-cluster[2,1,1024]",
+                                     getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError):
+        session.checkpoint_root(fake)
