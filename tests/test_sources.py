@@ -62,7 +62,7 @@ def test_discover_page_count(n):
 
 
 def test_split_records():
-    assert _split_records(b'[{"a": 1}, {"a": 2.0}]') == ['{"a":1}', '{"a":2.0}']
+    assert _split_records(b'[{"a": 1}, {"a": 2.0}]') == ['{"a": 1}', '{"a": 2.0}']
     assert _split_records(b'{"a": 1}\n\n{"a": 2}\n') == ['{"a": 1}', '{"a": 2}']
     assert _split_records(b"  ") == []
 
@@ -135,7 +135,7 @@ def test_http_fetcher_pages_and_per_page_retries(monkeypatch):
     monkeypatch.setattr(urllib.request, "urlopen", fake_urlopen)
     monkeypatch.setattr(paged.time, "sleep", lambda s: None)
     http = paged._HttpPages("http://api.test/items?x=1", per_page=2, retries=3, timeout=5)
-    assert http.fetch(1) == ['{"id":1,"name":"a"}', '{"id":2,"name":"b"}']
+    assert http.fetch(1) == ['{"id": 1, "name": "a"}', '{"id": 2, "name": "b"}']
     assert calls[0] == {"x": "1", "page": "1", "per_page": "2"}
     assert http.fetch(2) == ['{"id":3,"name":"c"}']  # two failures, then success
     assert discover_page_count(http.fetch) == 2
