@@ -137,7 +137,7 @@ def test_http_fetcher_pages_and_per_page_retries(monkeypatch):
     http = paged._HttpPages("http://api.test/items?x=1", per_page=2, retries=3, timeout=5)
     assert http.fetch(1) == ['{"id": 1, "name": "a"}', '{"id": 2, "name": "b"}']
     assert calls[0] == {"x": "1", "page": "1", "per_page": "2"}
-    assert http.fetch(2) == ['{"id":3,"name":"c"}']  # two failures, then success
+    assert http.fetch(2) == ['{"id": 3, "name": "c"}']  # two failures, then success
     assert discover_page_count(http.fetch) == 2
     failures["left"] = 10
     with pytest.raises(OSError):
