@@ -17,8 +17,7 @@ from pyspark.sql import SparkSession
 
 
 def main(argv: list[str] | None = None) -> int:
-    from strata.operators import quality
-    from strata.plans.medallion import MedallionRun, MedallionSpec, run_medallion
+    from strata.plans.medallion import MedallionRun, MedallionSpec, quality_stage, run_medallion
     from strata.sources.paged import read_pages
 
     parser = argparse.ArgumentParser(prog="strata")
@@ -27,7 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--pages", required=True, help="page-file folder or http(s) URL")
     run.add_argument("--base", required=True)
     run.add_argument("--date", required=True)
-    run.add_argument("--version", action="append", default=[], help="dedup version column")
+    run.add_argument("--version", action="append", default=[], help="dedup version column (default: updated_at)")
     run.add_argument("--on-missing-required", default="warn",
                      choices=["warn", "fail", "quarantine"])
     chk = sub.add_parser("check", help="quality report of an existing Gold snapshot")
@@ -36,7 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
-    spec = MedallionSpec(version=tuple(getattr(args, "version", ())),
+    versions = tuple(getattr(args, "version", ())) or MedallionSpec.version
+    spec = MedallionSpec(version=versions,
                          on_missing_required=getattr(args, "on_missing_required", "warn"))
     if args.cmd == "run":
         src = args.pages
@@ -44,12 +44,14 @@ def main(argv: list[str] | None = None) -> int:
             read_pages(spark, path=src)
         result = run_medallion(spark, raw, args.base, args.date, spec)
         print(json.dumps({"counts": result.counts, "nulls": result.nulls,
-                          "violations": result.violations, "pages": result.pages}))
+                          "violations": result.violations, "pages": result.pages,
+                          "summary": result.summary}))
         return 0
     import datetime as dt
 
     result = MedallionRun(spark, args.base, dt.date.fromisoformat(args.date), spec)
-    rows = quality.enforce(quality.check_gold(result.read("gold")))
+    rows = quality_stage(result)
+    print(json.dumps({"summary": result.summary}))
     print(json.dumps([r.asDict() for r in rows]))
     return 0
 

@@ -5,5 +5,5 @@ from strata.functions.contracts import (  # noqa: F401
     assert_schema, conform, missing_columns, schema_diff,
 )
 from strata.functions.columns import (  # noqa: F401
-    date_parts, exact_sum, orderable, orderable_columns, trimmed,
+    date_parts, exact_sum, orderable,
 )

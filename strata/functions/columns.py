@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def trimmed(name: str, alias: str | None = None) -> Column:
-    """``trim`` of a text column: strips spaces only (tabs survive), keeps '' and null."""
-    return F.trim(F.col(name)).alias(alias or name)
-
-
 def date_parts(ts: str | Column, prefix: str = "") -> list[Column]:
     """``year``, ``month``, ``day`` columns of a date/timestamp expression."""
     c = F.col(ts) if isinstance(ts, str) else ts
@@ -19,13 +14,17 @@ def date_parts(ts: str | Column, prefix: str = "") -> list[Column]:
             F.dayofmonth(c).alias(f"{prefix}day")]
 
 
-def exact_sum(value: str | Column, scale: int = 2, precision: int = 18) -> Column:
-    """Sum of a money-like double computed in fixed-point decimal, returned as double.
+def exact_sum(value: str | Column, scale: int | None, precision: int = 18) -> Column:
+    """Sum of a number as double, in fixed-point decimal if the data's ``scale`` is given.
 
     Summing the decimal makes the result independent of row order (a double sum
-    is not), so every partitioning of the data gives the same bits.
+    is not), so every partitioning of the data gives the same bits. It rounds each value
+    to ``scale`` decimals, so it is the caller's statement about the data; ``None`` sums
+    the values as they are.
     """
     c = F.col(value) if isinstance(value, str) else value
+    if scale is None:
+        return F.sum(c.cast("double"))
     return F.sum(c.cast(T.DecimalType(precision, scale))).cast("double")
 
 
@@ -38,8 +37,3 @@ def orderable(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.StructType):
         return all(orderable(f.dataType) for f in dtype.fields)
     return True
-
-
-def orderable_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
-    """Names of the columns of ``df`` that Spark can order (minus ``exclude``)."""
-    return [f.name for f in df.schema.fields if f.name not in exclude and orderable(f.dataType)]

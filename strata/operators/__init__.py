@@ -3,7 +3,7 @@
 from strata.operators.bronze import (  # noqa: F401
     add_ingest_metadata, from_json_records, normalize_strings, to_bronze,
 )
-from strata.operators.enrich import enrich, enrich_and_aggregate, fits_broadcast  # noqa: F401
+from strata.operators.enrich import enrich_and_aggregate, fits_broadcast  # noqa: F401
 from strata.operators.gold import (  # noqa: F401
     count_by, count_non_null_keys, date_part_stats, gold_top_n, point_lookup, stats_by, top_n,
 )

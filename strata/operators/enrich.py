@@ -35,12 +35,12 @@ def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                    max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """True when ``dim`` has at most ``max_rows`` rows and ``max_bytes`` bytes of data.
 
-    The probe is one aggregate over ``limit(max_rows + 1)``: it stops reading once
-    the row bound is exceeded, so checking a big table costs at most ``max_rows``
-    rows, and it measures text columns exactly rather than trusting statistics.
+    The probe is one plain aggregate: every task sums its own rows, one row per task is
+    shuffled. It reads the reference table once, and it measures text columns exactly
+    rather than trusting statistics.
     """
-    probe = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                        F.coalesce(F.sum(_row_bytes(dim)), F.lit(0)).alias("b"))
+    probe = dim.agg(F.count(F.lit(1)).alias("n"),
+                    F.coalesce(F.sum(_row_bytes(dim)), F.lit(0)).alias("b"))
     r = probe.first()
     return r["n"] <= max_rows and r["b"] <= max_bytes
 
@@ -62,10 +62,11 @@ def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str =
 
 
 def enrich_and_aggregate(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Sequence[str],
-                         dim_keys: Sequence[str], value: str | None = None, scale: int = 2,
+                         dim_keys: Sequence[str], value: str | None = None,
+                         scale: int | None = None,
                          max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                          max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Join then group: ``count(*)`` (and an exact ``sum(value)``) per dim × fact keys.
+    """Join then group: ``count(*)`` (and a ``sum(value)``, exact at ``scale``) per dim × fact keys.
 
     * Reference side proven small: broadcast hash join on the map side, then one
       partial + final aggregate; the only shuffle carries groups.
@@ -80,7 +81,8 @@ def enrich_and_aggregate(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Se
                                           value, scale)
     pre = [F.count(F.lit(1)).alias("n")]
     if value is not None:
-        pre.append(F.sum(F.col(value).cast(f"decimal(18,{scale})")).alias("_sum"))
+        exact = "double" if scale is None else f"decimal(18,{scale})"
+        pre.append(F.sum(F.col(value).cast(exact)).alias("_sum"))
     reduced = fact.groupBy(on, *fact_keys).agg(*pre)
     post = [F.sum("n").cast("bigint").alias("n")]
     if value is not None:
@@ -91,7 +93,7 @@ def enrich_and_aggregate(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Se
 
 def enrich_and_aggregate_plain(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Sequence[str],
                                dim_keys: Sequence[str], value: str | None = None,
-                               scale: int = 2) -> DataFrame:
+                               scale: int | None = None) -> DataFrame:
     """Join the rows, then group (the broadcast path of ``enrich_and_aggregate``)."""
     aggs = [F.count(F.lit(1)).cast("bigint").alias("n")]
     if value is not None:

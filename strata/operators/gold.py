@@ -41,11 +41,13 @@ def count_non_null_keys(df: DataFrame, keys: Sequence[str], alias: str = "n") ->
     return df.filter(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
 
 
-def stats_by(df: DataFrame, keys: Sequence[str], value: str, scale: int = 2) -> DataFrame:
+def stats_by(df: DataFrame, keys: Sequence[str], value: str,
+             scale: int | None = None) -> DataFrame:
     """count / min / max / sum / avg of ``value`` per key.
 
-    ``sum`` is a fixed-point sum at ``scale`` decimals and ``avg`` is that sum
-    divided by the count, so results do not depend on row order.
+    ``avg`` is the sum divided by the count. With ``scale``, the number of decimals the
+    data have, the sum is in fixed point and does not depend on row order; without it the
+    values are summed as they are.
     """
     total = exact_sum(value, scale)
     return df.groupBy(*keys).agg(
@@ -57,7 +59,8 @@ def stats_by(df: DataFrame, keys: Sequence[str], value: str, scale: int = 2) ->
     )
 
 
-def date_part_stats(df: DataFrame, ts: str, value: str, scale: int = 2) -> DataFrame:
+def date_part_stats(df: DataFrame, ts: str, value: str,
+                    scale: int | None = None) -> DataFrame:
     """``stats_by`` on ``year, month, day`` derived from ``ts``."""
     parts = date_parts(ts)
     return stats_by(df.select(*parts, value), ["year", "month", "day"], value, scale)

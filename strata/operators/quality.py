@@ -8,6 +8,7 @@ so a table is scanned once however many rules it has. Results are output rows
 
 from __future__ import annotations
 
+import functools
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -134,16 +135,21 @@ def null_total(df: DataFrame, columns: Sequence[str], severity: str = "warn") ->
 
 def distinct_profile(df: DataFrame, columns: Sequence[str] | None = None,
                      exact: bool = True, rsd: float = 0.01) -> DataFrame:
-    """``(column_name, distinct_count)`` per column in one pass.
+    """``(column_name, distinct_count)`` per column, nulls not counted.
 
-    ``exact`` uses ``count(DISTINCT)`` (Spark expands the rows once and
-    partially aggregates map-side); ``exact=False`` uses HyperLogLog++ sketches,
-    which need no shuffle of values at all.
+    ``exact`` counts each column by its own two-step aggregate over a scan of that column
+    alone, reduced map-side, so no row is multiplied by the number of columns; stage ``df``
+    first if it is costly to compute. ``exact=False`` uses HyperLogLog++ sketches in one
+    pass, which need no shuffle of values at all.
     """
     columns = list(columns or df.columns)
-    fn = (lambda c: F.count_distinct(F.col(c))) if exact else (
-        lambda c: F.approx_count_distinct(F.col(c), rsd))
-    totals = df.agg(*[fn(c).alias(f"_d{i}") for i, c in enumerate(columns)])
+    if exact:
+        parts = [df.select(F.col(c).alias("v")).filter("v is not null").distinct()
+                 .agg(F.count(F.lit(1)).alias("distinct_count"))
+                 .select(F.lit(c).alias("column_name"), "distinct_count") for c in columns]
+        return functools.reduce(DataFrame.unionByName, parts)
+    totals = df.agg(*[F.approx_count_distinct(F.col(c), rsd).alias(f"_d{i}")
+                      for i, c in enumerate(columns)])
     return totals.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_d{i}").alias("distinct_count"))
         for i, c in enumerate(columns)])))

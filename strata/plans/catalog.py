@@ -25,7 +25,7 @@ from strata.operators.silver import clean, dedup, dedup_report, distinct_rows
 from strata.plans.medallion import MedallionSpec, run_medallion
 from strata.session import scratch_path
 from strata.sinks.writes import (
-    export_csv, retain_snapshots, stage, write_partitioned, write_snapshot, write_table,
+    export_csv, read_csv, retain_snapshots, stage, write_partitioned, write_snapshot, write_table,
 )
 from strata.sources.paged import read_paged
 from strata.sources.scans import list_snapshots, read_snapshot, read_table, union_all
@@ -53,10 +53,11 @@ DOCS_SPEC = MedallionSpec(
     silver_columns=(("doc_id", "id", False), ("source", "source", True), ("lang", "lang", True),
                     ("n_chars", "n_chars", False), ("text", "text", False),
                     ("ingested_at", "ingested_at", False)),
-    keys=("id",), null_check=("id", "source", "lang"),
+    keys=("id",), version=(), null_check=("id", "source", "lang"),
     gold_keys=("source", "lang"), gold_measure="id", gold_alias="qty",
     layers={"landing": "landing/documents", "bronze": "bronze/documents",
-            "silver": "silver/documents", "gold": "gold/documents_stats"})
+            "silver": "silver/documents", "gold": "gold/documents_stats",
+            "quarantine": "quarantine/documents"})
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -214,7 +215,8 @@ def q_agg_non_null_keys(spark, sf_dir):
 
 def q_date_parts_stats(spark, sf_dir):
     """count/min/max/sum/avg per year, month, day."""
-    return gold_ops.date_part_stats(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
+    return gold_ops.date_part_stats(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice",
+                                    scale=2)
 
 
 def q_broadcast_enrich(spark, sf_dir):
@@ -222,7 +224,7 @@ def q_broadcast_enrich(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     return enrich_and_aggregate(customer, nation, "c_nationkey", ["c_mktsegment"], ["n_name"],
-                                value="c_acctbal")
+                                value="c_acctbal", scale=2)
 
 
 # --- Quality --------------------------------------------------------------
@@ -245,7 +247,7 @@ def q_null_profile(spark, sf_dir):
 
 
 def q_distinct_profile(spark, sf_dir):
-    """A10: exact distinct count of every column in one aggregate."""
+    """A10: exact distinct count of every column, each by its own aggregate."""
     return quality.distinct_profile(table(spark, sf_dir, "orders"))
 
 
@@ -280,7 +282,7 @@ def q_guard_non_empty(spark, sf_dir):
 def q_layer_reconcile(spark, sf_dir):
     """Rows per layer and reduction from the layer before."""
     bronze = table(spark, sf_dir, "lineitem")
-    silver = dedup(bronze, LINEITEM_KEYS, ["l_shipdate"])
+    silver = stage(dedup(bronze, LINEITEM_KEYS, ["l_shipdate"]), "reconcile_silver")
     return quality.reconcile([("bronze", bronze), ("silver", silver),
                               ("gold", _lineitem_gold(silver))])
 
@@ -313,10 +315,10 @@ def q_scan_json_roundtrip(spark, sf_dir):
 
 
 def q_csv_export(spark, sf_dir):
-    """Single-file CSV export under a proven row bound, read back."""
+    """Single-file CSV export, read back."""
     path = scratch_path(spark, "customer_csv")
     export_csv(table(spark, sf_dir, "customer"), path, single_file=True)
-    return read_table(spark, path, "csv", CUSTOMER_SCHEMA, header=True)
+    return read_csv(spark, path, CUSTOMER_SCHEMA)
 
 
 def q_partition_by_value(spark, sf_dir):
@@ -328,6 +330,38 @@ def q_partition_by_value(spark, sf_dir):
     return spark.read.schema(schema).parquet(path).select(*CUSTOMER_SCHEMA.fieldNames())
 
 
+def _customer_rerun(spark, sf_dir):
+    """The customers, and a smaller second version of them without one segment."""
+    customer = table(spark, sf_dir, "customer")
+    return customer, customer.filter("c_mktsegment <> 'BUILDING' and c_acctbal > 0")
+
+
+def q_partition_by_value_rerun(spark, sf_dir):
+    """K3: a value-partitioned table overwritten with fewer values holds those only."""
+    path = scratch_path(spark, "customer_segment_rerun")
+    for version in _customer_rerun(spark, sf_dir):
+        write_partitioned(version, path, ["c_mktsegment"])
+    schema = T.StructType([f for f in CUSTOMER_SCHEMA.fields if f.name != "c_mktsegment"]
+                          + [T.StructField("c_mktsegment", T.StringType())])
+    return spark.read.schema(schema).parquet(path).select(*CUSTOMER_SCHEMA.fieldNames())
+
+
+def q_snapshot_rerun_by_value(spark, sf_dir):
+    """K2, K3: a date with value partitions below it, rerun with fewer values."""
+    base = scratch_path(spark, "customer_snapshot_rerun")
+    for version in _customer_rerun(spark, sf_dir):
+        write_snapshot(version, base, RUN_DATE, partition_by=["c_mktsegment"])
+    return read_snapshot(spark, base, RUN_DATE, schema=CUSTOMER_SCHEMA).select(
+        *CUSTOMER_SCHEMA.fieldNames())
+
+
+def q_snapshot_read_flat(spark, sf_dir):
+    """A layer written without snapshots, read as one under a schema."""
+    base = scratch_path(spark, "orders_flat")
+    write_table(table(spark, sf_dir, "orders"), base)
+    return read_snapshot(spark, base, RUN_DATE, schema=ORDERS_SCHEMA)
+
+
 def q_staged_checkpoint(spark, sf_dir):
     """Silver staged on shared storage, Gold from the staged copy."""
     silver = stage(dedup(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, ["l_shipdate"]),
@@ -430,6 +464,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_json_roundtrip": q_scan_json_roundtrip,
     "csv_export": q_csv_export,
     "partition_by_value": q_partition_by_value,
+    "partition_by_value_rerun": q_partition_by_value_rerun,
+    "snapshot_rerun_by_value": q_snapshot_rerun_by_value,
+    "snapshot_read_flat": q_snapshot_read_flat,
     "staged_checkpoint": q_staged_checkpoint,
     "snapshot_read": q_snapshot_read,
     "partition_prune_ym": q_partition_prune_ym,

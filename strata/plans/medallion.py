@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.contracts import BRONZE_CONTRACT, EmptyInputError
+from strata.functions.contracts import BRONZE_CONTRACT, EmptyInputError, assert_schema
 from strata.operators import gold as gold_ops
 from strata.operators import quality
 from strata.operators.bronze import CORRUPT_RECORD, from_json_records, to_bronze
 from strata.operators.silver import SILVER_COLUMNS, clean, dedup
-from strata.sinks.writes import drop_partitions, write_snapshot
+from strata.sinks.writes import stage, unstage, write_snapshot
 from strata.sources.paged import page_report
 from strata.sources.scans import read_snapshot
 
@@ -48,13 +48,17 @@ class MedallionSpec:
     contract: T.StructType = BRONZE_CONTRACT
     silver_columns: Sequence[tuple[str, str, bool]] = SILVER_COLUMNS
     keys: Sequence[str] = ("id",)
-    version: Sequence[str] = ()
+    # Of rows with one key the latest stays, by these columns (() when there are none).
+    version: Sequence[str] = ("updated_at",)
     keep: str = "last"
     # Bad records (missing a required contract field, or not valid JSON): "warn"
-    # (count them), "fail" (raise, leaving no Bronze snapshot) or "quarantine"
+    # (count them), "fail" (raise; the date's Bronze stays as it was) or "quarantine"
     # (write them, raw text included, to their own layer and keep them out of Bronze).
     on_missing_required: str = "warn"
     null_check: Sequence[str] = ("id", "name", "state")
+    # Bounds on Bronze rows, checked before the date is replaced.
+    min_rows: int = 1
+    max_rows: int | None = None
     # Extension point: extra DataFrame -> DataFrame steps applied to the cleaned
     # Silver rows (through ``DataFrame.transform``) before de-duplication.
     silver_transforms: Sequence[Callable[[DataFrame], DataFrame]] = ()
@@ -81,6 +85,7 @@ class MedallionRun:
     pages: dict = field(default_factory=dict)
     schemas: dict = field(default_factory=dict)  # data schema written per layer
     quality: list = field(default_factory=list)
+    summary: dict = field(default_factory=dict)
 
     def path(self, layer: str) -> str:
         return f"{self.base.rstrip('/')}/{self.spec.layers[layer]}"
@@ -90,10 +95,23 @@ class MedallionRun:
         if self.counts.get(layer) == 0:
             raise EmptyInputError(f"{layer} snapshot {self.snapshot} is empty")
         schema = self.schemas.get(layer)
+        if schema is None and layer == "silver" and self.spec.silver_partition_by:
+            schema = self._silver_schema()
         df = read_snapshot(self.spark, self.path(layer), self.snapshot, schema=schema,
                            require=layer not in self.counts).drop("snapshot_date")
         return df.select(*schema.fieldNames()) if schema is not None else df
 
+    def _silver_schema(self) -> T.StructType:
+        """Silver as the spec has it, for a process that did not write it: partition values
+        keep the contract's type (no inference from folder names), columns their order."""
+        found = read_snapshot(self.spark, self.path("silver"), self.snapshot,
+                              require=False).drop("snapshot_date").schema
+        typed = {dst: self.spec.contract[src].dataType for src, dst, _ in self.spec.silver_columns
+                 if src in self.spec.contract.fieldNames()}
+        own = [dst for _, dst, _ in self.spec.silver_columns if dst in found.fieldNames()]
+        return T.StructType([T.StructField(c, typed.get(c, found[c].dataType)) for c in
+                             [*own, *[c for c in found.fieldNames() if c not in own]]])
+
     def gold(self) -> DataFrame:
         spec = self.spec
         g = self.read("gold")
@@ -118,24 +136,28 @@ def land_stage(run: MedallionRun, records: DataFrame) -> int:
     """Keep the raw records untouched in the landing snapshot, with their page number.
 
     Landing has its own directory, so raw payloads never mix with the curated
-    layers; each record's JSON text is stored byte for byte (``value``) next to
+    layers; each record's JSON text is stored as received (``value``) next to
     the page it came from (``page``, null when the source has no pages). Bronze
     is parsed from it and can always be rebuilt from it without refetching.
     When pages are known, one aggregate over the page column (no record is read)
-    checks that no page inside the fetched range is missing.
+    checks that no page from 1 on is missing, before the date is replaced. An empty
+    response leaves the date's landing as it was.
     """
-    page = F.col("page").cast("int") if "page" in records.columns else F.lit(None).cast("int")
-    rows = write_snapshot(records.select(page.alias("page"), F.col("record").alias("value")),
-                          run.path("landing"), run.snapshot)
-    run.counts["landing"] = rows
-    if rows and "page" in records.columns:
-        landed = read_snapshot(run.spark, run.path("landing"), run.snapshot,
-                               schema=LANDING_SCHEMA, require=False)
+    paged = "page" in records.columns
+    page = F.col("page").cast("int") if paged else F.lit(None).cast("int")
+
+    def complete(landed: DataFrame, rows: int) -> None:
+        if not (rows and paged):
+            return
         run.pages = page_report(landed).first().asDict()
         if run.pages["missing_pages"]:
             if run.spec.on_missing_required == "fail":
                 raise quality.DataQualityError(f"landing: pages missing {run.pages}")
             log.warning("landing: pages missing %s", run.pages)
+
+    rows = write_snapshot(records.select(page.alias("page"), F.col("record").alias("value")),
+                          run.path("landing"), run.snapshot, on_empty="keep", check=complete)
+    run.counts["landing"] = rows
     return rows
 
 
@@ -155,7 +177,9 @@ def bronze_stage(run: MedallionRun, source: DataFrame, run_ts=None) -> int:
     (raw text kept in ``_corrupt_record`` by the parser), are counted during the
     write (an ``Observation``, no extra job) and handled per
     ``spec.on_missing_required``: warn, fail, or quarantine (bad rows, with their
-    raw text, go to the quarantine layer instead of Bronze).
+    raw text, go to the quarantine layer instead of Bronze). All checks (contract schema,
+    bad records, row bounds) come before the date is replaced: a failing or empty rerun
+    leaves the good snapshot.
     """
     spec = run.spec
     required = [f.name for f in spec.contract.fields if not f.nullable]
@@ -167,26 +191,40 @@ def bronze_stage(run: MedallionRun, source: DataFrame, run_ts=None) -> int:
         malformed = F.col(CORRUPT_RECORD).isNotNull()
     missing = quality.any_null(required) if required else F.lit(False)
     bad = missing | malformed
-    bronze = to_bronze(source, contract, run_ts)
-    if spec.on_missing_required == "quarantine":
-        run.counts["quarantine"] = write_snapshot(bronze.filter(bad), run.path("quarantine"),
-                                                  run.snapshot)
-        bronze = bronze.filter(~bad)
     obs = Observation()
+    bronze = to_bronze(source, contract, run_ts)
+    assert_schema(bronze.select(*spec.contract.fieldNames()), spec.contract, strict=False)
     bronze = bronze.observe(obs, F.count_if(missing & ~malformed).alias("missing_required"),
                             F.count_if(malformed).alias("malformed"))
-    rows = write_snapshot(bronze.drop(CORRUPT_RECORD), run.path("bronze"), run.snapshot)
-    run.counts["bronze"] = rows
-    got = obs.get
-    run.violations = {k: int(got.get(k) or 0) for k in ("missing_required", "malformed")}
-    if sum(run.violations.values()):
-        if spec.on_missing_required == "fail":
-            drop_partitions(run.spark, run.path("bronze"), "snapshot_date", [run.snapshot.isoformat()])
+    split = spec.on_missing_required == "quarantine"
+    if split:  # parsed and observed once, then written to two layers
+        bronze = staged = stage(bronze, "bronze")
+
+    def publishable(_, rows: int) -> None:
+        got = obs.get
+        run.violations = {k: int(got.get(k) or 0) for k in ("missing_required", "malformed")}
+        if sum(run.violations.values()):
+            if spec.on_missing_required == "fail":
+                raise quality.DataQualityError(
+                    f"bronze: bad records {run.violations} (required fields {required})")
+            log.warning("bronze: bad records %s (required fields %s)", run.violations, required)
+        if rows == 0:
+            raise EmptyInputError("bronze: the source returned no (good) records")
+        if rows < spec.min_rows or (spec.max_rows is not None and rows > spec.max_rows):
             raise quality.DataQualityError(
-                f"bronze: bad records {run.violations} (required fields {required})")
-        log.warning("bronze: bad records %s (required fields %s)", run.violations, required)
-    if rows == 0:
-        raise EmptyInputError("bronze: the source returned no records")
+                f"bronze: {rows} rows outside [{spec.min_rows}, {spec.max_rows}]")
+
+    good = bronze.filter(~bad) if split else bronze
+    try:
+        rows = write_snapshot(good.drop(CORRUPT_RECORD), run.path("bronze"), run.snapshot,
+                              on_empty="keep", check=publishable)
+        run.counts["bronze"] = rows
+        if split:
+            run.counts["quarantine"] = write_snapshot(staged.filter(bad), run.path("quarantine"),
+                                                      run.snapshot)
+    finally:
+        if split:
+            unstage(staged)
     log.info("bronze: %s rows", rows)
     return rows
 
@@ -228,10 +266,12 @@ def gold_stage(run: MedallionRun) -> int:
 
 
 def quality_stage(run: MedallionRun) -> list:
-    """One-pass Gold checks; raises ``DataQualityError`` on a failed error rule."""
+    """One-pass Gold checks and summary (``run.quality``, ``run.summary``); raises
+    ``DataQualityError`` on a failed error rule."""
     spec = run.spec
-    report = quality.check_gold(run.read("gold"), spec.gold_keys, spec.gold_alias)
-    run.quality = quality.enforce(report)
+    gold = run.read("gold")
+    run.quality = quality.enforce(quality.check_gold(gold, spec.gold_keys, spec.gold_alias))
+    run.summary = quality.gold_summary(gold, spec.gold_keys, spec.gold_alias).first().asDict()
     return run.quality
 
 

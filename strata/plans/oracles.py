@@ -38,6 +38,8 @@ LI_GOLD = ("SELECT l_returnflag, l_linestatus, count(l_orderkey) AS qty FROM {sr
 ORDERS_YEAR = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
                "o_orderpriority, year(o_orderdate)::int AS year FROM orders")
 
+CUSTOMER_RERUN = "SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_acctbal > 0"
+
 ORACLES: dict[str, str] = {
     "medallion": DOCS_GOLD + " ORDER BY qty DESC, source, lang",
     "gold_stats": DOCS_GOLD + " ORDER BY qty DESC, source, lang",
@@ -135,6 +137,9 @@ ORACLES: dict[str, str] = {
     "scan_json_roundtrip": "SELECT * FROM customer",
     "csv_export": "SELECT * FROM customer",
     "partition_by_value": "SELECT * FROM customer",
+    "partition_by_value_rerun": CUSTOMER_RERUN,
+    "snapshot_rerun_by_value": CUSTOMER_RERUN,
+    "snapshot_read_flat": "SELECT *, DATE '2026-02-02' AS snapshot_date FROM orders",
     "staged_checkpoint": LI_GOLD.format(src=f"({_dedup('last')})"),
     "snapshot_read": ("SELECT *, DATE '1997-01-01' AS snapshot_date FROM orders "
                       "WHERE year(o_orderdate) = 1997"),

@@ -15,7 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
 
@@ -65,19 +64,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def scale_conf(input_bytes: int, total_cores: int, advisory_mb: int = 256,
-               max_partitions: int = 200_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, advisory_mb: int = 256) -> dict[str, str]:
     """Shuffle sizing for a job over ``input_bytes`` on ``total_cores`` executor cores.
 
     Adaptive execution can coalesce shuffle partitions but never split them (skew
     aside), so the *initial* count must be large enough for the biggest shuffle
     (a full-row de-duplication moves about the whole input): one partition per
-    ``advisory_mb`` of input, at least two waves of tasks, at most
-    ``max_partitions``. AQE then merges the small ones after aggregations.
+    ``advisory_mb`` of input, at least two waves of tasks. AQE then merges the small ones after aggregations.
     """
     advisory = advisory_mb * 1024 * 1024
     initial = max(2 * total_cores, -(-input_bytes // advisory))
-    initial = min(initial, max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-import logging
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import scratch_path
-from strata.sources.scans import SNAPSHOT_KEY, list_snapshots
-
-log = logging.getLogger(__name__)
+from strata.session import checkpoint_root, scratch_path
+from strata.sources.files import file_system as _fs
+from strata.sources.files import partition_folders
+from strata.sources.scans import SNAPSHOT_KEY, default_key_type
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -51,30 +51,61 @@ def _date_value(snapshot) -> dt.date:
     return dt.date.fromisoformat(str(snapshot))
 
 
+def _publish(fs, staged: str, target: str) -> None:
+    """Put the finished folder ``staged`` in the place of ``target``; the old one goes last."""
+    old = None
+    if fs.exists(target):
+        old = f"{staged}-replaced"
+        fs.rename(target, old)
+    try:
+        fs.rename(staged, target)
+    except Exception:
+        if old is not None:
+            fs.rename(old, target)
+        raise
+    if old is not None:
+        fs.delete(old)
+
+
 def write_snapshot(df: DataFrame, base: str, snapshot, key: str = SNAPSHOT_KEY,
                    fmt: str = "parquet", metrics: Observation | None = None,
-                   partition_by: Sequence[str] = (), **options) -> int:
+                   partition_by: Sequence[str] = (), on_empty: str = "clear",
+                   check: Callable[[DataFrame, int], None] | None = None, **options) -> int:
     """Write ``df`` as the ``key=snapshot`` partition of ``base``; idempotent per date.
 
-    Dynamic partition overwrite replaces exactly that date and leaves every
-    other date alone, so a rerun or backfill of one logical date is safe. The
-    row count is observed during the write (no second job). An empty result
-    still clears the date, which dynamic overwrite alone would not do.
-    Output is staged and swapped in at job commit, so ``df`` may itself read the
-    snapshot it replaces. ``partition_by`` adds value partitions below the date
+    The rows go to a hidden folder of ``base`` first. When that is complete, and
+    ``check(written rows, count)`` has not raised, it takes the place of the date's folder:
+    the whole date is replaced, value partitions it no longer has included, every other
+    date stays, and a failed write or check leaves the old snapshot as it was. So ``df``
+    may itself read the snapshot it replaces. The row count is observed during the write
+    (no second job). An empty result removes the date (``on_empty="clear"``) or leaves it
+    as it is (``"keep"``). ``partition_by`` adds value partitions below the date
     (``key=<date>/<col>=<value>``); rows are then rebalanced on those columns so each
     value gets few files and a hot value is split. Returns the number of rows written.
     """
-    day = _date_value(snapshot)
-    obs = metrics or Observation()
-    out = df.withColumn(key, F.lit(day)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    if on_empty not in ("clear", "keep"):
+        raise ValueError(f"on_empty is 'clear' or 'keep', not {on_empty!r}")
+    spark, base, day = df.sparkSession, base.rstrip("/"), _date_value(snapshot)
+    obs, fs = metrics or Observation(), _fs(spark)
+    staged = f"{base}/_staged-{uuid.uuid4().hex[:12]}"
+    out = df.drop(key)
+    schema = out.schema
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         out = out.hint("rebalance", *partition_by)
-    write_partitioned(out, base, [key, *partition_by], fmt, "overwrite", dynamic=True,
-                      rebalance=False, **options)
-    rows = int(obs.get.get("rows", 0))
-    if rows == 0:
-        drop_partitions(df.sparkSession, base, key, [day.isoformat()])
+    try:
+        write_table(out, staged, fmt, "error", partition_by, **options)
+        rows = int(obs.get.get("rows", 0))
+        if check is not None:
+            check(spark.read.format(fmt).schema(schema).load(staged), rows)
+        target = f"{base}/{key}={day.isoformat()}"
+        if rows:
+            _publish(fs, staged, target)
+        elif on_empty == "clear" and fs.exists(target):
+            fs.delete(target)
+    finally:
+        if fs.exists(staged):
+            fs.delete(staged)
     return rows
 
 
@@ -89,67 +120,32 @@ def write_snapshots(df: DataFrame, base: str, key: str = SNAPSHOT_KEY, fmt: str
     write_partitioned(df, base, [key], fmt, "overwrite", dynamic=True, **options)
 
 
-class _HadoopFS:
-    """Directory operations through the session's Hadoop file systems (hdfs, s3a, gs, file)."""
-
-    def __init__(self, spark: SparkSession):
-        self.jvm = spark.sparkContext._jvm
-        self.conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _resolve(self, path: str):
-        p = self.jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.conf)
-
-    def exists(self, path: str) -> bool:
-        p, fs = self._resolve(path)
-        return bool(fs.exists(p))
-
-    def delete(self, path: str) -> None:
-        p, fs = self._resolve(path)
-        fs.delete(p, True)
-
-
-class _ArrowFS:
-    """The same operations through pyarrow, for sessions without a JVM (Spark Connect)."""
-
-    def _resolve(self, path: str):
-        from pyarrow import fs
-
-        if path.startswith("file:") and not path.startswith("file://"):
-            path = "/" + path[len("file:"):].lstrip("/")
-        return fs.FileSystem.from_uri(path)
-
-    def exists(self, path: str) -> bool:
-        from pyarrow import fs
-
-        filesystem, p = self._resolve(path)
-        return filesystem.get_file_info(p).type != fs.FileType.NotFound
-
-    def delete(self, path: str) -> None:
-        filesystem, p = self._resolve(path)
-        filesystem.delete_dir(p)
-
-
-def _fs(spark: SparkSession):
-    try:
-        return _HadoopFS(spark)
-    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect)
-        return _ArrowFS()
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a layer or partition directory exists."""
     return _fs(spark).exists(path)
 
 
+def delete_layer(spark: SparkSession, base: str) -> bool:
+    """Delete a whole layer (every snapshot of it); False when there was none."""
+    fs = _fs(spark)
+    if not fs.exists(base):
+        return False
+    fs.delete(base)
+    return True
+
+
 def drop_partitions(spark: SparkSession, base: str, key: str, values: Iterable) -> list[str]:
-    """Delete the ``key=value`` directories of ``base``; return the values dropped."""
+    """Delete the ``key=value`` folders of ``base``; return the values dropped.
+
+    Values are compared with the unescaped folder names, as text (dates in ISO form;
+    None is the null partition); a value without a folder is not in the result.
+    """
     fs, dropped = _fs(spark), []
-    for v in values:
-        path = f"{base.rstrip('/')}/{key}={v}"
-        if fs.exists(path):
+    wanted = {None if v is None else str(v) for v in values}
+    for path, value in partition_folders(fs, base, key):
+        if value in wanted:
             fs.delete(path)
-            dropped.append(str(v))
+            dropped.append(str(value))
     return dropped
 
 
@@ -157,31 +153,46 @@ def retain_snapshots(spark: SparkSession, base: str, keep_from, key: str = SNAPS
                      fmt: str = "parquet", key_type: T.DataType | None = None) -> list[str]:
     """Drop every partition whose value is below ``keep_from``; return the dropped values.
 
-    Partition values are listed without reading data (``list_snapshots``);
-    only the few directory names reach the driver.
+    Folder names are listed and compared as ``key_type``; the very folders found are
+    deleted, so zero-padded and escaped names are met. Null partitions stay.
     """
-    snaps = list_snapshots(spark, base, key, fmt, key_type)
-    old = [r[key] for r in snaps.filter(F.col(key) < F.lit(keep_from)).collect()]
-    vals = [v.isoformat() if isinstance(v, dt.date) else v for v in old]
-    return drop_partitions(spark, base, key, vals)
+    fs = _fs(spark)
+    found = partition_folders(fs, base, key)
+    if not found:
+        return []
+    as_type = key_type or default_key_type(key)
+    names = spark.createDataFrame([(i, v) for i, (_, v) in enumerate(found)], "i int, v string")
+    old = {r["i"] for r in names.filter(F.col("v").cast(as_type) < F.lit(keep_from)).collect()}
+    for i in sorted(old):
+        fs.delete(found[i][0])
+    return [found[i][1] for i in sorted(old)]
+
+
+#: What CSV export and import agree on: null has a mark of its own, so '' and null stay
+#: apart, quotes are doubled, and outer spaces and line breaks inside a text are kept.
+CSV_OPTIONS = {"nullValue": "\\N", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def export_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False,
-               max_single_file_rows: int = 1_000_000, mode: str = "overwrite",
-               **options) -> bool:
-    """CSV export; returns True when it produced a single file.
-
-    ``single_file`` funnels rows through one task, so it is honoured only when
-    the row count is proven under ``max_single_file_rows`` (a ``limit`` probe);
-    larger data is written in parallel part files. ``options`` go to the CSV
-    writer (for example ``nullValue="\\N"`` so that ``''`` and null stay apart).
+               mode: str = "overwrite", **options) -> None:
+    """CSV export with ``CSV_OPTIONS`` (``options`` override them); ``read_csv`` reads it back.
+
+    ``single_file`` is the caller's explicit request for one file, whatever the size: the
+    rows are computed in parallel and one task writes them all. Leave it off for large data.
+    """
+    out = df.repartition(1) if single_file else df
+    out.write.mode(mode).options(**{**CSV_OPTIONS, "header": header, **options}).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
+             **options) -> DataFrame:
+    """A CSV folder as ``export_csv`` writes it: line breaks, '' and null come back as they were.
+
+    With ``multiLine`` a file is read by one task, so export large data to many files.
     """
-    one = single_file and df.limit(max_single_file_rows + 1).count() <= max_single_file_rows
-    if single_file and not one:
-        log.warning("export_csv: more than %s rows, writing part files", max_single_file_rows)
-    out = df.coalesce(1) if one else df
-    out.write.mode(mode).option("header", header).options(**options).csv(path)
-    return one
+    return (spark.read.schema(schema)
+            .options(**{**CSV_OPTIONS, "header": header, "multiLine": True, **options}).csv(path))
 
 
 def stage(df: DataFrame, name: str = "stage", fmt: str = "parquet") -> DataFrame:
@@ -189,9 +200,19 @@ def stage(df: DataFrame, name: str = "stage", fmt: str = "parquet") -> DataFrame
 
     Cuts the lineage (later failures recompute from the staged files, not from
     the source) and survives executor loss because the files sit on shared
-    storage. Use ``DataFrame.checkpoint()`` for the same effect without a path.
+    storage. ``unstage`` deletes them once the results that read them are written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).schema(df.schema).load(path)
+
+
+def unstage(staged: DataFrame) -> None:
+    """Delete the scratch folder behind a ``stage`` result; nothing may read it afterwards."""
+    spark = staged.sparkSession
+    root = f"{checkpoint_root(spark)}/strata-scratch/"
+    folders = {f.rpartition("/")[0] for f in staged.inputFiles()}
+    for folder in folders:
+        if "/strata-scratch/" in folder and folder.rpartition("/strata-scratch/")[2]:
+            _fs(spark).delete(root + folder.rpartition("/strata-scratch/")[2])

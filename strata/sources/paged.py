@@ -3,8 +3,10 @@
 Pages ``1..P`` are fetched by executors, several pages per input partition;
 each record is emitted as its raw JSON text next to its page number, and
 ``strata.operators.bronze.from_json_records`` parses it into a contract in the
-JVM. The page count is either given or discovered on the driver with
-O(log P) probes (the source ends at its first empty page).
+JVM. The page count is given, or the driver finds it: page files are listed, so every page
+there is gets read and gaps show in ``page_report``; a URL ends at its first empty page,
+found with O(log P) probes, and a page before it that comes back empty after all is an error,
+never the silent end of the source.
 
 Two page fetchers:
 
@@ -72,6 +74,16 @@ class _FilePages:
             root = "/" + root[len("file:"):].lstrip("/")
         return fs.FileSystem.from_uri(root)
 
+    def last_page(self) -> int:
+        """The largest page number among the folders; 0 without any."""
+        from pyarrow import fs as pafs
+
+        filesystem, base = self._fs()
+        names = [i.base_name for i in filesystem.get_file_info(
+            pafs.FileSelector(base, allow_not_found=True))]
+        return max((int(n[5:]) for n in names if n.startswith("page=") and n[5:].isdigit()),
+                   default=0)
+
     def fetch(self, page: int) -> list[str]:
         from pyarrow import fs as pafs
 
@@ -154,9 +166,13 @@ class PagedReader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self):
-        fetch = _fetcher(self.options).fetch
-        pages = self.options.get("pages")
-        n = int(pages) if pages is not None else discover_page_count(fetch)
+        fetcher, pages = _fetcher(self.options), self.options.get("pages")
+        if pages is not None:
+            n = int(pages)
+        elif isinstance(fetcher, _FilePages):
+            n = fetcher.last_page()
+        else:
+            n = discover_page_count(fetcher.fetch)
         per = max(1, int(self.options.get("pages_per_partition", 16)))
         return [PageRange(first, min(first + per - 1, n)) for first in range(1, n + 1, per)]
 
@@ -166,6 +182,8 @@ class PagedReader(DataSourceReader):
         fetcher = _fetcher(self.options)
         for page in range(partition.first, partition.last + 1):
             records = fetcher.fetch(page)
+            if not records and isinstance(fetcher, _HttpPages) and not self.options.get("pages"):
+                raise RuntimeError(f"page {page} is empty, but later pages are not")
             if records:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([page] * len(records), pa.int32()), pa.array(records, pa.string())],
@@ -217,7 +235,7 @@ def read_paged(spark: SparkSession, contract: T.StructType = BRONZE_CONTRACT, **
 
 
 def page_report(pages: DataFrame, per_page: int | None = None) -> DataFrame:
-    """One row checking a paged read: no page missing inside the range, records per page.
+    """One row checking a paged read: no page missing from 1 to the last, records per page.
 
     Columns: ``pages, first_page, last_page, missing_pages, short_pages, records``.
     ``short_pages`` counts pages with fewer than ``per_page`` records (the last page
@@ -232,6 +250,7 @@ def page_report(pages: DataFrame, per_page: int | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("pages"),
         F.min("page").alias("first_page"),
         F.max("page").alias("last_page"),
-        (F.max("page") - F.min("page") + 1 - F.count(F.lit(1))).cast("bigint").alias("missing_pages"),
+        (F.max("page") - F.least(F.min("page"), F.lit(1)) + 1 - F.count(F.lit(1)))
+        .cast("bigint").alias("missing_pages"),
         short.alias("short_pages"),
         F.sum("n").cast("bigint").alias("records"))

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.contracts import EmptyInputError
+from strata.sources.files import file_system, partition_folders
 
 SNAPSHOT_KEY = "snapshot_date"
+#: Spark's names of the errors that mean "no such path" or "no file in it".
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -43,42 +47,46 @@ def read_snapshot(spark: SparkSession, base: str, snapshot=None, key: str = SNAP
     snapshot is a filter on it, so Spark prunes every other directory
     (``PartitionFilters`` in the plan) instead of the caller building paths.
     ``schema`` is the written schema without the key (value-partition columns
-    below the date included); passing it avoids partition type inference. A base written without
-    snapshot partitions is read whole, as that snapshot. With ``require`` an
-    unreadable or empty snapshot raises ``EmptyInputError``.
+    below the date included); passing it avoids partition type inference. A base whose
+    folders hold no ``key=value`` level is read whole, as that snapshot, with or without a
+    schema. With ``require`` a missing or empty snapshot raises ``EmptyInputError``; any
+    other read error (corrupt file, access denied) is raised as it is.
     """
+    layered = bool(partition_folders(file_system(spark), base, key))
     reader = spark.read.format(fmt).option("basePath", base)
     if schema is not None:
-        reader = reader.schema(T.StructType(list(schema.fields) + [T.StructField(key, key_type)]))
+        own = [T.StructField(key, key_type)] if layered else []
+        reader = reader.schema(T.StructType(list(schema.fields) + own))
     try:
         df = reader.load(base)
-    except Exception as exc:  # noqa: BLE001 - missing path / no files
-        if require:
-            raise EmptyInputError(f"{base} is empty or unreadable: {exc}") from exc
+    except AnalysisException as exc:
+        if require and exc.getCondition() in NOTHING_THERE:
+            raise EmptyInputError(f"{base} is empty or missing: {exc}") from exc
         raise
     if snapshot is not None:
-        if key not in df.columns:
-            # Unpartitioned layout (a layer written without snapshots): the whole
-            # base is the one snapshot there is.
-            df = df.withColumn(key, _partition_literal(snapshot).cast(key_type))
-        else:
-            df = df.filter(F.col(key) == _partition_literal(snapshot).cast(key_type))
+        value = _partition_literal(snapshot).cast(key_type)
+        df = df.filter(F.col(key) == value) if layered else df.withColumn(key, value)
     if require and df.isEmpty():
         raise EmptyInputError(f"{base} snapshot {snapshot} is empty")
     return df
 
 
+def default_key_type(key: str) -> T.DataType:
+    """The type of a partition key that the caller does not name: snapshots are dates."""
+    return T.DateType() if key == SNAPSHOT_KEY else T.StringType()
+
+
 def list_snapshots(spark: SparkSession, base: str, key: str = SNAPSHOT_KEY, fmt: str = "parquet",
                    key_type: T.DataType | None = None) -> DataFrame:
-    """Distinct partition values of a layer.
+    """Distinct partition values of a layer, from its folder names alone.
 
-    Only the partition column is selected, so the scan reads no data column
-    (``ReadSchema: struct<>``): the answer comes from the file listing.
+    No file is opened and no row is read, whatever the layer's size. Values are cast to
+    ``key_type`` (the snapshot key is a date, other keys are text unless it says else).
     """
-    reader = spark.read.format(fmt).option("basePath", base)
-    df = reader.load(base)
-    col = F.col(key) if key_type is None else F.col(key).cast(key_type)
-    return df.select(col.alias(key)).distinct()
+    found = partition_folders(file_system(spark), base, key)
+    names = spark.createDataFrame([(v,) for v in {v for _, v in found}],
+                                  T.StructType([T.StructField(key, T.StringType())]))
+    return names.select(F.col(key).cast(key_type or default_key_type(key)).alias(key)).distinct()
 
 
 def union_all(frames, allow_missing: bool = True) -> DataFrame:

@@ -86,7 +86,7 @@ def test_raw_records_are_landed_then_parsed(spark, tmp_path, base):
         d == "snapshot_date=2026-02-02" for d in os.listdir(f"{base}/landing/breweries"))
     landed = spark.read.parquet(f"{base}/landing/breweries/snapshot_date=2026-02-02")
     assert landed.columns == ["page", "value"]
-    assert landed.filter(F.col("value").contains('"extra":true')).count() == 1  # kept whole
+    assert landed.filter(F.col("value").contains('"extra": true')).count() == 1  # kept whole
     assert run.pages == {"pages": 1, "first_page": 1, "last_page": 1, "missing_pages": 0,
                          "short_pages": None, "records": 4}
 
@@ -119,7 +119,7 @@ def test_missing_required_name(spark, tmp_path, base, mode):
     if mode == "warn":
         assert run.violations["missing_required"] == 1 and run.counts["bronze"] == 5
     else:
-        assert run.violations["missing_required"] == 0
+        assert run.violations["missing_required"] == 1
         assert run.counts["quarantine"] == 1 and run.counts["bronze"] == 4
         q = spark.read.parquet(f"{base}/quarantine/breweries")
         assert [r["id"] for r in q.collect()] == ["7"]

@@ -106,7 +106,7 @@ def test_scale_conf_sizes_shuffles_from_input():
 
     tb = 1024 ** 4
     big = scale_conf(100 * tb, total_cores=8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000  # capped; AQE merges later
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
     mid = scale_conf(10 * tb, total_cores=8000)
     assert int(mid["spark.sql.shuffle.partitions"]) == 40_960
     small = scale_conf(40 * 1024 ** 2, total_cores=8)
