@@ -84,10 +84,10 @@ def test_join_then_group_paths_agree(spark, facts):
 
     fact = spark.createDataFrame([(k, s, float(v)) for k, s, v in facts], "key int, seg string, v double")
     dim = spark.createDataFrame([(k, f"n{k % 3}") for k in range(5)], "key int, name string")
-    broadcast = rows(enrich_and_aggregate(fact, dim, "key", ["seg"], ["name"], value="v"))
-    shuffled = rows(enrich_and_aggregate(fact, dim, "key", ["seg"], ["name"], value="v",
+    broadcast = rows(enrich_and_aggregate(fact, dim, "key", ["seg"], ["name"], value="v", scale=2))
+    shuffled = rows(enrich_and_aggregate(fact, dim, "key", ["seg"], ["name"], value="v", scale=2,
                                          max_broadcast_rows=1))
-    plain = rows(enrich_and_aggregate_plain(fact, dim, "key", ["seg"], ["name"], value="v"))
+    plain = rows(enrich_and_aggregate_plain(fact, dim, "key", ["seg"], ["name"], value="v", scale=2))
     assert broadcast == shuffled == plain
     expected = {}
     for k, s, v in facts:

@@ -95,7 +95,7 @@ def main(argv):
             "dedup_report": lambda d: dedup_report(d, ["l_orderkey", "l_linenumber"]),
             "join_group": lambda d: enrich_and_aggregate(d, supplier, "l_suppkey",
                                                          ["l_returnflag"], ["s_nationkey"],
-                                                         value="l_extendedprice"),
+                                                         value="l_extendedprice", scale=2),
         }
         for op, fn in ops.items():
             t = time.perf_counter()
