@@ -51,11 +51,11 @@ def _date_value(snapshot) -> dt.date:
     return dt.date.fromisoformat(str(snapshot))
 
 
-def _publish(fs, staged: str, target: str) -> None:
-    """Put the finished folder ``staged`` in the place of ``target``; the old one goes last."""
+def _publish(fs, staged: str, target: str, spare: str) -> None:
+    """Put the folder ``staged`` in the place of ``target``, which waits as ``spare`` meanwhile."""
     old = None
     if fs.exists(target):
-        old = f"{staged}-replaced"
+        old = spare
         fs.rename(target, old)
     try:
         fs.rename(staged, target)
@@ -87,7 +87,8 @@ def write_snapshot(df: DataFrame, base: str, snapshot, key: str = SNAPSHOT_KEY,
         raise ValueError(f"on_empty is 'clear' or 'keep', not {on_empty!r}")
     spark, base, day = df.sparkSession, base.rstrip("/"), _date_value(snapshot)
     obs, fs = metrics or Observation(), _fs(spark)
-    staged = f"{base}/_staged-{uuid.uuid4().hex[:12]}"
+    hidden = f"{base}/_staged-{uuid.uuid4().hex[:12]}"
+    staged = f"{hidden}/rows"
     out = df.drop(key)
     schema = out.schema
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -100,12 +101,12 @@ def write_snapshot(df: DataFrame, base: str, snapshot, key: str = SNAPSHOT_KEY,
             check(spark.read.format(fmt).schema(schema).load(staged), rows)
         target = f"{base}/{key}={day.isoformat()}"
         if rows:
-            _publish(fs, staged, target)
+            _publish(fs, staged, target, f"{hidden}-replaced")
         elif on_empty == "clear" and fs.exists(target):
             fs.delete(target)
     finally:
-        if fs.exists(staged):
-            fs.delete(staged)
+        if fs.exists(hidden):
+            fs.delete(hidden)
     return rows
 
 
