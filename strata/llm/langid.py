@@ -30,7 +30,7 @@ from strata.llm.common import Scratch, documents, slot, texts
 GRAMS, HASHES, SLOTS_PER_GRAM = (3, 4), 3, 16
 SAMPLE, PROFILE, MIN_COUNT, NEAR = 5_000, 1 << 15, 3, 0.5
 UNKNOWN = "und"
-_BLOCK = 1 << 18
+_BLOCK, _HELD = 1 << 18, 1 << 22
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _letters: list[np.ndarray] = []
 
@@ -128,18 +128,26 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                            for x in (k, min(10**6, 10**6 * sample // n))])
 
     def count(batches):
-        found: dict[str, list] = {}
-        for batch, bodies in texts(batches, "text"):
-            for text, lang in zip(bodies, batch.column(1).to_pylist()):
-                found.setdefault(lang, []).extend(grams(text))
+        found, held = {}, 0  # language -> arrays of n-grams, at most about _HELD in all
+
+        def counted_so_far():
             for lang, hashes in found.items():
-                if hashes:
-                    own, times = np.unique(np.concatenate(hashes), return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(own)), pa.array(own.view(np.int64)),
-                         pa.array(times)], names=["lang", "gram", "n"])
+                own, times = np.unique(np.concatenate(hashes), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(own)), pa.array(own.view(np.int64)),
+                     pa.array(times)], names=["lang", "gram", "n"])
             found.clear()
 
+        for batch, bodies in texts(batches, "text"):
+            for text, lang in zip(bodies, batch.column(1).to_pylist()):
+                for hashes in grams(text):
+                    found.setdefault(lang, []).append(hashes)
+                    held += len(hashes)
+                    if held >= _HELD:
+                        yield from counted_so_far()
+                        held = 0
+        yield from counted_so_far()
+
     picked = rows.filter(slot(F.col("doc_id"), "langid", 10**6) < share[F.col("lang")])
     scratch = Scratch(df.sparkSession, "langid")
     counted = scratch.stage(

@@ -39,6 +39,18 @@ def test_language_id_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_counting_in_small_parts_learns_the_same_filters(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [(i, f"the cat sat on the mat {i % 7}" if i % 2 else "der hund lief in den wald", lang)
+         for i, lang in enumerate(["en" if i % 2 else "de" for i in range(60)])],
+        "doc_id long, text string, lang string")
+    whole = langid.train(rows)
+    monkeypatch.setattr(langid, "_HELD", 40)
+    parts = langid.train(rows)
+    assert whole.languages == parts.languages == ["de", "en"]
+    assert (whole.masks == parts.masks).all() and whole.masks.any()
+
+
 def test_language_id_edge_rows(spark):
     train = [(i, "der die das und nicht mit", "de", "s") for i in range(30)] + [
         (100 + i, "the and of with that this", "en", "s") for i in range(30)]
