@@ -5,7 +5,8 @@ without a word match nothing. Of the documents that hold a line, the earliest (s
 id) owns it. A rare line (in ``RARE`` documents at most) links each later document with
 its owner, so the links of a line are as many as its documents, never all pairs. Each
 linked pair is aligned whole by patience diff: lines unique in both documents, in their
-longest increasing order, are anchors, between which equal lines are aligned again. The
+longest increasing order, are anchors, between which equal lines are aligned again; a range
+without such lines is aligned by a longest common subsequence, in linear space. The
 aligned common blocks go from the later document. A line in more documents than that is
 no evidence that two documents overlap and needs no partner to compare with: each such
 line is a block by itself, aligned with its first place in its owner, and goes from all
@@ -19,8 +20,10 @@ keeps its lines. Other columns are ignored; an empty table gives an empty result
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +31,62 @@ from pyspark.sql import functions as F
 from strata.llm.common import Scratch, documents, small
 
 RARE = 100
+_MASKS = 1 << 25
 _BLANK = " \\t\\n\\x0b\\f\\r"
 
 
+def _masks(b: list) -> Callable[[object], int]:
+    """The places in ``b`` of a line as the bits of an integer; at most ``_MASKS`` bytes are kept."""
+    where, wide = defaultdict(list), len(b) // 8 + 1
+    for j, x in enumerate(b):
+        where[x].append(j)
+
+    def mask(x) -> int:
+        bits = bytearray(wide)
+        for j in where.get(x, ()):
+            bits[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(bits, "little")
+
+    often = sorted(where, key=lambda x: -len(where[x]))[:_MASKS // wide]
+    kept = {x: mask(x) for x in often}
+    return lambda x: kept[x] if x in kept else mask(x)
+
+
+def _steps(a: list, b: list) -> np.ndarray:
+    """Lengths of the longest common subsequences of ``a`` with each prefix of ``b``, by bits."""
+    mask, ones = _masks(b), (1 << len(b)) - 1
+    v = ones
+    for x in a:
+        u = v & mask(x)
+        v = ((v + u) | (v - u)) & ones
+    grow = np.frombuffer((ones ^ v).to_bytes(len(b) // 8 + 1, "little"), np.uint8)
+    return np.append(0, np.cumsum(np.unpackbits(grow, bitorder="little")[:len(b)], dtype=np.int64))
+
+
+def _longest(a: list, b: list, alo: int, ahi: int, blo: int, bhi: int) -> list[tuple[int, int]]:
+    """A longest common subsequence of two ranges, halved in linear space (Hirschberg)."""
+    in_a, in_b = set(a[alo:ahi]), set(b[blo:bhi])
+    at_a = [i for i in range(alo, ahi) if a[i] in in_b]
+    at_b = [j for j in range(blo, bhi) if b[j] in in_a]
+    a, b = [a[i] for i in at_a], [b[j] for j in at_b]
+    out, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        alo, ahi, blo, bhi = todo.pop()
+        if alo == ahi or blo == bhi:
+            continue
+        if ahi - alo == 1:
+            j = next((j for j in range(blo, bhi) if b[j] == a[alo]), None)
+            if j is not None:
+                out.append((at_a[alo], at_b[j]))
+            continue
+        mid = (alo + ahi) // 2
+        head = _steps(a[alo:mid], b[blo:bhi])
+        tail = _steps(a[mid:ahi][::-1], b[blo:bhi][::-1])[::-1]
+        cut = blo + int((head + tail).argmax())
+        todo += [(alo, mid, blo, cut), (mid, ahi, cut, bhi)]
+    return out
+
+
 def patience(a: list, b: list) -> list[tuple[int, int]]:
     """Aligned (place in a, place in b) of equal lines, in order in both."""
     out, todo = [], [(0, len(a), 0, len(b))]
@@ -49,6 +105,7 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
         both = [(i, where[x]) for i, x in enumerate(a[alo:ahi], alo)
                 if ones_a[x] == 1 and x in where]
         if not both:
+            out += _longest(a, b, alo, ahi, blo, bhi)
             continue
         tops, piles, back = [], [], []
         for i, j in both:  # the longest increasing run of places in b

@@ -164,6 +164,36 @@ def test_line_dedup_removes_blocks_from_the_later_document(spark, rare):
     assert sorted(r.n_removed for r in got if r.doc_id == 5) == [0, 2]
 
 
+def brute_lcs(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+@pytest.mark.parametrize("masks", [0, 1 << 25])
+def test_ranges_without_unique_lines_are_aligned_whole(monkeypatch, masks):
+    monkeypatch.setattr(linededup, "_MASKS", masks)
+    assert linededup.patience(list("axbxc"), list("dxexf")) == [(1, 1), (3, 3)]
+    rng = random.Random(3)
+    for _ in range(200):
+        a = [rng.choice("xyz") for _ in range(rng.randint(1, 20))] * 2
+        b = [rng.choice("xyzw") for _ in range(rng.randint(1, 20))] * 2
+        got = sorted(linededup._longest(a, b, 0, len(a), 0, len(b)))
+        assert len(got) == brute_lcs(a, b) and all(a[i] == b[j] for i, j in got)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
+def test_line_dedup_of_repeated_and_crossing_lines_by_rare(spark):
+    rows = [(1, "a\nx\nb\nx\nc"), (2, "d\nx\ne\nx\nf"), (3, "p\nm\nq"), (4, "r\nq\ns\np\nt")]
+    left = {rare: {r.doc_id: r.text for r in linededup.dedup_lines(
+        spark, frame(spark, rows), rare=rare).collect()} for rare in (1, 100)}
+    assert left[1][2] == left[100][2] == "d\ne\nf"
+    assert left[1][4] == "r\ns\nt"  # common lines need no partner, so their order is no matter
+    assert left[100][4] in ("r\nq\ns\nt", "r\ns\np\nt")  # one of a crossing pair has no partner
+
+
 @pytest.mark.parametrize("run", [exact.exact_duplicates, simhash.near_duplicates,
                                  linededup.dedup_lines, exact.drop_exact_duplicates,
                                  simhash.drop_near_duplicates])
