@@ -3,14 +3,17 @@
 Lines are compared by two 64-bit hashes of their text without outer white space; lines
 without a word match nothing. Of the documents that hold a line, the earliest (smallest
 id) owns it. A rare line (in ``RARE`` documents at most) links each later document with
-its owner, so the links of a line are as many as its documents, never all pairs. Each
-linked pair is aligned whole by patience diff: lines unique in both documents, in their
+its owner. Where the line stays, as it does not align there, the document is linked with
+the 2, 4, 8, ... next earliest holders that it has not been compared with, round by round
+until the line goes or no earlier holder is left: so links follow the lines that stay, and
+are all pairs of a line's documents only if it aligns in none of them. Each linked pair is aligned whole by patience diff: lines unique in both documents, in their
 longest increasing order, are anchors, between which equal lines are aligned again; a range
 without such lines is aligned by a longest common subsequence, in linear space. The
 aligned common blocks go from the later document. A line in more documents than that is
 no evidence that two documents overlap and needs no partner to compare with: each such
 line is a block by itself, aligned with its first place in its owner, and goes from all
-later documents directly. So no line's group is ever gathered, and none is left out.
+later documents directly. So no line's group is ever gathered, and none is left out; but a
+rare line whose order crosses in every pair stays, which a common line does not.
 
 Null and empty texts have no lines to lose and stay as they are (null as null). Null ids
 come last; rows of equal ids are ordered by their texts' hash, so of repeated rows one
@@ -25,7 +28,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, documents, small
@@ -144,6 +147,26 @@ def _align(batches):
                                           pa.array(out_at, pa.int32())], names=["rid", "at"])
 
 
+def _aligned(pairs: DataFrame, hashed: DataFrame) -> DataFrame:
+    """(rid, at): places of the later documents that align with the other one of their pair."""
+    return (pairs.join(hashed.select("rid", F.col("lines").alias("mine")), "rid")
+            .join(hashed.select(F.col("rid").alias("owner"), F.col("lines").alias("theirs")),
+                  "owner").select("rid", "mine", "theirs")
+            .mapInArrow(_align, "rid long, at int"))
+
+
+def _next_links(left: DataFrame, held: DataFrame, pairs: DataFrame, reach: int) -> DataFrame:
+    """(rid, owner, owner_id): for each line that stays in a document, the ``reach`` earliest of
+    its earlier holders that the document has not been compared with."""
+    lines = left.select("h1", "h2", "rid", "rank").distinct()
+    others = held.select("h1", "h2", F.col("rid").alias("owner"), F.col("rank").alias("other"))
+    nearest = Window.partitionBy("h1", "h2", "rid").orderBy("other")
+    return (others.join(small(lines), ["h1", "h2"]).filter("other < rank")
+            .join(small(pairs.select("rid", "owner")), ["rid", "owner"], "left_anti")
+            .withColumn("nth", F.row_number().over(nearest)).filter(F.col("nth") <= reach)
+            .select("rid", "owner", F.col("other.doc_id").alias("owner_id")))
+
+
 def dedup_lines(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
                 text_col: str = "text", rare: int = RARE) -> DataFrame:
     """One row per row of ``df``: doc_id, text (without the lines), n_lines, n_removed,
@@ -168,15 +191,25 @@ def dedup_lines(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     shared = scratch.stage(
         held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("owner"))
         .filter("n > 1"), "shared")
-    later = held.join(small(shared), ["h1", "h2"]).filter("rid <> owner.rid")
-    pairs = scratch.stage(later.filter(F.col("n") <= rare).select(
-        "rid", F.col("owner.rid").alias("owner"), F.col("owner.doc_id").alias("owner_id"))
-        .distinct(), "pairs")
+    later = scratch.stage(held.join(small(shared), ["h1", "h2"]).filter("rid <> owner.rid"),
+                          "later")
     common = later.filter(F.col("n") > rare).select("rid", F.explode("at").alias("at"))
-    aligned = (pairs.join(hashed.select("rid", F.col("lines").alias("mine")), "rid")
-               .join(hashed.select(F.col("rid").alias("owner"), F.col("lines").alias("theirs")),
-                     "owner").select("rid", "mine", "theirs")
-               .mapInArrow(_align, "rid long, at int"))
+    links = later.filter(F.col("n") <= rare).select(
+        "rid", F.col("owner.rid").alias("owner"), F.col("owner.doc_id").alias("owner_id"))
+    left = later.filter(F.col("n") <= rare).select("h1", "h2", "rid", "rank",
+                                                   F.explode("at").alias("at"))
+    pairs = aligned = None
+    reach = 1
+    while True:
+        new = scratch.stage(links.distinct(), "pairs")
+        if pairs is not None and new.isEmpty():
+            break
+        cut = scratch.stage(_aligned(new, hashed), "aligned")
+        pairs = new if pairs is None else pairs.unionByName(new)
+        aligned = cut if aligned is None else aligned.unionByName(cut)
+        left = scratch.stage(left.join(small(cut), ["rid", "at"], "left_anti"), "left")
+        reach *= 2
+        links = _next_links(left, held, pairs, reach)
     at_type = pairs.schema["owner_id"].dataType
     marks = (aligned.unionByName(common).distinct()
              .select("rid", "at", F.lit(None).cast(at_type).alias("owner_id"))

@@ -194,6 +194,17 @@ def test_line_dedup_of_repeated_and_crossing_lines_by_rare(spark):
     assert left[100][4] in ("r\nq\ns\nt", "r\ns\np\nt")  # one of a crossing pair has no partner
 
 
+def test_line_dedup_tries_every_earlier_holder(spark):
+    crossed = [(i, f"a{i}\nq\nb{i}\np\nc{i}") for i in range(2, 9)]
+    rows = [(1, "p\nm\nq"), *crossed, (20, "r\nz\np\ns\nq\nt"), (21, "z\nk\nq\nl\np\nw"),
+            (30, "u\nmine\nv"), (31, "mine\nu\nx"), (32, "mine\ny\nu")]
+    got = {r.doc_id: r for r in linededup.dedup_lines(spark, frame(spark, rows)).collect()}
+    assert got[2].n_removed == 1 and all(got[i].n_removed == 2 for i in range(3, 9))
+    assert got[3].partners == [1, 2]  # the owner has them crossed, document 2 does not
+    assert got[21].text == "k\nl\nw" and got[32].text == "y"
+    assert all(p < i for i, r in got.items() for p in r.partners)
+
+
 @pytest.mark.parametrize("run", [exact.exact_duplicates, simhash.near_duplicates,
                                  linededup.dedup_lines, exact.drop_exact_duplicates,
                                  simhash.drop_near_duplicates])
