@@ -18,9 +18,9 @@ from strata.session import scratch_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-#: A table of so many rows at most is broadcast; its rows are a few numbers or a short key
-#: each, so this is a bound of some ten megabytes. Beyond it the same join shuffles.
-BROADCAST_ROWS = 100_000
+#: A table of so many rows at most, whose texts, bytes and nested values have so many bytes at
+#: most in all, is broadcast. Beyond either bound the same join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 1 << 25
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -100,9 +100,21 @@ def with_row_id(scratch: Scratch, df: DataFrame, rid: str) -> DataFrame:
     return scratch.stage(df.withColumn(rid, F.monotonically_increasing_id()), "rows")
 
 
+def _wide_bytes(df: DataFrame) -> int:
+    """Bytes of the columns of ``df`` that have no fixed width (nested ones as JSON)."""
+    texts_ = [F.octet_length(F.col(f"`{c}`")) for c, t in df.dtypes if t in ("string", "binary")]
+    nested = [F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))) for c, t in df.dtypes
+              if t.startswith(("struct", "array", "map"))]
+    sizes = [F.coalesce(F.sum(n), F.lit(0)) for n in texts_ + nested]
+    return sum(df.agg(*sizes).first()) if sizes else 0
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A staged table with a broadcast hint if it has ``rows`` rows at most, else as it is."""
-    return F.broadcast(df) if df.count() <= rows else df.hint("shuffle_merge")
+    """A staged table with a broadcast hint if it has ``rows`` rows and ``BROADCAST_BYTES``
+    bytes of varying width at most, else with one for a shuffled join."""
+    if df.count() <= rows and _wide_bytes(df) <= BROADCAST_BYTES:
+        return F.broadcast(df)
+    return df.hint("shuffle_merge")
 
 
 def texts(batches: Iterator, column: str) -> Iterator:

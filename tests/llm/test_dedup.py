@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import exact, linededup, simhash
+from strata.llm import common, exact, linededup, simhash
 from strata.llm.common import Scratch
 from strata.llm.components import components
 
@@ -61,6 +61,18 @@ def test_exact_shuffles_when_groups_are_many(spark, monkeypatch):
     assert {(r.keep_id, r.group_size) for r in got} == {(35 + k, 8) for k in range(5)}
 
 
+def test_broadcasts_are_bounded_by_bytes_too(spark, monkeypatch):
+    wide, nested = ([(k, "x" * 400) for k in range(4)], [(k, ["x" * 400]) for k in range(4)])
+    frames = [frame(spark, wide), frame(spark, nested, "doc_id long, text array<string>")]
+    hint = lambda df: common.small(df)._jdf.queryExecution().logical().toString()
+    assert all("broadcast" in hint(df).lower() for df in frames)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 1000)
+    assert all("shuffle_merge" in hint(df).lower() for df in frames)
+    rows = [(k, "y" * 5000 + str(k % 5)) for k in range(15)]
+    got = exact.exact_duplicates(spark, frame(spark, rows)).collect()
+    assert {(r.keep_id, r.group_size) for r in got} == {(10 + k, 3) for k in range(5)}
+
+
 def test_drop_exact_keeps_columns_even_clashing_ones(spark):
     df = frame(spark, [(1, "a", "x"), (2, "A", "y"), (3, "b", None)],
                "doc_id long, text string, rid string")
