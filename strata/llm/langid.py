@@ -29,6 +29,7 @@ from strata.llm.common import Scratch, documents, slot, texts
 
 GRAMS, HASHES, SLOTS_PER_GRAM = (3, 4), 3, 16
 SAMPLE, PROFILE, MIN_COUNT, NEAR = 5_000, 1 << 15, 3, 0.5
+_DEALT = 1 << 62
 UNKNOWN = "und"
 _BLOCK, _HELD = 1 << 18, 1 << 22
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -115,6 +116,11 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string")) % 4 == 2, F.lit(False))
 
 
+def _share(n: int, sample: int) -> int:
+    """Of ``_DEALT`` slots, those whose rows are about ``sample`` of ``n``; never none."""
+    return min(_DEALT, max(1, _DEALT * sample // n))
+
+
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample: int = SAMPLE) -> Filters:
     """Filters of the languages of the rows that are not held out."""
@@ -125,7 +131,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not sizes:
         return Filters({})
     share = F.create_map(*[F.lit(x) for k, n in sizes.items()
-                           for x in (k, min(10**6, 10**6 * sample // n))])
+                           for x in (k, _share(n, sample))])
 
     def count(batches):
         found, held = {}, 0  # language -> arrays of n-grams, at most about _HELD in all
@@ -148,7 +154,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                         held = 0
         yield from counted_so_far()
 
-    picked = rows.filter(slot(F.col("doc_id"), "langid", 10**6) < share[F.col("lang")])
+    picked = rows.filter(slot(F.col("doc_id"), "langid", _DEALT) < share[F.col("lang")])
     scratch = Scratch(df.sparkSession, "langid")
     counted = scratch.stage(
         picked.select("text", "lang").mapInArrow(count, "lang string, gram long, n long")

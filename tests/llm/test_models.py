@@ -51,6 +51,17 @@ def test_counting_in_small_parts_learns_the_same_filters(spark, monkeypatch):
     assert (whole.masks == parts.masks).all() and whole.masks.any()
 
 
+def test_sample_shares_of_large_languages_are_never_empty(spark):
+    for n in (1, 5_000, 5_001, 10**6, 5 * 10**9 + 1, 10**11, 10**15):
+        share = langid._share(n, langid.SAMPLE) / langid._DEALT
+        assert share * n == pytest.approx(min(n, langid.SAMPLE), rel=1e-3)
+    assert langid._share(10**30, 1) == 1
+    rows = [(i, "the cat sat on the mat", "en", None) for i in range(3000)]
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    dealt = df.filter(langid.slot(df.doc_id, "langid", langid._DEALT) < langid._share(3000, 300))
+    assert 200 < dealt.count() < 400
+
+
 def test_language_id_edge_rows(spark):
     train = [(i, "der die das und nicht mit", "de", "s") for i in range(30)] + [
         (100 + i, "the and of with that this", "en", "s") for i in range(30)]
