@@ -232,6 +232,68 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+BSD = """Copyright (c) 2020, Someone
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_license_scan_of_genuine_notices(spark):
+    want = {MIT: ",8,9,", APACHE: ",3,4,5,", GPL: ",11,12,", BSD: ",1,17,18,19,",
+            BSD3: ",1,17,18,19,20,",
+            "x\nThis file is licensed under the MIT License.\ny": ",7,",
+            "Not so.\nLicensed under the MIT License\nAll rights reserved\nend": ",7,1,",
+            "Licensed under the Apache License, Version 2.0\nThe license is long": ",2,",
+            "It is not licensed under the MIT License. Unlicensed under the MIT Licenses": ","}
+    name = {MIT: "mit", APACHE: "apache-2.0", GPL: "gpl-3.0",
+            BSD: "all-rights-reserved,bsd-2-clause", BSD3: "all-rights-reserved,bsd-3-clause"}
+    forms = [(" ".join(t.split()), t) for t in name] + [
+        ("# " + t.replace("\n", "\n# "), t) for t in name] + [(t, t) for t in want]
+    df = spark.createDataFrame([(i, t, None, None) for i, (t, _) in enumerate(forms)], DOCS)
+    got = {r.doc_id: r for r in licenses.scan_licenses(df).collect()}
+    for i, (_, t) in enumerate(forms):
+        assert got[i].sentence_ids == want[t], (forms[i], got[i])
+        assert t not in name or got[i].licenses == name[t], got[i]
+
+
 def test_oracles_of_this_folder(spark):
     from strata.llm.catalog import ORACLES, QUERIES
 
