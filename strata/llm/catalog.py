@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from strata.llm import (
-    exact, langid, licenses, linededup, mixing, packing, pii, quality, simhash, toxicity,
+    decontaminate, exact, fim, importance, langid, licenses, linededup, mixing, packing, pii,
+    quality, simhash, toxicity,
 )
 
 QUERIES = {
@@ -17,9 +18,15 @@ QUERIES = {
     "op8_license_scan": licenses.query,
     "op9_mixing": mixing.query,
     "op10_exact_dedup": exact.query,
+    "op11_decontamination": decontaminate.query,
+    "op12_fill_in_middle": fim.query,
+    "op13_importance_resampling": importance.query,
 }
 
 ORACLES = {
     "op8_license_scan": licenses.ORACLE,
     "op10_exact_dedup": exact.ORACLE,
+    "op11_decontamination": decontaminate.ORACLE,
+    "op12_fill_in_middle": fim.ORACLE,
+    "op13_importance_resampling": importance.ORACLE,
 }
