@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.contracts import BRONZE_CONTRACT, all_strings, conform
+from strata.sources.json_arrays import raw_members, raw_value
 
 
 def normalize_strings(df: DataFrame, contract: T.StructType | None = None) -> DataFrame:
@@ -50,7 +51,8 @@ CORRUPT_RECORD = "_corrupt_record"
 
 
 def from_json_records(records: DataFrame, contract: T.StructType = BRONZE_CONTRACT,
-                      column: str = "record", corrupt: str | None = CORRUPT_RECORD) -> DataFrame:
+                      column: str = "record", corrupt: str | None = CORRUPT_RECORD,
+                      exact: bool = False) -> DataFrame:
     """Parse one-JSON-object-per-row text into the contract, JVM-side.
 
     With text fields, JSON numbers/booleans/objects keep their raw JSON text,
@@ -58,6 +60,10 @@ def from_json_records(records: DataFrame, contract: T.StructType = BRONZE_CONTRA
     columns of ``records`` (for example a page number) are kept in front. A
     record that is not valid JSON keeps its raw text in the ``corrupt`` column
     (null for good records) instead of silently becoming a row of nulls.
+
+    The parser may write a number anew (``1E5`` as ``100000.0``, and more than 17 digits with a
+    fraction rounded). ``exact`` keeps the text fields' numbers, truth values and nested values
+    as they were received, at the price of one more pass over the record's text.
     """
     keep = [c for c in records.columns if c != column]
     schema = contract
@@ -66,4 +72,14 @@ def from_json_records(records: DataFrame, contract: T.StructType = BRONZE_CONTRA
         schema = T.StructType(list(contract.fields) + [T.StructField(corrupt, T.StringType())])
         options["columnNameOfCorruptRecord"] = corrupt
     parsed = F.from_json(F.col(column), schema, options).alias("_r")
-    return records.select(*keep, parsed).select(*keep, "_r.*")
+    if not exact:
+        return records.select(*keep, parsed).select(*keep, "_r.*")
+    rows = records.select(*keep, parsed, raw_members(F.col(column)).alias("_m"))
+    text = {f.name for f in contract.fields if isinstance(f.dataType, T.StringType)}
+    fields = []
+    for f in schema.fields:
+        value = F.col("_r")[f.name]
+        if f.name in text:
+            value = F.when(value.isNotNull(), F.coalesce(raw_value(F.col("_m"), f.name), value))
+        fields.append(value.alias(f.name))
+    return rows.select(*keep, *fields)

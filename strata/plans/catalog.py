@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,16 +18,23 @@ from pyspark.sql import types as T
 
 from strata.functions.contracts import all_strings, assert_schema, conform
 from strata.operators import gold as gold_ops
-from strata.operators import quality
-from strata.operators.bronze import add_ingest_metadata, normalize_strings, to_bronze
+from strata.operators import quality, sketches, validate
+from strata.operators.bronze import (
+    add_ingest_metadata, from_json_records, normalize_strings, to_bronze,
+)
 from strata.operators.enrich import enrich_and_aggregate
-from strata.operators.layout import key_skew
+from strata.operators.layout import hot_keys, key_skew
+from strata.operators.reuse import cached
 from strata.operators.silver import clean, dedup, dedup_report, distinct_rows
+from strata.operators.summary import summarize
+from strata.plans.backfill import run_backfill
 from strata.plans.medallion import MedallionSpec, run_medallion
+from strata.plans.run_metrics import read_metrics
 from strata.session import scratch_path
 from strata.sinks.writes import (
     export_csv, read_csv, retain_snapshots, stage, write_partitioned, write_snapshot, write_table,
 )
+from strata.sources.json_arrays import read_json_arrays
 from strata.sources.paged import read_paged
 from strata.sources.scans import list_snapshots, read_snapshot, read_table, union_all
 
@@ -425,6 +433,200 @@ def q_medallion(spark, sf_dir):
     return run.gold()
 
 
+# --- Layer validation, backfill, sketches --------------------------------------
+
+def _drifted_silver(spark, sf_dir):
+    """Silver lineitem as it should be, and a copy in which some rows are lost, altered or
+    repeated."""
+    good = dedup(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, ["l_shipdate"])
+    odd = (good.filter("not (l_orderkey % 1000 = 7 and l_linenumber = 1)")
+           .withColumn("l_quantity", F.when(F.expr("l_orderkey % 1000 = 11"),
+                                            F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+           .withColumn("l_returnflag", F.when(F.expr("l_orderkey % 1000 <> 13"),
+                                              F.col("l_returnflag"))))
+    odd = odd.unionByName(odd.filter("l_orderkey % 1000 = 17 and l_linenumber = 2"))
+    return validate.Layer("silver", odd, LINEITEM_KEYS, ["l_orderkey", "l_comment"], good)
+
+
+def q_layer_validate(spark, sf_dir):
+    """Rows, columns present, nulls and drifted key buckets of every layer's columns."""
+    bronze = table(spark, sf_dir, "lineitem")
+    silver = _drifted_silver(spark, sf_dir)
+    gold = _lineitem_gold(silver.expected)
+    layers = [validate.Layer("bronze", bronze, LINEITEM_KEYS, bronze.columns), silver,
+              validate.Layer("gold", gold, ["l_returnflag", "l_linestatus"], gold.columns,
+                             _lineitem_gold(silver.expected))]
+    # The key bucket as SQL has it too; a layer without this key is one bucket.
+    out = [validate.validate_layers([layer], bucket=bucket) for layer, bucket in zip(
+        layers, (F.pmod("l_orderkey", F.lit(64)), F.pmod("l_orderkey", F.lit(64)), F.lit(0)))]
+    return union_all([df.withColumn("step", F.lit(i)) for i, df in enumerate(out)])
+
+
+def q_layer_drift(spark, sf_dir):
+    """The key buckets whose content is not what the layer before makes of it."""
+    found = validate.drifted_buckets(_drifted_silver(spark, sf_dir),
+                                     bucket=F.pmod("l_orderkey", F.lit(1000)))
+    return found.withColumn("columns", F.array_join("columns", ","))
+
+
+def q_layer_diff(spark, sf_dir):
+    """The rows that differ, looked for in drifted buckets only."""
+    return validate.drifted_rows(_drifted_silver(spark, sf_dir))
+
+
+DAYS = [dt.date(2026, 3, 1) + dt.timedelta(days=i) for i in range(6)]
+
+
+def _dated_records(spark, sf_dir, keep, broken=None):
+    """Documents as raw JSON records of six days; a broken day's records are cut short."""
+    docs = table(spark, sf_dir, "documents").filter(keep).select(
+        "doc_id", "source", "lang", "n_chars")
+    record = F.to_json(F.struct(*docs.columns))
+    if broken is not None:
+        record = F.when(F.expr(f"doc_id % 6 = {broken}"),
+                        F.expr("left(r, length(r) - 3)")).otherwise(F.col("r"))
+        docs = docs.withColumn("r", F.to_json(F.struct("doc_id", "source", "lang", "n_chars")))
+    return docs.select(F.date_add(F.lit(DAYS[0]), F.expr("int(doc_id % 6)")).alias("snapshot_date"),
+                       record.alias("record"))
+
+
+def _backfilled(spark, sf_dir, name):
+    """Six days' first version, without every seventh document; then four of the days again,
+    whole, one of them broken."""
+    spec = replace(DOCS_SPEC, contract=all_strings(["doc_id", "source", "lang", "n_chars"]),
+                   silver_columns=DOCS_SPEC.silver_columns[:4], on_missing_required="fail")
+    base = scratch_path(spark, name)
+    run_backfill(spark, _dated_records(spark, sf_dir, "doc_id % 7 <> 0"), base, DAYS, spec)
+    again = run_backfill(spark, _dated_records(spark, sf_dir, "true", broken=2), base, DAYS[1:5],
+                         spec)
+    return base, spec, again
+
+
+def q_backfill(spark, sf_dir):
+    """Dates rerun in one plan; the broken one, and those not asked for, keep their Gold."""
+    base, spec, _ = _backfilled(spark, sf_dir, "backfill")
+    return read_snapshot(spark, f"{base}/{spec.layers['gold']}")
+
+
+def q_backfill_metrics(spark, sf_dir):
+    """Each date's latest stage metrics, read back from the lake's metrics table."""
+    base, _, _ = _backfilled(spark, sf_dir, "backfill_metrics")
+    return read_metrics(spark, base).select("snapshot_date", "step", "stage", "metric", "value")
+
+
+def q_hot_keys(spark, sf_dir):
+    """Text and composite keys with a share of the rows, from a sketch, recounted."""
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "source", F.expr("nullif(source, 'src3')"))
+    orders = table(spark, sf_dir, "orders")
+    by_text = hot_keys(docs, ["source"], 0.04).select(
+        F.lit("source").alias("key"), F.col("source").alias("value"), "n_rows", "share")
+    pair = hot_keys(orders, ["o_orderstatus", "o_orderpriority"], 0.05).select(
+        F.lit("status,priority").alias("key"),
+        F.concat_ws(",", "o_orderstatus", "o_orderpriority").alias("value"), "n_rows", "share")
+    return by_text.unionByName(pair)
+
+
+def q_summarize(spark, sf_dir):
+    """Counts, nulls, moments, bounds and exact quartiles of number and text columns."""
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_orderpriority", F.expr("nullif(o_orderpriority, '5-LOW')"))
+    return summarize(orders, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus",
+                              "o_orderpriority"], exact=True, digits=2).drop("mean", "stddev")
+
+
+def q_summarize_sketch(spark, sf_dir):
+    """Sketched quartiles, each held against its exact rank within the stated error."""
+    from strata.operators.summary import QUARTILES, SKETCH_K, rank_error
+
+    orders = table(spark, sf_dir, "orders")
+    columns = ["o_custkey", "o_totalprice"]
+    found = summarize(orders, columns).filter(F.col("column_name").isin(columns))
+    long = found.select("column_name", F.inline(F.array(*[
+        F.struct(F.lit(q).alias("quantile"), F.col(f"q{q * 100:g}").alias("at"))
+        for q in QUARTILES])))
+    points = stage(long, "quartiles")
+    values = orders.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])))
+    ranks = (values.join(F.broadcast(points), "column_name")
+             .groupBy("column_name", "quantile").agg(
+                 F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") < F.col("at")).alias("below"),
+                 F.count_if(F.col("x") <= F.col("at")).alias("upto")))
+    error = 2 * rank_error(SKETCH_K)
+    return ranks.select("column_name", "quantile", "n",
+                        ((F.col("below") / F.col("n") <= F.col("quantile") + error)
+                         & (F.col("upto") / F.col("n") >= F.col("quantile") - error))
+                        .alias("within_error"))
+
+
+def q_distinct_merged(spark, sf_dir):
+    """A10, A4: distinct counts over many snapshots from their stored sketches alone."""
+    orders = table(spark, sf_dir, "orders")
+    base, columns = scratch_path(spark, "order_sketches"), ["o_custkey", "o_orderpriority",
+                                                             "o_orderdate"]
+    for year in range(1995, 1999):
+        start = F.lit(f"{year}-01-01").cast("timestamp_ntz")
+        end = F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
+        sketches.write_distinct_sketches(
+            orders.filter((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)), base,
+            dt.date(year, 1, 1), columns)
+    merged = sketches.merged_distinct(spark, base, dt.date(1996, 1, 1))
+    years = orders.filter((F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
+                          & (F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")))
+    exact = quality.distinct_profile(years, columns)
+    return merged.join(F.broadcast(exact), "column_name").select(
+        "column_name", "snapshots", "rows", "non_null", "distinct_count",
+        (F.abs(F.col("distinct_estimate") - F.col("distinct_count"))
+         <= F.col("distinct_count") * sketches.relative_error()).alias("within_error"))
+
+
+ARRAY_FIELDS = ["c_custkey", "c_name", "wide", "power"]
+
+
+def q_json_arrays(spark, sf_dir):
+    """One JSON array a file, elements with their numbers as written; a broken one is kept
+    as text."""
+    path = scratch_path(spark, "customer_arrays")
+    element = F.expr("""concat('{"c_custkey": ', c_custkey, ', "c_name": "', c_name,
+        '", "wide": 1', c_custkey, '00000000000000000000000000.10, "power":', c_nationkey, 'E5',
+        if(c_custkey % 100 = 7, ',}', '}'))""")
+    files = (table(spark, sf_dir, "customer")  # a thousand customers a file
+             .select(F.expr("c_custkey div 1000").alias("part"), "c_custkey", element.alias("e"))
+             .groupBy("part").agg(F.sort_array(F.collect_list(F.struct("c_custkey", "e"))).alias("l"))
+             .select("part", F.concat(F.lit("["), F.array_join(
+                 F.transform("l", lambda x: x["e"]), ",\n "), F.lit("]")).alias("value")))
+    write_table(files, path, "text", partition_by=["part"])
+    records = read_json_arrays(spark, path, "part", T.LongType()).select("part", "record")
+    return from_json_records(records, all_strings(ARRAY_FIELDS), exact=True)
+
+
+def q_union_widen(spark, sf_dir):
+    """Pages whose columns drift in type, in the narrowest type that keeps each value."""
+    orders = table(spark, sf_dir, "orders")
+    cut = F.pmod("o_orderkey", F.lit(3))
+    as_int = orders.filter(cut == 0).select(
+        F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("int"),
+        F.col("o_totalprice").cast("decimal(12,2)"), F.col("o_orderdate").cast("date"))
+    as_long = orders.filter(cut == 1).select(
+        "o_orderkey", F.col("o_custkey").cast("decimal(14,1)"),
+        F.col("o_totalprice").cast("decimal(18,4)"), "o_orderdate")
+    as_text = orders.filter(cut == 2).select(
+        F.col("o_orderkey"), F.concat(F.lit("C"), F.col("o_custkey")).alias("o_custkey"),
+        F.col("o_totalprice").cast("decimal(10,2)"), "o_orderpriority")
+    return union_all([as_int, as_long, as_text], widen=True)
+
+
+def q_cached_reuse(spark, sf_dir):
+    """L3: Silver computed once for three results, inside a scope that gives the cache back."""
+    silver = dedup(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, ["l_shipdate"])
+    with cached(silver) as held:
+        return union_all([stage(df.select(F.lit(name).alias("result"), F.col("n").cast("bigint")),
+                                f"cached_{name}") for name, df in (
+            ("rows", held.agg(F.count(F.lit(1)).alias("n"))),
+            ("groups", _lineitem_gold(held).agg(F.count(F.lit(1)).alias("n"))),
+            ("parts", held.agg(F.count_distinct("l_partkey").alias("n"))))])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "medallion": q_medallion,
     "gold_stats": q_gold_stats,
@@ -473,4 +675,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_overwrite": q_snapshot_overwrite,
     "list_snapshots": q_list_snapshots,
     "snapshot_retention": q_snapshot_retention,
+    "layer_validate": q_layer_validate,
+    "layer_drift": q_layer_drift,
+    "layer_diff": q_layer_diff,
+    "backfill": q_backfill,
+    "backfill_metrics": q_backfill_metrics,
+    "hot_keys": q_hot_keys,
+    "summarize": q_summarize,
+    "summarize_sketch": q_summarize_sketch,
+    "distinct_merged": q_distinct_merged,
+    "json_arrays": q_json_arrays,
+    "union_widen": q_union_widen,
+    "cached_reuse": q_cached_reuse,
 }

@@ -20,10 +20,11 @@ from pyspark.sql import types as T
 
 from strata.functions.contracts import BRONZE_CONTRACT, EmptyInputError, assert_schema
 from strata.operators import gold as gold_ops
-from strata.operators import quality
+from strata.operators import quality, validate
 from strata.operators.bronze import CORRUPT_RECORD, from_json_records, to_bronze
 from strata.operators.silver import SILVER_COLUMNS, clean, dedup
-from strata.sinks.writes import stage, unstage, write_snapshot
+from strata.plans.run_metrics import new_run_id, write_metrics
+from strata.sinks.writes import path_exists, stage, unstage, write_snapshot
 from strata.sources.paged import page_report
 from strata.sources.scans import read_snapshot
 
@@ -68,6 +69,12 @@ class MedallionSpec:
     gold_keys: Sequence[str] = gold_ops.GOLD_KEYS
     gold_measure: str = gold_ops.GOLD_MEASURE
     gold_alias: str = gold_ops.GOLD_ALIAS
+
+    def contract_keys(self) -> list[str]:
+        """The Silver key by its names in Bronze."""
+        source = {dst: src for src, dst, _ in self.silver_columns}
+        return [source.get(k, k) for k in self.keys]
+
     layers: dict = field(default_factory=lambda: dict(DEFAULT_LAYERS))
 
 
@@ -86,6 +93,11 @@ class MedallionRun:
     schemas: dict = field(default_factory=dict)  # data schema written per layer
     quality: list = field(default_factory=list)
     summary: dict = field(default_factory=dict)
+    run_id: str = field(default_factory=new_run_id)  # names the run's rows in the metrics table
+
+    def note(self, stage_name: str, step: int, **values: int) -> None:
+        """Add a finished stage's metrics to the lake's metrics table."""
+        write_metrics(self.spark, self.base, self.snapshot, stage_name, step, values, self.run_id)
 
     def path(self, layer: str) -> str:
         return f"{self.base.rstrip('/')}/{self.spec.layers[layer]}"
@@ -118,6 +130,25 @@ class MedallionRun:
         return g.orderBy(F.col(spec.gold_alias).desc(), *[F.col(k).asc_nulls_first()
                                                           for k in spec.gold_keys])
 
+    def validate(self, buckets: int = validate.BUCKETS) -> DataFrame:
+        """``validate_layers`` of the published layers: each against what the spec makes of the
+        layer before it (Bronze against the parsed landing, where there is one)."""
+        spec, layers = self.spec, []
+        bronze, silver = self.read("bronze"), self.read("silver")
+        required, expected = spec.contract.fieldNames(), None
+        if path_exists(self.spark, self.path("landing")):
+            parsed = landed_records(self)
+            good = parsed.filter(~_bad_record(spec, parsed))
+            expected = (good if spec.on_missing_required == "quarantine" else parsed).select(
+                *required)
+        layers.append(validate.Layer("bronze", bronze, spec.contract_keys(), required, expected))
+        layers.append(validate.Layer("silver", silver, spec.keys,
+                                     [dst for _, dst, _ in spec.silver_columns],
+                                     silver_rows(bronze, spec)))
+        layers.append(validate.Layer("gold", self.read("gold"), spec.gold_keys,
+                                     [*spec.gold_keys, spec.gold_alias], gold_rows(silver, spec)))
+        return validate.validate_layers(layers, buckets)
+
     def metrics(self) -> DataFrame:
         """Rows per layer and the reduction from the layer before (landing → Bronze
         is what quarantine removed, Bronze → Silver the duplicates, Silver → Gold the
@@ -158,6 +189,7 @@ def land_stage(run: MedallionRun, records: DataFrame) -> int:
     rows = write_snapshot(records.select(page.alias("page"), F.col("record").alias("value")),
                           run.path("landing"), run.snapshot, on_empty="keep", check=complete)
     run.counts["landing"] = rows
+    run.note("landing", 0, rows=rows, **{k: v for k, v in run.pages.items() if v is not None})
     return rows
 
 
@@ -170,6 +202,15 @@ def landed_records(run: MedallionRun) -> DataFrame:
     return from_json_records(raw.select(F.col("value").alias("record")), run.spec.contract)
 
 
+def _bad_record(spec: MedallionSpec, df: DataFrame) -> F.Column:
+    """True for a row that lacks a required contract field or was not valid JSON."""
+    required = [f.name for f in spec.contract.fields if not f.nullable]
+    missing = quality.any_null(required) if required else F.lit(False)
+    if CORRUPT_RECORD in df.columns:
+        return missing | F.col(CORRUPT_RECORD).isNotNull()
+    return missing
+
+
 def bronze_stage(run: MedallionRun, source: DataFrame, run_ts=None) -> int:
     """Conform the source records and write the Bronze snapshot.
 
@@ -225,25 +266,42 @@ def bronze_stage(run: MedallionRun, source: DataFrame, run_ts=None) -> int:
     finally:
         if split:
             unstage(staged)
+    run.note("bronze", 1, rows=rows, **run.violations)
     log.info("bronze: %s rows", rows)
     return rows
 
 
-def silver_stage(run: MedallionRun) -> int:
-    """Trim/rename/select, de-duplicate deterministically, write the Silver snapshot."""
-    spec = run.spec
+def silver_rows(bronze: DataFrame, spec: MedallionSpec, by: Sequence[str] = ()) -> DataFrame:
+    """Silver from Bronze rows: trim, rename, select, de-duplicate; ``by`` columns (a backfill's
+    date) pass through and are part of every key."""
     outputs = {dst for _, dst, _ in spec.silver_columns}
     carried = [v for v in spec.version if v not in outputs]  # version columns Silver drops
-    cleaned = clean(run.read("bronze"), [*spec.silver_columns, *[(v, v, False) for v in carried]])
+    cleaned = clean(bronze, [*[(c, c, False) for c in by], *spec.silver_columns,
+                             *[(v, v, False) for v in carried]])
     for step in spec.silver_transforms:
         cleaned = cleaned.transform(step)
-    silver = dedup(cleaned, spec.keys, spec.version, spec.keep).drop(*carried)
+    return dedup(cleaned, [*by, *spec.keys], spec.version, spec.keep).drop(*carried)
+
+
+def gold_rows(silver: DataFrame, spec: MedallionSpec, by: Sequence[str] = ()) -> DataFrame:
+    """Gold from Silver rows, in no order; ``by`` columns lead the grouping."""
+    return gold_ops.count_by(silver, [*by, *spec.gold_keys], spec.gold_measure, spec.gold_alias,
+                             order=False)
+
+
+def silver_stage(run: MedallionRun) -> int:
+    """Trim/rename/select, de-duplicate deterministically, write the Silver snapshot.
+
+    An empty result leaves the date's Silver as it was.
+    """
+    spec = run.spec
+    silver = silver_rows(run.read("bronze"), spec)
     checked = [c for c in spec.null_check if c in silver.columns]
     obs = Observation()
     silver = silver.observe(obs, F.count(F.lit(1)).alias("rows"),
                             *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in checked])
     write_snapshot(silver, run.path("silver"), run.snapshot,
-                   partition_by=spec.silver_partition_by)
+                   partition_by=spec.silver_partition_by, on_empty="keep")
     if spec.silver_partition_by:
         run.schemas["silver"] = silver.schema
     got = obs.get
@@ -251,27 +309,47 @@ def silver_stage(run: MedallionRun) -> int:
     run.nulls = {c: int(got[f"null_{c}"]) for c in checked}
     if sum(run.nulls.values()):
         log.warning("silver: null values in key columns %s", run.nulls)
+    run.note("silver", 2, rows=run.counts["silver"],
+             **{f"null_{c}": n for c, n in run.nulls.items()})
     log.info("silver: %s rows (%s removed)", run.counts["silver"],
              run.counts.get("bronze", 0) - run.counts["silver"])
     return run.counts["silver"]
 
 
 def gold_stage(run: MedallionRun) -> int:
-    """Aggregate the Silver snapshot and write the Gold snapshot."""
+    """Aggregate the Silver snapshot, check the result, and write the Gold snapshot.
+
+    The quality rules run on the rows about to be published: a failed error rule raises
+    ``DataQualityError`` and leaves the date's Gold as it was, as an empty result does.
+    """
     spec = run.spec
-    gold = gold_ops.count_by(run.read("silver"), spec.gold_keys, spec.gold_measure,
-                             spec.gold_alias, order=False)
-    run.counts["gold"] = write_snapshot(gold, run.path("gold"), run.snapshot)
+
+    def acceptable(gold: DataFrame, rows: int) -> None:
+        if rows == 0:
+            raise EmptyInputError("gold: no groups")
+        _judge(run, gold)
+
+    run.quality, run.summary = [], {}
+    run.counts["gold"] = write_snapshot(gold_rows(run.read("silver"), spec), run.path("gold"),
+                                        run.snapshot, on_empty="keep", check=acceptable)
+    run.note("gold", 3, rows=run.counts["gold"])
     return run.counts["gold"]
 
 
-def quality_stage(run: MedallionRun) -> list:
-    """One-pass Gold checks and summary (``run.quality``, ``run.summary``); raises
-    ``DataQualityError`` on a failed error rule."""
+def _judge(run: MedallionRun, gold: DataFrame) -> None:
     spec = run.spec
-    gold = run.read("gold")
     run.quality = quality.enforce(quality.check_gold(gold, spec.gold_keys, spec.gold_alias))
     run.summary = quality.gold_summary(gold, spec.gold_keys, spec.gold_alias).first().asDict()
+
+
+def quality_stage(run: MedallionRun) -> list:
+    """One-pass Gold checks and summary (``run.quality``, ``run.summary``); raises
+    ``DataQualityError`` on a failed error rule. In a run whose Gold stage has judged the rows
+    it published, that judgement stands; else the published Gold is checked."""
+    if not run.quality:
+        _judge(run, run.read("gold"))
+    run.note("quality", -1, **{f"failed_{r['rule']}": r["failed"] for r in run.quality},
+             **{k: v for k, v in run.summary.items() if v is not None})
     return run.quality
 
 

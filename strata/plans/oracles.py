@@ -40,6 +40,57 @@ ORDERS_YEAR = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_ord
 
 CUSTOMER_RERUN = "SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_acctbal > 0"
 
+# Silver lineitem and its drifted copy, compared row by row.
+DRIFT = f"""good AS ({_dedup('last')}),
+lost AS (SELECT * FROM good WHERE NOT (l_orderkey % 1000 = 7 AND l_linenumber = 1)),
+odd1 AS (SELECT * REPLACE (
+    CASE WHEN l_orderkey % 1000 = 11 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+    CASE WHEN l_orderkey % 1000 <> 13 THEN l_returnflag END AS l_returnflag) FROM lost),
+odd AS (SELECT * FROM odd1
+        UNION ALL SELECT * FROM odd1 WHERE l_orderkey % 1000 = 17 AND l_linenumber = 2)"""
+
+
+def _column_drift(buckets: int) -> str:
+    """(c, i, bucket): where the (key, value) pairs of a column are not the same multiset."""
+    one = ("SELECT DISTINCT '{c}' AS c, {i} AS i, l_orderkey % {n} AS bucket FROM ("
+           "(SELECT l_orderkey, l_linenumber, {c} AS v FROM good "
+           "EXCEPT ALL SELECT l_orderkey, l_linenumber, {c} FROM odd) UNION ALL "
+           "(SELECT l_orderkey, l_linenumber, {c} AS v FROM odd "
+           "EXCEPT ALL SELECT l_orderkey, l_linenumber, {c} FROM good))")
+    return " UNION ALL ".join(one.format(c=c, i=i, n=buckets) for i, c in enumerate(LI_COLS))
+
+
+def _layer_columns(step: int, layer: str, src: str, columns: list[str], differ: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {step} AS step, '{layer}' AS layer, '{c}' AS column_name, true AS present, "
+        f"count(*) AS rows, count(*) - count({c}) AS nulls, {differ.format(c=c)} AS buckets_differ "
+        f"FROM {src}" for c in columns)
+
+
+BACKFILLED = ("(SELECT *, (DATE '2026-03-01' + (doc_id % 6)::int)::date AS snapshot_date "
+              "FROM documents WHERE doc_id % 6 IN (1, 3, 4) OR doc_id % 7 <> 0)")
+CUSTOMER_ELEMENT = (
+    """('{"c_custkey": ' || c_custkey || ', "c_name": "' || c_name || '", "wide": 1' || c_custkey """
+    """|| '00000000000000000000000000.10, "power":' || c_nationkey || 'E5' """
+    """|| CASE WHEN c_custkey % 100 = 7 THEN ',}' ELSE '}' END)""")
+
+
+def _summary(columns: list[tuple[str, bool]], src: str) -> str:
+    parts = []
+    for c, number in columns:
+        own, text = (f"min({c})::double", f"max({c})::double"), ("NULL", "NULL")
+        if not number:
+            own, text = ("NULL", "NULL"), (f"min({c})", f"max({c})")
+        quantiles = ", ".join(
+            (f"quantile_disc({c}, {q})::double" if number else "NULL::double") + f" AS q{q * 100:g}"
+            for q in (0.25, 0.5, 0.75))
+        parts.append(
+            f"SELECT '{c}' AS column_name, count({c}) AS count, count(*) - count({c}) AS nulls, "
+            f"{own[0]}::double AS min, {own[1]}::double AS max, {text[0]}::varchar AS min_text, "
+            f"{text[1]}::varchar AS max_text, {quantiles} FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
 ORACLES: dict[str, str] = {
     "medallion": DOCS_GOLD + " ORDER BY qty DESC, source, lang",
     "gold_stats": DOCS_GOLD + " ORDER BY qty DESC, source, lang",
@@ -152,4 +203,69 @@ ORACLES: dict[str, str] = {
                            "year(o_orderdate)::int AS year FROM orders"),
     "list_snapshots": "SELECT DISTINCT year(o_orderdate)::int AS year FROM orders",
     "snapshot_retention": f"SELECT * FROM ({ORDERS_YEAR}) WHERE year >= 1998",
+    "layer_validate": (
+        f"WITH {DRIFT}, d AS ({_column_drift(64)}), g AS ({LI_GOLD.format(src='good')}) "
+        + _layer_columns(0, "bronze", "lineitem", LI_COLS, "NULL::bigint") + " UNION ALL "
+        + _layer_columns(1, "silver", "odd", LI_COLS,
+                         "(SELECT count(*) FROM d WHERE d.c = '{c}')")
+        + " UNION ALL SELECT 1, 'silver', 'l_comment', false, count(*), NULL, NULL FROM odd "
+          "UNION ALL "
+        + _layer_columns(2, "gold", "g", ["l_returnflag", "l_linestatus", "qty"], "0::bigint")),
+    "layer_drift": (
+        f"WITH {DRIFT}, d AS ({_column_drift(1000)}), "
+        "c AS (SELECT bucket, string_agg(c, ',' ORDER BY i) AS columns FROM d GROUP BY bucket) "
+        "SELECT bucket, (SELECT count(*) FROM good WHERE l_orderkey % 1000 = bucket) AS "
+        "expected_rows, (SELECT count(*) FROM odd WHERE l_orderkey % 1000 = bucket) AS "
+        "actual_rows, columns FROM c"),
+    "layer_diff": (
+        f"WITH {DRIFT}, b AS (SELECT *, 1 AS sign FROM odd UNION ALL SELECT *, -1 FROM good) "
+        f"SELECT {', '.join(LI_COLS)}, sum(sign)::bigint AS surplus FROM b GROUP BY ALL "
+        "HAVING sum(sign) <> 0"),
+    "backfill": ("SELECT snapshot_date, source, lang, count(doc_id) AS qty FROM "
+                 f"{BACKFILLED} GROUP BY ALL"),
+    "backfill_metrics": (
+        "WITH n AS (SELECT snapshot_date, count(*) AS rows, count(DISTINCT (source, lang)) AS "
+        f"groups FROM {BACKFILLED} GROUP BY 1), "
+        "m AS (SELECT * FROM (VALUES (0, 'landing', 'rows'), (0, 'landing', 'missing_pages'), "
+        "(1, 'bronze', 'rows'), (1, 'bronze', 'missing_required'), (1, 'bronze', 'malformed'), "
+        "(2, 'silver', 'rows'), (2, 'silver', 'null_id'), (2, 'silver', 'null_source'), "
+        "(2, 'silver', 'null_lang'), (3, 'gold', 'rows'), (3, 'gold', 'failed_no_null_keys'), "
+        "(3, 'gold', 'failed_positive_measure')) AS v(step, stage, metric)) "
+        "SELECT snapshot_date, step, stage, metric, (CASE WHEN metric <> 'rows' THEN 0 "
+        "WHEN stage = 'gold' THEN groups ELSE rows END)::bigint AS value FROM n, m"),
+    "hot_keys": (
+        "WITH s AS (SELECT 'source' AS key, nullif(source, 'src3') AS value, count(*) AS n_rows, "
+        "count(*) / sum(count(*)) OVER () AS share FROM documents GROUP BY 2), "
+        "p AS (SELECT 'status,priority' AS key, o_orderstatus || ',' || o_orderpriority AS value, "
+        "count(*) AS n_rows, count(*) / sum(count(*)) OVER () AS share FROM orders GROUP BY 2) "
+        "SELECT * FROM s WHERE share >= 0.04 UNION ALL SELECT * FROM p WHERE share >= 0.05"),
+    "summarize": _summary(
+        [("o_orderkey", True), ("o_custkey", True), ("o_totalprice", True),
+         ("o_orderstatus", False), ("o_orderpriority", False)],
+        "(SELECT * REPLACE (nullif(o_orderpriority, '5-LOW') AS o_orderpriority) FROM orders)"),
+    "summarize_sketch": (
+        "SELECT c AS column_name, q::double AS quantile, (SELECT count(*) FROM orders) AS n, "
+        "true AS within_error FROM (VALUES ('o_custkey'), ('o_totalprice')) AS c(c), "
+        "(VALUES (0.25), (0.5), (0.75)) AS q(q)"),
+    "distinct_merged": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT year(o_orderdate)) AS snapshots, "
+        f"count(*) AS rows, count({c}) AS non_null, count(DISTINCT {c}) AS distinct_count, "
+        "true AS within_error FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998"
+        for c in ("o_custkey", "o_orderpriority", "o_orderdate")),
+    "json_arrays": (
+        f"SELECT c_custkey // 1000 AS part, CASE WHEN ok THEN c_custkey::varchar END AS c_custkey, "
+        "CASE WHEN ok THEN c_name END AS c_name, CASE WHEN ok THEN '1' || c_custkey || "
+        "'00000000000000000000000000.10' END AS wide, CASE WHEN ok THEN c_nationkey || 'E5' END "
+        f"AS power, CASE WHEN NOT ok THEN {CUSTOMER_ELEMENT} END AS _corrupt_record "
+        "FROM (SELECT *, c_custkey % 100 <> 7 AS ok FROM customer)"),
+    "union_widen": (
+        "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_custkey::varchar "
+        "WHEN 1 THEN o_custkey || '.0' ELSE 'C' || o_custkey END AS o_custkey, "
+        "o_totalprice::decimal(18,4) AS o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN "
+        "o_orderdate::date::timestamp WHEN o_orderkey % 3 = 1 THEN o_orderdate END AS o_orderdate, "
+        "CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS o_orderpriority FROM orders"),
+    "cached_reuse": (
+        f"WITH s AS ({_dedup('last')}) SELECT 'rows' AS result, count(*) AS n FROM s "
+        "UNION ALL SELECT 'groups', count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM s) "
+        "UNION ALL SELECT 'parts', count(DISTINCT l_partkey) FROM s"),
 }

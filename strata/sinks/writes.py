@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +15,7 @@ from pyspark.sql import types as T
 
 from strata.session import checkpoint_root, scratch_path
 from strata.sources.files import file_system as _fs
-from strata.sources.files import partition_folders
+from strata.sources.files import partition_folders, partition_value
 from strata.sources.scans import SNAPSHOT_KEY, default_key_type
 
 
@@ -43,7 +46,8 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "p
     write_table(out, path, fmt, mode, by, **options)
 
 
-def _date_value(snapshot) -> dt.date:
+def snapshot_day(snapshot) -> dt.date:
+    """The date that a snapshot is named by: a date, an instant's date, or ISO text."""
     if isinstance(snapshot, dt.datetime):
         return snapshot.date()
     if isinstance(snapshot, dt.date):
@@ -51,11 +55,20 @@ def _date_value(snapshot) -> dt.date:
     return dt.date.fromisoformat(str(snapshot))
 
 
-def _publish(fs, staged: str, target: str, spare: str) -> None:
-    """Put the folder ``staged`` in the place of ``target``, which waits as ``spare`` meanwhile."""
-    old = None
+#: Stores where moving a folder copies its objects, one by one, from the driver.
+OBJECT_STORES = ("s3", "s3a", "s3n", "gs", "oss", "cosn", "obs", "wasb", "wasbs", "r2")
+
+
+def _replaced(base: str, key: str, day: dt.date) -> str:
+    return f"{base}/_replaced-{key}={day.isoformat()}-"
+
+
+def _publish(fs, staged: str, base: str, key: str, day: dt.date) -> None:
+    """Put the folder ``staged`` in the place of the date's, which waits under a name that says
+    what it is; a crash in between is mended by ``recover_snapshots`` or the date's next write."""
+    target, old = f"{base}/{key}={day.isoformat()}", None
     if fs.exists(target):
-        old = spare
+        old = _replaced(base, key, day) + uuid.uuid4().hex[:12]
         fs.rename(target, old)
     try:
         fs.rename(staged, target)
@@ -67,41 +80,108 @@ def _publish(fs, staged: str, target: str, spare: str) -> None:
         fs.delete(old)
 
 
+def recover_snapshots(spark: SparkSession, base: str, key: str = SNAPSHOT_KEY,
+                      snapshot=None) -> list[str]:
+    """Finish or undo publishing that a crash cut short; returns the dates put back.
+
+    A date whose old rows were set aside, but not replaced, gets them back; where the new
+    rows are in place, the old ones go. Run it when no write to these dates is under way.
+    """
+    fs, base, restored = _fs(spark), base.rstrip("/"), []
+    day = "" if snapshot is None else snapshot_day(snapshot).isoformat()
+    for name in fs.folders(base):
+        found = re.fullmatch(rf"_replaced-{re.escape(key)}=(\d{{4}}-\d\d-\d\d)-\w+", name)
+        if not found or (day and found[1] != day):
+            continue
+        target = f"{base}/{key}={found[1]}"
+        if fs.exists(target):
+            fs.delete(f"{base}/{name}")
+        else:
+            fs.rename(f"{base}/{name}", target)
+            restored.append(found[1])
+    return sorted(restored)
+
+
+def _overwrite_date(spark: SparkSession, staged: DataFrame, base: str, key: str, day: dt.date,
+                    fmt: str, partition_by: Sequence[str], options: dict) -> None:
+    """Write checked rows over one date through Spark's committer; no folder is moved here."""
+    fs, folder = _fs(spark), f"{base}/{key}={day.isoformat()}"
+    before = _leaves(fs, folder, len(partition_by))
+    out = staged.withColumn(key, F.lit(day))
+    out = out.hint("rebalance", *partition_by) if partition_by else out
+    write_table(out, base, fmt, "overwrite", [key, *partition_by],
+                **{**options, "partitionOverwriteMode": "dynamic"})
+    if before:  # dynamic overwrite leaves value partitions that the date no longer has
+        names = [f"v{i}" for i in range(len(partition_by))]
+        olds = spark.createDataFrame(before, ", ".join(f"{n} string" for n in [*names, "path"]))
+        now = staged.select(*[F.col(f"`{c}`").cast("string").alias(f"w{i}")
+                              for i, c in enumerate(partition_by)]).distinct()
+        same = F.lit(True)
+        for i, n in enumerate(names):
+            same = same & F.col(n).eqNullSafe(F.col(f"w{i}"))
+        gone = olds.join(now, same, "left_anti")
+        _delete_all(fs, [r["path"] for r in gone.collect()])
+
+
+def _leaves(fs, folder: str, depth: int, values: tuple = ()) -> list[tuple]:
+    """(value, …, path) of the value partitions ``depth`` levels below a date."""
+    if depth == len(values):
+        return [(*values, folder)] if values else []
+    return [leaf for name in fs.folders(folder) if "=" in name and name[0] not in "_."
+            for leaf in _leaves(fs, f"{folder}/{name}", depth, (*values, partition_value(name)))]
+
+
 def write_snapshot(df: DataFrame, base: str, snapshot, key: str = SNAPSHOT_KEY,
                    fmt: str = "parquet", metrics: Observation | None = None,
                    partition_by: Sequence[str] = (), on_empty: str = "clear",
-                   check: Callable[[DataFrame, int], None] | None = None, **options) -> int:
+                   check: Callable[[DataFrame, int], None] | None = None,
+                   publish: str = "auto", **options) -> int:
     """Write ``df`` as the ``key=snapshot`` partition of ``base``; idempotent per date.
 
-    The rows go to a hidden folder of ``base`` first. When that is complete, and
-    ``check(written rows, count)`` has not raised, it takes the place of the date's folder:
-    the whole date is replaced, value partitions it no longer has included, every other
-    date stays, and a failed write or check leaves the old snapshot as it was. So ``df``
-    may itself read the snapshot it replaces. The row count is observed during the write
+    The rows are staged first. When that is complete, and ``check(written rows, count)`` has
+    not raised, they replace the whole date, value partitions it no longer has included;
+    every other date stays, and a failed write or check leaves the old snapshot as it was. So
+    ``df`` may itself read the snapshot it replaces. The row count is observed during the write
     (no second job). An empty result removes the date (``on_empty="clear"``) or leaves it
     as it is (``"keep"``). ``partition_by`` adds value partitions below the date
     (``key=<date>/<col>=<value>``); rows are then rebalanced on those columns so each
     value gets few files and a hot value is split. Returns the number of rows written.
+
+    ``publish="move"`` stages in a hidden folder of ``base`` and moves that folder into place
+    (no second write: right where moving is a change of names). ``"overwrite"`` stages in the
+    shared scratch folder and lets the executors write the checked rows by Spark's committer,
+    as a dynamic overwrite of this one date: right on object stores, where a move copies
+    every object from the driver. ``"auto"`` decides by the scheme of ``base``.
     """
     if on_empty not in ("clear", "keep"):
         raise ValueError(f"on_empty is 'clear' or 'keep', not {on_empty!r}")
-    spark, base, day = df.sparkSession, base.rstrip("/"), _date_value(snapshot)
+    if publish not in ("auto", "move", "overwrite"):
+        raise ValueError(f"publish is 'auto', 'move' or 'overwrite', not {publish!r}")
+    spark, base, day = df.sparkSession, base.rstrip("/"), snapshot_day(snapshot)
+    if publish == "auto":
+        publish = "overwrite" if base.partition(":")[0] in OBJECT_STORES else "move"
     obs, fs = metrics or Observation(), _fs(spark)
-    hidden = f"{base}/_staged-{uuid.uuid4().hex[:12]}"
+    hidden = (f"{base}/_staged-{uuid.uuid4().hex[:12]}" if publish == "move"
+              else scratch_path(spark, "snapshot"))
     staged = f"{hidden}/rows"
     out = df.drop(key)
     schema = out.schema
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
+    if publish == "move" and partition_by:
         out = out.hint("rebalance", *partition_by)
+    by = partition_by if publish == "move" else ()
     try:
-        write_table(out, staged, fmt, "error", partition_by, **options)
+        write_table(out, staged, fmt, "error", by, **options)
         rows = int(obs.get.get("rows", 0))
+        written = spark.read.format(fmt).schema(schema).load(staged)
         if check is not None:
-            check(spark.read.format(fmt).schema(schema).load(staged), rows)
+            check(written, rows)
+        recover_snapshots(spark, base, key, day)
         target = f"{base}/{key}={day.isoformat()}"
-        if rows:
-            _publish(fs, staged, target, f"{hidden}-replaced")
+        if rows and publish == "move":
+            _publish(fs, staged, base, key, day)
+        elif rows:
+            _overwrite_date(spark, written, base, key, day, fmt, partition_by, options)
         elif on_empty == "clear" and fs.exists(target):
             fs.delete(target)
     finally:
@@ -135,19 +215,43 @@ def delete_layer(spark: SparkSession, base: str) -> bool:
     return True
 
 
+#: Deletions under way at once, and attempts at each.
+DELETERS, DELETE_TRIES = 16, 3
+
+
+def _delete_all(fs, paths: Sequence[str]) -> None:
+    """Delete folders side by side; every one is tried, and those left are named in the error."""
+    def delete(path: str) -> Exception | None:
+        for attempt in range(DELETE_TRIES):
+            try:
+                fs.delete(path)
+                return None
+            except Exception as exc:  # noqa: BLE001 - reported below, once all were tried
+                failure = exc
+                time.sleep(0.1 * 2 ** attempt)
+        return failure
+
+    if not paths:
+        return
+    with ThreadPoolExecutor(min(DELETERS, len(paths))) as pool:
+        left = [(p, e) for p, e in zip(paths, pool.map(delete, paths)) if e is not None]
+    if left:
+        raise OSError(f"{len(left)} of {len(paths)} folders were not deleted: "
+                      + "; ".join(f"{p} ({e})" for p, e in left[:10])) from left[0][1]
+
+
 def drop_partitions(spark: SparkSession, base: str, key: str, values: Iterable) -> list[str]:
-    """Delete the ``key=value`` folders of ``base``; return the values dropped.
+    """Delete the ``key=value`` folders of ``base``, side by side; return the values dropped.
 
     Values are compared with the unescaped folder names, as text (dates in ISO form;
-    None is the null partition); a value without a folder is not in the result.
+    None is the null partition); a value without a folder is not in the result. If some
+    cannot be deleted after ``DELETE_TRIES`` attempts, the others are, and an ``OSError`` names them.
     """
-    fs, dropped = _fs(spark), []
+    fs = _fs(spark)
     wanted = {None if v is None else str(v) for v in values}
-    for path, value in partition_folders(fs, base, key):
-        if value in wanted:
-            fs.delete(path)
-            dropped.append(str(value))
-    return dropped
+    found = [(p, v) for p, v in partition_folders(fs, base, key) if v in wanted]
+    _delete_all(fs, [p for p, _ in found])
+    return [str(v) for _, v in found]
 
 
 def retain_snapshots(spark: SparkSession, base: str, keep_from, key: str = SNAPSHOT_KEY,
@@ -155,7 +259,8 @@ def retain_snapshots(spark: SparkSession, base: str, keep_from, key: str = SNAPS
     """Drop every partition whose value is below ``keep_from``; return the dropped values.
 
     Folder names are listed and compared as ``key_type``; the very folders found are
-    deleted, so zero-padded and escaped names are met. Null partitions stay.
+    deleted, side by side, so zero-padded and escaped names are met. Null partitions stay.
+    Failures are reported as by ``drop_partitions``.
     """
     fs = _fs(spark)
     found = partition_folders(fs, base, key)
@@ -163,10 +268,10 @@ def retain_snapshots(spark: SparkSession, base: str, keep_from, key: str = SNAPS
         return []
     as_type = key_type or default_key_type(key)
     names = spark.createDataFrame([(i, v) for i, (_, v) in enumerate(found)], "i int, v string")
-    old = {r["i"] for r in names.filter(F.col("v").cast(as_type) < F.lit(keep_from)).collect()}
-    for i in sorted(old):
-        fs.delete(found[i][0])
-    return [found[i][1] for i in sorted(old)]
+    old = sorted(r["i"] for r in
+                 names.filter(F.col("v").cast(as_type) < F.lit(keep_from)).collect())
+    _delete_all(fs, [found[i][0] for i in old])
+    return [found[i][1] for i in old]
 
 
 #: What CSV export and import agree on: null has a mark of its own, so '' and null stay

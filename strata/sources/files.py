@@ -34,6 +34,20 @@ class HadoopFS:
         if not fs.rename(p, self._resolve(dst)[0]):
             raise OSError(f"cannot move {src} to {dst}")
 
+    def write_text(self, path: str, text: str) -> None:
+        """A small file in one piece: readers see it whole or not at all."""
+        p, fs = self._resolve(path)
+        part, _ = self._resolve(path.rpartition("/")[0] + "/_" + path.rpartition("/")[2])
+        out = fs.create(part, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        if fs.exists(p):
+            fs.delete(p, False)
+        if not fs.rename(part, p):
+            raise OSError(f"cannot write {path}")
+
     def folders(self, path: str) -> list[str]:
         """Names of the folders in ``path``; none when it does not exist."""
         p, fs = self._resolve(path)
@@ -66,6 +80,14 @@ class ArrowFS:
         filesystem, p = self._resolve(src)
         filesystem.move(p, self._resolve(dst)[1])
 
+    def write_text(self, path: str, text: str) -> None:
+        filesystem, p = self._resolve(path)
+        filesystem.create_dir(p.rpartition("/")[0])
+        part = p.rpartition("/")[0] + "/_" + p.rpartition("/")[2]
+        with filesystem.open_output_stream(part) as out:
+            out.write(text.encode("utf-8"))
+        filesystem.move(part, p)
+
     def folders(self, path: str) -> list[str]:
         from pyarrow import fs
 
@@ -81,6 +103,12 @@ def file_system(spark: SparkSession):
         return ArrowFS()
 
 
+def partition_value(name: str) -> str | None:
+    """The value text of a ``key=value`` folder name; None for the null partition."""
+    v = name.partition("=")[2]
+    return None if v == NULL_PARTITION else unquote(v)
+
+
 def partition_folders(fs, base: str, key: str) -> list[tuple[str, str | None]]:
     """(path, value text or None) of every ``key=value`` folder of ``base``.
 
@@ -90,11 +118,11 @@ def partition_folders(fs, base: str, key: str) -> list[tuple[str, str | None]]:
     found: list[tuple[str, str | None]] = []
     base = base.rstrip("/")
     for name in fs.folders(base):
-        k, eq, v = name.partition("=")
+        k, eq, _ = name.partition("=")
         if not eq or name.startswith(("_", ".")):
             continue
         if unquote(k) == key:
-            found.append((f"{base}/{name}", None if v == NULL_PARTITION else unquote(v)))
+            found.append((f"{base}/{name}", partition_value(name)))
         else:
             found += partition_folders(fs, f"{base}/{name}", key)
     return found

@@ -1,20 +1,18 @@
-"""A paged record source as a Spark Python Data Source.
-
-Pages ``1..P`` are fetched by executors, several pages per input partition;
-each record is emitted as its raw JSON text next to its page number, and
-``strata.operators.bronze.from_json_records`` parses it into a contract in the
-JVM. The page count is given, or the driver finds it: page files are listed, so every page
-there is gets read and gaps show in ``page_report``; a URL ends at its first empty page,
-found with O(log P) probes, and a page before it that comes back empty after all is an error,
-never the silent end of the source.
-
-Two page fetchers:
-
-* ``path``: page payload files laid out as ``<path>/page=<n>/*`` (JSON lines,
-  or one JSON array per file), on any file system pyarrow can open;
-* ``url``: an HTTP endpoint answering ``?page=<n>&per_page=<k>`` with a JSON
-  array (used only where the executors can reach it); options ``retries`` (per
-  page), ``timeout`` and ``min_interval`` (seconds between one task's requests).
+"""Paged records: page files by Spark's text reader, or an HTTP endpoint.
+
+Each record comes as its raw JSON text next to its page number, and
+``strata.operators.bronze.from_json_records`` parses it into a contract in the JVM.
+
+* ``path``: page payload files laid out as ``<path>/page=<n>/*`` (JSON lines, or one JSON
+  array per file). Spark discovers ``page`` as a partition column, packs the small files into
+  tasks and takes the payloads apart in the JVM (``strata.sources.json_arrays``); no Python
+  runs. Every page there is gets read, and gaps show in ``page_report``.
+* ``url``: an HTTP endpoint answering ``?page=<n>&per_page=<k>`` with a JSON array (used only
+  where the executors can reach it), as a Spark Python Data Source: executors fetch several pages per
+  input partition; options ``retries`` (per page), ``timeout`` and ``min_interval`` (seconds
+  between one task's requests). The page count is given, or the driver finds the first empty
+  page with O(log P) probes. A page before the last that is empty is an error wherever it
+  lies: the probes go on past the end they find, and a task that meets one fails too.
 """
 
 from __future__ import annotations
@@ -24,10 +22,12 @@ import sys
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from strata.functions.contracts import BRONZE_CONTRACT
+from strata.sources.json_arrays import read_payloads, records_of
 
 SOURCE_NAME = "strata_paged"
 
@@ -62,43 +62,6 @@ def _split_records(payload: bytes) -> list[str]:
         at = end
 
 
-class _FilePages:
-    def __init__(self, root: str):
-        self.root = root.rstrip("/")
-
-    def _fs(self):
-        from pyarrow import fs
-
-        root = self.root
-        if root.startswith("file:") and not root.startswith("file://"):
-            root = "/" + root[len("file:"):].lstrip("/")
-        return fs.FileSystem.from_uri(root)
-
-    def last_page(self) -> int:
-        """The largest page number among the folders; 0 without any."""
-        from pyarrow import fs as pafs
-
-        filesystem, base = self._fs()
-        names = [i.base_name for i in filesystem.get_file_info(
-            pafs.FileSelector(base, allow_not_found=True))]
-        return max((int(n[5:]) for n in names if n.startswith("page=") and n[5:].isdigit()),
-                   default=0)
-
-    def fetch(self, page: int) -> list[str]:
-        from pyarrow import fs as pafs
-
-        filesystem, base = self._fs()
-        selector = pafs.FileSelector(f"{base}/page={page}", allow_not_found=True)
-        records: list[str] = []
-        for info in sorted(filesystem.get_file_info(selector), key=lambda i: i.path):
-            name = info.base_name
-            if info.type != pafs.FileType.File or name.startswith(("_", ".")):
-                continue
-            with filesystem.open_input_stream(info.path) as f:
-                records.extend(_split_records(f.read()))
-        return records
-
-
 class _HttpPages:
     def __init__(self, url: str, per_page: int, retries: int, timeout: float,
                  min_interval: float = 0.0):
@@ -132,23 +95,34 @@ class _HttpPages:
 
 
 def _fetcher(options: dict):
-    if options.get("path"):
-        return _FilePages(options["path"])
     if options.get("url"):
         return _HttpPages(options["url"], int(options.get("per_page", 200)),
                           int(options.get("retries", 3)), float(options.get("timeout", 30)),
                           float(options.get("min_interval", 0)))
-    raise ValueError("paged source needs a 'path' or 'url' option")
+    raise ValueError("the paged data source needs a 'url' option")
+
+
+#: Pages asked for past the end that was found: a gap has fewer pages than this.
+CONFIRM = 3
 
 
-def discover_page_count(fetch, start: int = 1) -> int:
+def discover_page_count(fetch, start: int = 1, confirm: int = CONFIRM) -> int:
     """Number of pages before the first empty one, in O(log P) fetches.
 
-    Pages are assumed contiguous from ``start``: exponential probing finds an
-    empty page, then a binary search finds the first one.
+    Exponential probing finds an empty page, then a binary search finds the end. A gap can
+    lead that search astray, so ``confirm`` pages past the end are asked for as well: one with
+    records means that an empty page was taken for the end, which is an error.
     """
+    end = _last_page(fetch, start)
+    for page in range(end + 1, end + 1 + confirm):
+        if fetch(page):
+            raise RuntimeError(f"page {page} has records, but a page before it is empty")
+    return end - start + 1
+
+
+def _last_page(fetch, start: int) -> int:
     if not fetch(start):
-        return 0
+        return start - 1
     lo, hi = start, start + 1
     while fetch(hi):
         lo, hi = hi, start + 2 * (hi - start + 1)
@@ -158,7 +132,7 @@ def discover_page_count(fetch, start: int = 1) -> int:
             lo = mid
         else:
             hi = mid
-    return lo - start + 1
+    return lo
 
 
 class PagedReader(DataSourceReader):
@@ -167,12 +141,7 @@ class PagedReader(DataSourceReader):
 
     def partitions(self):
         fetcher, pages = _fetcher(self.options), self.options.get("pages")
-        if pages is not None:
-            n = int(pages)
-        elif isinstance(fetcher, _FilePages):
-            n = fetcher.last_page()
-        else:
-            n = discover_page_count(fetcher.fetch)
+        n = int(pages) if pages is not None else discover_page_count(fetcher.fetch)
         per = max(1, int(self.options.get("pages_per_partition", 16)))
         return [PageRange(first, min(first + per - 1, n)) for first in range(1, n + 1, per)]
 
@@ -182,7 +151,7 @@ class PagedReader(DataSourceReader):
         fetcher = _fetcher(self.options)
         for page in range(partition.first, partition.last + 1):
             records = fetcher.fetch(page)
-            if not records and isinstance(fetcher, _HttpPages) and not self.options.get("pages"):
+            if not records and not self.options.get("pages"):
                 raise RuntimeError(f"page {page} is empty, but later pages are not")
             if records:
                 yield pa.RecordBatch.from_arrays(
@@ -191,7 +160,7 @@ class PagedReader(DataSourceReader):
 
 
 class PagedSource(DataSource):
-    """``spark.read.format("strata_paged").option("path"|"url", …).load()``."""
+    """``spark.read.format("strata_paged").option("url", …).load()``."""
 
     @classmethod
     def name(cls) -> str:
@@ -206,7 +175,16 @@ class PagedSource(DataSource):
 
 def read_pages(spark: SparkSession, *, path: str | None = None, url: str | None = None,
                pages: int | None = None, pages_per_partition: int = 16, **options) -> DataFrame:
-    """Raw ``(page, record)`` rows of a paged source (records as JSON text)."""
+    """Raw ``(page, record)`` rows of a paged source (records as JSON text).
+
+    ``pages`` keeps pages up to that number. ``pages_per_partition`` is for URLs; files are
+    packed by their sizes (``spark.sql.files.maxPartitionBytes``, ``openCostInBytes``).
+    """
+    if path:
+        found = read_payloads(spark, path.rstrip("/"), "page", T.IntegerType())
+        if pages is not None:
+            found = found.filter(F.col("page") <= int(pages))
+        return found.select("page", F.explode(records_of(F.col("payload"))).alias("record"))
     # The reader needs only this module; ship it by value so executors do not
     # have to import the package.
     from pyspark import cloudpickle
@@ -214,8 +192,6 @@ def read_pages(spark: SparkSession, *, path: str | None = None, url: str | None
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PagedSource)
     reader = spark.read.format(SOURCE_NAME).option("pages_per_partition", pages_per_partition)
-    if path:
-        reader = reader.option("path", path)
     if url:
         reader = reader.option("url", url)
     if pages is not None:
@@ -242,8 +218,6 @@ def page_report(pages: DataFrame, per_page: int | None = None) -> DataFrame:
     normally is one). Repeated ids across pages (page drift) are reported by
     ``strata.operators.silver.dedup_report`` on the parsed records.
     """
-    from pyspark.sql import functions as F
-
     per = pages.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
     short = F.count_if(F.col("n") < per_page) if per_page else F.lit(None).cast("bigint")
     return per.agg(

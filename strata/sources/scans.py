@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.contracts import EmptyInputError
+from strata.functions.merge_types import widen_all
 from strata.sources.files import file_system, partition_folders
 
 SNAPSHOT_KEY = "snapshot_date"
+#: Texts of dates and whole numbers that no other text of the same value has.
+PLAIN_VALUE = r"\d{4}-\d\d-\d\d|0|-?[1-9]\d{0,17}"
 #: Spark's names of the errors that mean "no such path" or "no file in it".
 NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -83,20 +87,31 @@ def list_snapshots(spark: SparkSession, base: str, key: str = SNAPSHOT_KEY, fmt:
     No file is opened and no row is read, whatever the layer's size. Values are cast to
     ``key_type`` (the snapshot key is a date, other keys are text unless it says else).
     """
-    found = partition_folders(file_system(spark), base, key)
-    names = spark.createDataFrame([(v,) for v in {v for _, v in found}],
-                                  T.StructType([T.StructField(key, T.StringType())]))
-    return names.select(F.col(key).cast(key_type or default_key_type(key)).alias(key)).distinct()
+    import pyarrow as pa
 
+    found = sorted({v for _, v in partition_folders(file_system(spark), base, key)},
+                   key=lambda v: (v is None, v))
+    as_type = key_type or default_key_type(key)
+    # an Arrow table of this size becomes a literal relation: no task runs to make it
+    names = spark.createDataFrame(pa.table([pa.array(found, pa.string())], names=[key]))
+    values = names.select(F.col(key).cast(as_type).alias(key))
+    plain = isinstance(as_type, T.StringType) or all(
+        v is None or re.fullmatch(PLAIN_VALUE, v) for v in found)
+    return values if plain else values.distinct()  # 1 and 01 may be one value
 
-def union_all(frames, allow_missing: bool = True) -> DataFrame:
+
+def union_all(frames, allow_missing: bool = True, widen: bool = False) -> DataFrame:
     """Stack separately read pages by column name; absent columns become null.
 
-    Column order follows the first frame, then columns first seen later.
+    Column order follows the first frame, then columns first seen later. With ``widen`` a
+    column whose type drifts from page to page takes the narrowest type that keeps every
+    value (``strata.functions.merge_types``); without it Spark's own coercion decides.
     """
     frames = list(frames)
     if not frames:
         raise EmptyInputError("union_all needs at least one DataFrame")
+    if widen:
+        frames = widen_all(frames)
     out = frames[0]
     for df in frames[1:]:
         out = out.unionByName(df, allowMissingColumns=allow_missing)
