@@ -42,12 +42,12 @@ DIRECTORY = ""
 
 
 def build_index(scratch: Scratch, df: DataFrame, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", segment: int = SEGMENT) -> DataFrame:
     """The staged index: (segment, term, positions, ids); ``ids`` on directory rows only."""
 
     def postings(batches):
         made = itertools.count(TaskContext.get().partitionId() << 33)
-        for part in slices(batches, "text", SEGMENT):
+        for part in slices(batches, "text", segment):
             ids, texts = part.column(0), part.column(1)
             words, counts = split_words(texts)
             coded = pc.dictionary_encode(words)
