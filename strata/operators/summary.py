@@ -108,25 +108,29 @@ def summarize(df: DataFrame, columns: Sequence[str] | None = None,
 
 @dataclass
 class _Bracket:
-    """Where a quantile lies: its rank, two values it is between (both included), and the
-    wider ones before."""
+    """Where a quantile lies: its rank (once the column's values are counted), two values it
+    is between (both included), and the wider ones before."""
 
     column: str
     quantile: float
-    rank: int
-    low: float
-    high: float
+    rank: int = 0
+    low: float = -math.inf
+    high: float = math.inf
     wide: tuple[float, float] = (-math.inf, math.inf)
     done: bool = False
 
-    def holds(self) -> Column:
-        x = _value(self.column)
-        return (x >= F.lit(self.low)) & (x <= F.lit(self.high))
+    @property
+    def range(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
 
     def narrow(self, below: int, inside: int, distinct: int, grid: list | None,
                error: float, counted: int) -> None:
         """Take note of one pass: rows below and inside, and the sketch's quantiles inside."""
-        if below >= self.rank:  # the sketch was off on the low side
+        if not self.rank:  # the first pass, over the whole column; 0.1 is a tenth, exactly
+            self.rank = max(1, math.ceil(Fraction(str(self.quantile)) * inside))
+        if inside == 0 and below == 0:
+            self.done = True
+        elif below >= self.rank:  # the sketch was off on the low side
             self.low = self.wide[0]
         elif below + inside < self.rank:
             self.high = self.wide[1]
@@ -141,68 +145,61 @@ class _Bracket:
             self.wide, self.low, self.high = (self.low, self.high), low, high
 
 
-def _first_brackets(df: DataFrame, columns: Sequence[str], quantiles: Sequence[float],
-                    k: int) -> tuple[list[_Bracket], dict]:
-    got = df.agg(*[a for i, c in enumerate(columns) for a in (
-        F.count(_value(c)).alias(f"n{i}"), F.min(_value(c)).alias(f"lo{i}"),
-        F.max(_value(c)).alias(f"hi{i}"))]).first()
-    brackets, points = [], {}
-    for i, c in enumerate(columns):
-        n = got[f"n{i}"]
-        for q in quantiles:
-            if n == 0:
-                points[c, q] = None
-            else:
-                rank = max(1, math.ceil(Fraction(str(q)) * n))  # exact: 0.1 is a tenth
-                lo, hi = got[f"lo{i}"], got[f"hi{i}"]
-                brackets.append(_Bracket(c, q, rank, lo, hi, (lo, hi)))
-    return brackets, points
+def _holds(column: str, low: float, high: float) -> Column:
+    x = _value(column)
+    return (x >= F.lit(low)) & (x <= F.lit(high))
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], quantiles: Sequence[float] = QUARTILES,
                     k: int = SKETCH_K, counted: int = COUNTED) -> dict:
     """(column, quantile) → the exact quantile (a value of the column), None without values.
 
-    Every pass is one aggregate over ``columns`` for all quantiles at once, and shrinks each
-    bracket to about a hundredth of its rows; the last one counts the distinct values of
-    brackets that have about ``counted`` of them or fewer.
+    Every pass is one aggregate over ``columns`` for all quantiles at once (quantiles that
+    still share a bracket share its sketch), and shrinks each bracket to about a hundredth of
+    its rows; the last one counts the distinct values of brackets that have about ``counted``
+    of them or fewer.
     """
-    brackets, points = _first_brackets(df, columns, quantiles, k)
+    brackets = [_Bracket(c, q) for c in columns for q in quantiles]
     error, grid = 2 * rank_error(k), F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
     while live := [b for b in brackets if not b.done]:
+        ranges = list(dict.fromkeys(b.range for b in live))
         aggs = []
-        for i, b in enumerate(live):
-            inside = F.when(b.holds(), _value(b.column))
-            aggs += [F.count_if(_value(b.column) < F.lit(b.low)).alias(f"b{i}"),
+        for i, (c, low, high) in enumerate(ranges):
+            inside = F.when(_holds(c, low, high), _value(c))
+            aggs += [F.count_if(_value(c) < F.lit(low)).alias(f"b{i}"),
                      F.count(inside).alias(f"n{i}"),
                      F.approx_count_distinct(inside).alias(f"d{i}"),
                      _sketch(inside, k).alias(f"k{i}")]
-        got = df.agg(*aggs).select(*[x for i in range(len(live)) for x in (
+        got = df.agg(*aggs).select(*[x for i in range(len(ranges)) for x in (
             f"b{i}", f"n{i}", f"d{i}", F.when(F.col(f"n{i}") > 0, F.call_function(
                 "kll_sketch_get_quantile_double", F.col(f"k{i}"), grid)).alias(f"g{i}"))]).first()
-        for i, b in enumerate(live):
+        at = {r: i for i, r in enumerate(ranges)}
+        for b in live:
+            i = at[b.range]
             b.narrow(got[f"b{i}"], got[f"n{i}"], got[f"d{i}"], got[f"g{i}"], error, counted)
-    return points | _count_out(df, brackets)
+    return _count_out(df, brackets)
 
 
 def _count_out(df: DataFrame, brackets: Sequence[_Bracket]) -> dict:
     """The value at each bracket's rank, by running counts of its distinct values."""
     if not brackets:
         return {}
+    ranges = list(dict.fromkeys(b.range for b in brackets))
     tags = F.filter(F.array(*[
-        F.when(b.holds(), F.struct(F.lit(i).alias("i"), _value(b.column).alias("x")))
-        for i, b in enumerate(brackets)]), lambda t: t.isNotNull())
-    below = df.agg(*[F.count_if(_value(b.column) < F.lit(b.low)).alias(f"b{i}")
-                     for i, b in enumerate(brackets)]).first()
+        F.when(_holds(*r), F.struct(F.lit(i).alias("i"), _value(r[0]).alias("x")))
+        for i, r in enumerate(ranges)]), lambda t: t.isNotNull())
+    below = df.agg(*[F.count_if(_value(c) < F.lit(low)).alias(f"b{i}")
+                     for i, (c, low, _) in enumerate(ranges)]).first()
     ranks = df.sparkSession.createDataFrame(
-        [(i, b.rank - below[f"b{i}"]) for i, b in enumerate(brackets)], "i int, rank long")
+        [(k, ranges.index(b.range), b.rank - below[f"b{ranges.index(b.range)}"])
+         for k, b in enumerate(brackets)], "k int, i int, rank long")
     counts = (df.select(F.explode(tags).alias("t")).groupBy("t.i", "t.x")
               .agg(F.count(F.lit(1)).alias("n")))
     upto = F.sum("n").over(Window.partitionBy("i").orderBy("x"))
     found = (counts.withColumn("upto", upto).join(F.broadcast(ranks), "i")
-             .filter(F.col("upto") >= F.col("rank")).groupBy("i").agg(F.min("x").alias("x")))
-    at = {r["i"]: r["x"] for r in found.collect()}
-    return {(b.column, b.quantile): at[i] for i, b in enumerate(brackets)}
+             .filter(F.col("upto") >= F.col("rank")).groupBy("k").agg(F.min("x").alias("x")))
+    at = {r["k"]: r["x"] for r in found.collect()}
+    return {(b.column, b.quantile): at.get(k) for k, b in enumerate(brackets)}
 
 
 def quantile_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),

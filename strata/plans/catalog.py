@@ -438,7 +438,8 @@ def q_medallion(spark, sf_dir):
 def _drifted_silver(spark, sf_dir):
     """Silver lineitem as it should be, and a copy in which some rows are lost, altered or
     repeated."""
-    good = dedup(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, ["l_shipdate"])
+    good = stage(dedup(table(spark, sf_dir, "lineitem"), LINEITEM_KEYS, ["l_shipdate"]),
+                 "drift_silver")
     odd = (good.filter("not (l_orderkey % 1000 = 7 and l_linenumber = 1)")
            .withColumn("l_quantity", F.when(F.expr("l_orderkey % 1000 = 11"),
                                             F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))

@@ -22,8 +22,10 @@ DEFAULT_CONF = {
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "strata",
                   extra: dict | None = None) -> SparkSession:
     """A local-mode session (tests, bench). On a cluster use the session you are given."""
+    # folders are listed by a few tasks: one task per folder costs more than the listing
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+               .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
                .config("spark.driver.memory", "8g"))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
@@ -80,6 +82,7 @@ def scale_conf(input_bytes: int, total_cores: int, advisory_mb: int = 256) -> di
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{advisory_mb * 4}m",
         "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(2 * total_cores),
     }
 
 

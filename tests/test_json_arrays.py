@@ -1,0 +1,133 @@
+"""JSON payloads taken apart in the JVM, and the paged source on top of them."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.functions.contracts import all_strings
+from strata.operators.bronze import from_json_records
+from strata.sources.json_arrays import DEPTH, read_json_arrays, records_of
+from strata.sources.paged import (
+    PagedReader, _split_records, discover_page_count, page_report, read_pages,
+)
+
+
+def split(spark, payloads):
+    df = spark.createDataFrame(list(enumerate(payloads)), "i int, p string")
+    return [r["r"] for r in df.select("i", records_of(F.col("p")).alias("r")).orderBy("i").collect()]
+
+
+def value(rnd, depth=0):
+    kind = rnd.randrange(8 if depth < 4 else 5)
+    if kind == 0:
+        return rnd.choice([1, -2.5, 1e300, 10 ** 30])
+    if kind in (1, 2):
+        return "".join(rnd.choice('ab"\\{}[],: é😀\n /') for _ in range(rnd.randrange(8)))
+    if kind == 3:
+        return rnd.choice([True, False, None])
+    if kind < 6:
+        return {f"k{i}": value(rnd, depth + 1) for i in range(rnd.randrange(4))}
+    return [value(rnd, depth + 1) for _ in range(rnd.randrange(4))]
+
+
+def test_elements_equal_a_json_parser_on_random_arrays(spark):
+    rnd = random.Random(11)
+    arrays = [[value(rnd) for _ in range(rnd.randrange(6))] for _ in range(150)]
+    texts = [json.dumps(a, ensure_ascii=bool(i % 2), indent=i % 3 or None) for i, a in enumerate(arrays)]
+    got = split(spark, texts)
+    for text, array, elements in zip(texts, arrays, got):
+        assert [json.loads(e) for e in elements] == array
+        assert elements == _split_records(text.encode())
+
+
+def test_lines_empty_payloads_and_marks(spark):
+    assert split(spark, [None, "", " \n ", "[]", "[ \n]", '{"a":1}\n\n{"a":2}\n', '﻿[{"a":1}]\r\n']) == [
+        [], [], [], [], [], ['{"a":1}', '{"a":2}'], ['{"a":1}']]
+
+
+def test_broken_payloads_keep_their_good_elements_and_are_quarantined(spark):
+    broken = ['[{"a":"1"},{"a":}, {"a":"2"}]', '[{"a":"1"},, {"a":"2"}]', '[{"a":"1"} {"a":"2"}]',
+              '[{"a":"1"},{"a":"2"}', '[{"a":"1"},{"a":"2"}, "open]', "["]
+    rows = spark.createDataFrame(list(enumerate(broken)), "i int, p string").select(
+        "i", F.explode(records_of(F.col("p"))).alias("record"))
+    parsed = from_json_records(rows, all_strings(["a"])).collect()
+    good = {i: sorted(r["a"] for r in parsed if r["i"] == i and r["a"]) for i in range(len(broken))}
+    assert all(good[i] == ["1", "2"] for i in range(5)) and good[5] == []
+    assert {r["i"] for r in parsed if r["_corrupt_record"]} == set(range(6))
+
+
+def test_long_arrays_deep_values_and_long_strings_need_no_stack(spark):
+    many = "[" + ",".join(f'{{"id":{i},"t":"{"x" * 40}"}}' for i in range(30_000)) + "]"
+    long_string = '["' + "ab\\\"" * 200_000 + '"]'
+    deep = "[" + "[" * DEPTH + "]" * DEPTH + "]"
+    too_deep = "[1," + "[" * (DEPTH + 5) + "]" * (DEPTH + 5) + "]"
+    got = split(spark, [many, long_string, deep, too_deep])
+    assert len(got[0]) == 30_000 and len(got[1]) == 1 and len(got[1][0]) == 800_002
+    assert got[2] == ["[" * DEPTH + "]" * DEPTH]
+    assert got[3][0] == "1" and got[3][-1].startswith("broken array")
+
+
+def test_exact_numbers_and_nested_values_reach_the_contract(spark):
+    record = ('{"a":1E5, "b" :123456789012345678901234567890.50, "c":"1E5\\u00e9", '
+              '"d":{"z": [1,  2], "a":9}, "e":null, "f":true, "b":0.10}')
+    df = spark.createDataFrame([(record,), ('{"a":}',), ('{"x":1}',), (None,)], "record string")
+    contract = T.StructType([*all_strings(list("abcdef")).fields, T.StructField("n", T.IntegerType())])
+    got = [tuple(r) for r in from_json_records(df, contract, exact=True).collect()]
+    assert got[0] == ("1E5", "0.10", "1E5é", '{"z": [1,  2], "a":9}', None, "true", None, None)
+    assert got[1][:7] == (None,) * 7 and got[1][7] == '{"a":}'
+    assert got[2] == (None,) * 8 and got[3] == (None,) * 8
+
+
+def test_daily_array_files(spark, tmp_path):
+    for day, recs in (("2026-02-01", [{"id": 1}, {"id": 2}]), ("2026-02-02", [{"id": 3}])):
+        folder = tmp_path / f"snapshot_date={day}"
+        folder.mkdir()
+        (folder / "data.json").write_text(json.dumps(recs, indent=1))
+    (tmp_path / "_hidden.json").write_text("[9]")
+    df = read_json_arrays(spark, str(tmp_path), "snapshot_date", T.DateType())
+    assert sorted((str(r[0]), r[1], r[2].replace(" ", "")) for r in df.collect()) == [
+        ("2026-02-01", 0, '{"id":1}'), ("2026-02-01", 1, '{"id":2}'), ("2026-02-02", 0, '{"id":3}')]
+    one = df.filter("snapshot_date = date'2026-02-02'")
+    assert "PartitionFilters: [isnotnull(snapshot_date" in one._jdf.queryExecution().toString()
+
+
+def test_page_files_are_read_without_python(spark, tmp_path):
+    for page in (1, 2, 4):
+        folder = tmp_path / f"page={page}"
+        folder.mkdir()
+        (folder / "a.json").write_text(json.dumps([{"p": page}, {"p": page}]))
+    df = read_pages(spark, path=str(tmp_path))
+    assert sorted((r["page"], r["record"]) for r in df.collect()) == [
+        (p, f'{{"p": {p}}}') for p in (1, 2, 4) for _ in range(2)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "FileScan text" in plan
+    assert page_report(df).first()["missing_pages"] == 1
+    assert read_pages(spark, path=str(tmp_path), pages=2).select("page").distinct().count() == 2
+
+
+@pytest.mark.parametrize("gap", range(2, 16))
+def test_a_gap_is_an_error_wherever_it_lies(monkeypatch, gap):
+    from strata.sources import paged
+
+    fetch = lambda self, p: [f"r{p}"] if 1 <= p <= 16 and p != gap else []
+    monkeypatch.setattr(paged._HttpPages, "fetch", fetch)
+    reader = PagedReader({"url": "http://api.test/items"})
+    with pytest.raises(RuntimeError):
+        for part in reader.partitions():
+            list(reader.read(part))
+
+
+def test_the_end_is_confirmed_by_a_few_more_pages():
+    asked = []
+
+    def fetch(page):
+        asked.append(page)
+        return ["x"] if page <= 5 else []
+
+    assert discover_page_count(fetch) == 5 and max(asked) >= 8
+    with pytest.raises(RuntimeError):
+        discover_page_count(lambda p: ["x"] if p in (1, 2, 3, 4, 6) else [])
+    assert discover_page_count(lambda p: []) == 0
