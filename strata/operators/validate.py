@@ -46,40 +46,49 @@ class Layer:
         return [c for c in self.expected.columns if c in self.df.columns]
 
 
-def _col(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+def _q(name: str) -> str:
+    """A column name as SQL has it. Expressions are SQL texts here: a wide layer needs hundreds,
+    and a text is one call to the JVM where a ``Column`` takes one for each of its parts."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _key(keys: Sequence[str]) -> str:
+    """A key as text, so that both sides agree whatever its type; nulls are told apart."""
+    return ", ".join(f"{_q(k)} is null, cast({_q(k)} as string)" for k in keys)
 
 
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    """The bucket of a row by its key as text, so that both sides agree whatever its type."""
-    parts = [x for k in keys for x in (_col(k).isNull(), _col(k).cast("string"))]
-    return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int") if parts else F.lit(0)
+    return F.expr(f"cast(pmod(xxhash64({_key(keys)}), {buckets}) as int)") if keys else F.lit(0)
 
 
 def _checked(layer: Layer) -> dict[str, bool]:
     """Compared columns, and whether their values meet as text because the types differ."""
+    if layer.expected is None:
+        return {}
     want, have = layer.expected.schema, layer.df.schema
     return {c: want[c].dataType != have[c].dataType for c in layer.compared()}
 
 
 def _side(df: DataFrame, layer: Layer, buckets: int, bucket: Column | None) -> DataFrame:
     """(bucket, rows, n<i> nulls, h<i> and l<i> checksums): one aggregate over one side."""
-    names = layer.columns()
-    checked = _checked(layer) if layer.expected is not None else {}
-    key = [x for k in layer.keys if k in checked
-           for x in (_col(k).isNull(), _col(k).cast("string"))]
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    names, checked = layer.columns(), _checked(layer)
+    keys = [k for k in layer.keys if k in checked]
+    lead = f"{_key(keys)}, " if keys else ""
+    aggs = ["count(1) as rows"]
     for i, c in enumerate(names):
         if c not in df.columns:
             continue
-        aggs.append(F.count_if(_col(c).isNull()).alias(f"n{i}"))
+        aggs.append(f"count_if({_q(c)} is null) as n{i}")
         if c in checked:
-            value = _col(c).cast("string") if checked[c] else _col(c)
-            h = F.xxhash64(*key, _col(c).isNull(), value)
-            aggs += [F.sum(F.shiftright(h, 32)).alias(f"h{i}"),
-                     F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"l{i}")]
+            value = f"cast({_q(c)} as string)" if checked[c] else _q(c)
+            h = f"xxhash64({lead}{_q(c)} is null, {value})"
+            aggs += [f"sum(shiftright({h}, 32)) as h{i}", f"sum({h} & 4294967295L) as l{i}"]
     where = _bucket(layer.keys, buckets) if bucket is None else bucket
-    return df.groupBy(where.alias("bucket")).agg(*aggs)
+    return df.groupBy(where.alias("bucket")).agg(*map(F.expr, aggs))
 
 
 def _differences(layer: Layer, buckets: int, bucket: Column | None) -> DataFrame:
@@ -87,16 +96,12 @@ def _differences(layer: Layer, buckets: int, bucket: Column | None) -> DataFrame
     have = _side(layer.df, layer, buckets, bucket)
     if layer.expected is None:
         return have
-    names, checked = layer.columns(), _checked(layer)
-    want = _side(layer.expected, layer, buckets, bucket)
-    own = [i for i, c in enumerate(names) if c in checked]
-    want = want.select("bucket", F.col("rows").alias("want_rows"),
-                       *[F.col(f"{s}{i}").alias(f"want_{s}{i}") for i in own for s in "hl"])
-    both = have.join(want, "bucket", "full")
-    flags = {i: ~(F.col(f"h{i}").eqNullSafe(F.col(f"want_h{i}"))
-                  & F.col(f"l{i}").eqNullSafe(F.col(f"want_l{i}"))
-                  & F.col("rows").eqNullSafe(F.col("want_rows"))) for i in own}
-    return both.select("*", *[f.alias(f"d{i}") for i, f in flags.items()])
+    own = [i for i, c in enumerate(layer.columns()) if c in _checked(layer)]
+    want = _side(layer.expected, layer, buckets, bucket).selectExpr(
+        "bucket", "rows as want_rows", *[f"{s}{i} as want_{s}{i}" for i in own for s in "hl"])
+    return have.join(want, "bucket", "full").selectExpr("*", *[
+        f"not (h{i} <=> want_h{i} and l{i} <=> want_l{i} and rows <=> want_rows) as d{i}"
+        for i in own])
 
 
 def validate_layers(layers: Sequence[Layer], buckets: int = BUCKETS,
@@ -113,20 +118,21 @@ def validate_layers(layers: Sequence[Layer], buckets: int = BUCKETS,
     parts = []
     for step, layer in enumerate(layers):
         names, compared = layer.columns(), set(layer.compared())
-        sums = [F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")]
+        sums, rows = ["coalesce(sum(rows), 0L) as rows"], []
         for i, c in enumerate(names):
+            nulls = differ = "cast(null as bigint)"
             if c in layer.df.columns:
-                sums.append(F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}"))
+                sums.append(f"coalesce(sum(n{i}), 0L) as n{i}")
+                nulls = f"n{i}"
             if c in compared:
-                sums.append(F.count_if(f"d{i}").alias(f"d{i}"))
-        total = _differences(layer, buckets, bucket).agg(*sums)
-        none = F.lit(None).cast("bigint")
-        parts.append(total.select(F.lit(step).alias("step"), F.lit(layer.name).alias("layer"),
-                                  "rows", F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.lit(c in layer.df.columns).alias("present"),
-                     (F.col(f"n{i}") if c in layer.df.columns else none).alias("nulls"),
-                     (F.col(f"d{i}") if c in compared else none).alias("buckets_differ"))
-            for i, c in enumerate(names)]))))
+                sums.append(f"count_if(d{i}) as d{i}")
+                differ = f"d{i}"
+            rows.append(f"named_struct('column_name', {_text(c)}, 'present', "
+                        f"{str(c in layer.df.columns).lower()}, 'nulls', {nulls}, "
+                        f"'buckets_differ', {differ})")
+        parts.append(_differences(layer, buckets, bucket).agg(*map(F.expr, sums)).selectExpr(
+            f"{step} as step", f"{_text(layer.name)} as layer", "rows",
+            f"inline(array({', '.join(rows)}))"))
     report = functools.reduce(DataFrame.unionByName, parts)
     return report.select("step", "layer", "column_name", "present", "rows", "nulls",
                          "buckets_differ")
@@ -139,8 +145,8 @@ def drifted_buckets(layer: Layer, buckets: int = BUCKETS,
     own = [(i, c) for i, c in enumerate(layer.columns()) if c in layer.compared()]
     if not own:
         raise ValueError(f"layer {layer.name} has nothing to be compared with")
-    found = F.filter(F.array(*[F.when(F.col(f"d{i}"), F.lit(c)) for i, c in own]),
-                     lambda x: x.isNotNull())
+    found = F.expr("filter(array({}), x -> x is not null)".format(
+        ", ".join(f"if(d{i}, {_text(c)}, null)" for i, c in own)))
     return (_differences(layer, buckets, bucket).withColumn("columns", found)
             .filter(F.size("columns") > 0)
             .select("bucket", F.coalesce("want_rows", F.lit(0)).alias("expected_rows"),
@@ -161,9 +167,9 @@ def drifted_rows(layer: Layer, buckets: int = BUCKETS, bucket: Column | None = N
     sides = []
     for df, sign in ((layer.df, 1), (layer.expected, -1)):
         rows = df.join(bad, where == F.col("_bucket"), "left_semi")
-        sides.append(rows.select(*[(_col(c).cast("string") if as_text else _col(c)).alias(c)
-                                   for c, as_text in texts.items()], F.lit(sign).alias("_sign")))
-    return (sides[0].unionByName(sides[1]).groupBy(*[_col(c) for c in texts])
+        sides.append(rows.selectExpr(*[f"cast({_q(c)} as string) as {_q(c)}" if as_text else _q(c)
+                                       for c, as_text in texts.items()], f"{sign} as _sign"))
+    return (sides[0].unionByName(sides[1]).groupBy(*map(_q, texts))
             .agg(F.sum("_sign").alias("surplus")).filter("surplus <> 0"))
 
 
