@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # Noting the Python call site of every Column operation takes several times as long as the
+    # operation; errors still name the SQL fragment.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
