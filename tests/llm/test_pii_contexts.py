@@ -1,0 +1,121 @@
+"""Contextual extraction: candidates, contexts, graph scores against brute force, discovery."""
+
+import math
+import random
+import time
+from collections import defaultdict
+
+from strata.llm import pii
+from strata.llm.common import Scratch
+
+DOCS = "doc_id long, text string"
+
+
+def found(text):
+    return [text[a:b] for a, b in pii._candidates(text, pii.base_spans(text))]
+
+
+def test_grouped_identifiers_are_whole_candidates():
+    assert found("call me at 274 555 9629.") == ["274 555 9629"]
+    assert found("(274) 555-9629, or") == ["(274) 555-9629"]
+    assert found("tel:(274)555.9629; x") == ["(274)555.9629"]
+    assert found("card no 4111 1111 1111 1112 ok") == ["4111 1111 1111 1112"]
+    assert found("DE44 5001 0517 5407 3249 31") == ["5001 0517 5407 3249 31"]
+    assert found("id=99-88-7766x 'abc-1234'") == ["99-88-7766x", "abc-1234"]
+    assert found("12 ab 3 4") == [] and found("") == [] and found("a@") == ["a@"]
+    # what a base entity holds is no candidate, nor is what it is glued to
+    text = "+1 (274) 555-9629 and 10.0.0.1 and me@x.org"
+    assert len(pii.base_spans(text)) == 3 and found(text) == []
+
+
+def test_contexts_are_whole_words_and_labels():
+    def near(text, what):
+        a = text.index(what)
+        return pii._near(text, a, a + len(what))
+
+    assert near('my Token = "abc123" is', "abc123") == [
+        'L "_', 'LL = "_', "R is", 'LR "_ is', "A token"]
+    assert near("1234", "1234") == ["L ^", "LL ^ ^", "R $", "LR ^ $"]
+    assert near("a b: 1234 !!", "1234") == ["L b:", "LL a b:", "A b"]  # nothing but marks follows
+    # words and blanks of any length: no window cuts them, so the next word stays the same
+    long = "w" * 5000
+    assert near(f"x {long}{' ' * 900}1234", "1234")[0] == near(f"y {long} 1234", "1234")[0]
+    assert near(f"{long}1 1234", "1234")[0] != near(f"{long}2 1234", "1234")[0]
+    assert near("1234" + "\n" * 500 + "end", "1234")[2] == "R end"
+
+
+def test_long_texts_without_spaces_take_linear_time():
+    for text in ("x" * 2_000_000 + "1", "日" * 2_000_000, "1 " * 500_000, "@" * 500_000):
+        began = time.process_time()
+        pii._candidates(text, pii.base_spans(text))
+        assert time.process_time() - began < 20
+
+
+def brute_scores(ents):
+    """The rounds over distinct (kind, instance, pattern) edges, in plain Python."""
+    edges = {(k, i, p) for k, i, ps in ents for p in ps}
+    by = defaultdict(set)
+    for k, i, p in edges:
+        by[p].add((k, i))
+    n = {p: len(m) for p, m in by.items()
+         if len(m) >= pii.MIN_SUPPORT and max(k for k, _ in m) >= 0}
+    score = {}
+    for _ in range(pii.ROUNDS):
+        guess = defaultdict(float)
+        for k, i, p in edges:
+            if k < 0:
+                for (q, kind), s in score.items():
+                    if q == p:
+                        guess[i, kind] = max(guess[i, kind], s)
+        total = defaultdict(float)
+        for k, i, p in edges:
+            if k >= 0:
+                total[p, k] += 1
+            else:
+                for (j, kind), s in guess.items():
+                    if j == i:
+                        total[p, kind] += s
+        score = {}
+        for (p, kind), r in total.items():
+            if p in n:
+                m, z2 = min(r / n[p], 1.0), pii.Z ** 2
+                low = (m + z2 / (2 * n[p]) - pii.Z * math.sqrt(
+                    (m * (1 - m) + z2 / (4 * n[p])) / n[p])) / (1 + z2 / n[p])
+                if low >= pii.CONFIDENT / 2:
+                    score[p, kind] = low
+    return {k: s for k, s in score.items() if s >= pii.CONFIDENT}
+
+
+def test_graph_scores_match_brute_force(spark):
+    rnd = random.Random(6)
+    ents = []
+    for i in range(400):
+        good = rnd.random() < 0.7
+        kind = rnd.choice([0, 2, 3, 4]) if good else -1
+        pats = {f"p{rnd.randrange(25)}"} | ({f"k{kind}"} if good or rnd.random() < 0.2 else set())
+        if not good:
+            pats.add(f"k{rnd.choice([0, 2, 3, 4])}")
+        ents += [(kind, f"i{rnd.randrange(300)}", sorted(pats))] * rnd.choice([1, 1, 3])
+    want = brute_scores(ents)
+    got = pii.confident_patterns(Scratch(spark, "test"), spark.createDataFrame(
+        ents, "kind int, inst string, pats array<string>")).collect()
+    assert {(r.pattern, r.kind) for r in got} == set(want) and want
+    assert all(abs(r.score - want[r.pattern, r.kind]) < 1e-9 for r in got)
+
+
+def test_seeded_contexts_find_spaced_numbers_and_new_secrets(spark):
+    rnd = random.Random(1)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    rows = [(i, f"w{i} please call me at +1 ({digits(3)}) 555-{digits(4)} today x{i}") for i in range(30)]
+    rows += [(100 + i, f'v{i} set api_key = "{rnd.randbytes(20).hex()}" in y{i}') for i in range(30)]
+    rows += [(200, "now call me at 274 555 9629 today"), (201, "now call me at (274) 555-9629"),
+             (202, 'set api_key = "Zx9-77aa-11Q4-77" please'), (203, "the year 1999 and 2000 were long"),
+             (204, f"commit {rnd.randbytes(20).hex()} was reverted"), (205, None), (205, None)]
+    got = {r.doc_id: r for r in pii.find_pii(spark, spark.createDataFrame(rows, DOCS)).collect()}
+    assert got[200].spans == "phone:15:27" and got[200].n_phone == 0 and got[200].n_added == 1
+    assert got[201].spans == "phone:15:29"
+    assert got[202].spans == "secret:15:31"  # of another form than every seed
+    assert not got[203].flagged and not got[205].flagged
+    assert not got[204].flagged  # a hash by its looks alone is no secret
+    assert all(got[i].flagged and got[i].n_spans == 1 for i in (*range(30), *range(100, 130)))
+    assert got[101].spans.startswith("secret:") and got[101].n_added == 1
