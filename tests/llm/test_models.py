@@ -294,6 +294,48 @@ def test_license_scan_of_genuine_notices(spark):
         assert t not in name or got[i].licenses == name[t], got[i]
 
 
+def test_license_scan_of_other_licences_and_negations(spark):
+    gpl2 = GPL.replace("version 3", "version 2")
+    texts = {
+        "// SPDX-License-Identifier: MIT\nint x;": "mit", "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0",
+        "# SPDX-License-Identifier: LGPL-2.1-or-later\n#\n# text": "lgpl-2.1", gpl2: "gpl-2.0",
+        GPL.replace("General", "Lesser General"): "lgpl-3.0",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without "
+        "fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear "
+        "in all copies.": "isc",
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.": "mpl-2.0",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "The library is licensed under CC BY 4.0.": "cc-by-4.0",
+        "It is no longer licensed under the MIT license.": "", "never released under the MIT License": "",
+        "This file is not licensed under the MIT License.": "", "mit\nmit": ""}
+    df = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(df).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+    assert all(any(t in s for t in licenses.TRIGGERS) for s in licenses.SENTENCES)
+    assert len(set(licenses.SENTENCES)) == len(licenses.SENTENCES)
+
+
+def test_license_oracle_reads_genuine_notices_like_the_query(spark):
+    """The SQL and the query agree on wrapped, commented, one-line, broken and odd texts."""
+    import duckdb
+    import pandas as pd
+
+    notices = [MIT, APACHE, GPL, BSD, BSD3, "x\nThis file is licensed under the MIT License.\ny"]
+    forms = notices + [" ".join(t.split()) for t in notices]
+    forms += ["# " + t.replace("\n", "\n# ") for t in notices] + ["\n\n".join(notices), "|a|" + MIT]
+    forms += [t[:len(t) // 2] for t in notices] + [t.upper() for t in notices]
+    forms += [None, "", "É licensed under CC BY 4.0.", "SPDX-License-Identifier: ISC\n*/", "a" * 100_000,
+              "All rights reserved.\n" * 3000]
+    want = [(i, t) for i, t in enumerate(forms)] + [(0, MIT), (None, MIT)]
+    con = duckdb.connect()
+    con.register("given", pd.DataFrame(want, columns=["doc_id", "text"], dtype="object"))
+    con.execute("CREATE TABLE documents AS SELECT doc_id::BIGINT AS doc_id, text::VARCHAR AS text FROM given")
+    sql = sorted(con.execute(licenses.ORACLE).fetchall(), key=repr)
+    df = spark.createDataFrame(want, "doc_id long, text string")
+    assert sorted((tuple(r) for r in licenses.scan_licenses(df).collect()), key=repr) == sql
+    assert sum(r[2] != "" for r in sql) > 20
+
+
 def test_oracles_of_this_folder(spark):
     from strata.llm.catalog import ORACLES, QUERIES
 
