@@ -39,6 +39,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def columns(df: DataFrame, names: list[str] | None = None) -> list[Column]:
+    """Columns of ``df`` (all unless named), whatever marks their names hold."""
+    return [_quoted(c).alias(c) for c in (df.columns if names is None else names)]
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z (only) in lower case; the whole-string ``lower`` where text is ASCII."""
     return (F.when(F.octet_length(text) == F.char_length(text), F.lower(text))
@@ -102,8 +111,8 @@ def with_row_id(scratch: Scratch, df: DataFrame, rid: str) -> DataFrame:
 
 def _wide_bytes(df: DataFrame) -> int:
     """Bytes of the columns of ``df`` that have no fixed width (nested ones as JSON)."""
-    texts_ = [F.octet_length(F.col(f"`{c}`")) for c, t in df.dtypes if t in ("string", "binary")]
-    nested = [F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))) for c, t in df.dtypes
+    texts_ = [F.octet_length(_quoted(c)) for c, t in df.dtypes if t in ("string", "binary")]
+    nested = [F.octet_length(F.to_json(F.struct(_quoted(c)))) for c, t in df.dtypes
               if t.startswith(("struct", "array", "map"))]
     sizes = [F.coalesce(F.sum(n), F.lit(0)) for n in texts_ + nested]
     return sum(df.agg(*sizes).first()) if sizes else 0

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, ascii_lower, documents, fresh, small, with_row_id
+from strata.llm.common import Scratch, ascii_lower, columns, documents, fresh, small, with_row_id
 
 FIRST_BYTES, NEXT_BYTES, GROWTH = 64, 256, 8
 
@@ -106,7 +106,7 @@ def drop_exact_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc
                         _body(text_col).alias("body"))
     lost = scratch.stage(_members(scratch, rows).filter("not kept")
                          .select(F.col("rid").alias(rid)), "lost")
-    return whole.join(small(lost), rid, "left_anti").select(*df.columns)
+    return whole.join(small(lost), rid, "left_anti").select(*columns(df))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, documents, small
+from strata.llm.common import Scratch, columns, documents, small
 
 WEIGHTS, SHARE, MOST, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, "mix-1"
 SHARD_WORDS, TAIL = 1 << 25, 32
@@ -130,7 +130,7 @@ def mixture(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         word_count(text).alias("size"),
         F.xxhash64(F.lit(SEED), F.col(id_col).cast("string"), text).alias("h"),
-        *([F.struct(*keep).alias("row")] if keep else []))
+        *([F.struct(*columns(df, keep)).alias("row")] if keep else []))
     rows = scratch.stage(rows.withColumn("rid", F.monotonically_increasing_id()), "rows")
     sources = scratch.stage(rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows")), "sources")

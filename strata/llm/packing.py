@@ -11,8 +11,9 @@ each length which ranks go to which pattern and place, so its size depends on le
 and patterns alone; pieces are ranked among those of their length by counts per
 partition and length, and each finds its sequence and offset by its rank.
 
-Null text is empty: one end token. Repeated rows are packed as often as they stand.
-An empty table gives an empty result; other columns are ignored.
+Null text is empty: one end token. Ids keep their type; a null id is an id like any other.
+Repeated rows are packed as often as they stand. An empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import Scratch, documents, small, texts
 from strata.llm.tokens import Encoder
@@ -35,7 +37,10 @@ CAPACITY, END = 4096, 1
 EPOCHS, STEP, SLACK, RATE, TRIES = 40, 0.25, 0.01, 0.5, 4
 #: Pieces that best-fit decreasing may place on the driver after rounding.
 REST = 200_000
-_PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long")
+#: Columns of a piece beside its document's id, in Spark's types and in Arrow's.
+_PIECE = {"piece": (T.IntegerType(), pa.int32()), "start": (T.LongType(), pa.int64()),
+          "length": (T.LongType(), pa.int64()), "ids_crc32": (T.LongType(), pa.int64()),
+          "part": (T.IntegerType(), pa.int32()), "nth": (T.LongType(), pa.int64())}
 
 
 def tokenizer_path() -> str:
@@ -224,21 +229,15 @@ def pieces(df: DataFrame, path: str, id_col: str, text_col: str, capacity: int)
                     n = len(own) // 4
                     out.append((doc, k, at // 4, n, zlib.crc32(own), part, int(seen[n])))
                     seen[n] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (
-                    pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(),
-                    pa.int64()))],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
-            ) if out else pa.RecordBatch.from_pylist([], schema=_arrow())
-
-    return df.select(F.col(id_col).cast("long").alias("doc_id"),
-                     F.col(text_col).cast("string").alias("text")).mapInArrow(cut, _PIECES)
-
-
-def _arrow() -> pa.Schema:
-    return pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
-                      ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int32()),
-                      ("nth", pa.int64())])
+            values = zip(*out) if out else [[] for _ in range(1 + len(_PIECE))]
+            types = (batch.column(0).type, *(t for _, t in _PIECE.values()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(values, types)],
+                                             names=["doc_id", *_PIECE])
+
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([rows.schema["doc_id"],
+                           *(T.StructField(c, t) for c, (t, _) in _PIECE.items())])
+    return rows.mapInArrow(cut, schema)
 
 
 def pack(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

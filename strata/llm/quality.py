@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents, fresh, texts
+from strata.llm.common import columns, documents, fresh, texts
 
 GRAM, BUCKETS, SMOOTHING = 4, 1 << 16, 1.0
 THRESHOLD, MAX_TRUSTED = -0.5, 65_536
@@ -173,7 +173,7 @@ def keep_quality(spark: SparkSession, df: DataFrame, labels: DataFrame,
     judge = quality_verdicts(spark, df, labels, id_col, text_col)
     q = fresh(df, "q")[0]
     return (df.withColumn(q, judge(F.col(text_col).cast("string")))
-            .filter(F.col(q)["kept"]).select(*df.columns))
+            .filter(F.col(q)["kept"]).select(*columns(df)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

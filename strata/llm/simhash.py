@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, documents, fresh, small
+from strata.llm.common import Scratch, columns, documents, fresh, small
 from strata.llm.components import components
 
 SHINGLE, MAX_BITS, DENSE = 3, 3, 256
@@ -163,7 +163,7 @@ def drop_near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "doc_
             .select(F.col("k.rid").alias("rid")))
     lost = scratch.stage(rows.select("rid").join(kept, "rid", "left_anti")
                          .select(F.col("rid").alias(rid)), "lost")
-    return whole.join(small(lost), rid, "left_anti").select(*df.columns)
+    return whole.join(small(lost), rid, "left_anti").select(*columns(df))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

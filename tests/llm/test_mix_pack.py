@@ -178,3 +178,29 @@ def test_pipeline_stages(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:4]:
         empty = stage(spark, empty, SF_SMALL)
         assert empty.columns == columns and empty.count() == 0
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    """Dots, backticks, spaces and names that differ from the operators' own in case only."""
+    names = ["a.b", "c`d", "e f", "RID", "Q", "row.x", "*"]
+    rows = [(i, f"word{i % 7} and some more words {i} " * (20 + i % 5), "en", f"s{i % 3}", i,
+             *[f"{n}{i}" for n in names]) for i in range(120)]
+    rows += [(None, None, None, None, None, *[None] * len(names)), (3, "", None, "s1", 0, *names)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+        "`" + n.replace("`", "``") + "` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_SMALL)
+        if name == "packing":
+            assert out.count() > 0
+            continue
+        assert out.columns == docs.columns, name
+        kept = {r["doc_id"]: r for r in out.collect()}
+        assert all(r[n] == f"{n}{i}" for i, r in kept.items() if i not in (None, 3) for n in names), name
+
+
+def test_packing_takes_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("id-a", "some words"), (None, "more"), ("id-a", "some words")],
+                                 "doc_id string, text string")
+    got = packing.pack(spark, docs).collect()
+    assert sorted((r.doc_id or "") for r in got) == ["", "id-a", "id-a"]
