@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def col(name: str) -> Column:
+    """A column by its name, whatever marks (dots, spaces, backticks) the name holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def date_parts(ts: str | Column, prefix: str = "") -> list[Column]:
     """``year``, ``month``, ``day`` columns of a date/timestamp expression."""
-    c = F.col(ts) if isinstance(ts, str) else ts
+    c = col(ts) if isinstance(ts, str) else ts
     return [F.year(c).alias(f"{prefix}year"), F.month(c).alias(f"{prefix}month"),
             F.dayofmonth(c).alias(f"{prefix}day")]
 
@@ -22,7 +27,7 @@ def exact_sum(value: str | Column, scale: int | None, precision: int = 18) -> Co
     to ``scale`` decimals, so it is the caller's statement about the data; ``None`` sums
     the values as they are.
     """
-    c = F.col(value) if isinstance(value, str) else value
+    c = col(value) if isinstance(value, str) else value
     if scale is None:
         return F.sum(c.cast("double"))
     return F.sum(c.cast(T.DecimalType(precision, scale))).cast("double")

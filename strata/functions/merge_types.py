@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import col
 from strata.functions.contracts import SchemaMismatchError
 
 #: Digits of the widest value of each whole-number type, narrowest first.
@@ -112,7 +113,7 @@ def widen(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` in a common schema: one projection, absent fields null."""
     own = {f.name: f.dataType for f in df.schema.fields}
     return df.select(*[
-        (widened(F.col("`" + f.name.replace("`", "``") + "`"), own[f.name], f.dataType)
+        (widened(col(f.name), own[f.name], f.dataType)
          if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields])
 

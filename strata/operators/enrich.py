@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import exact_sum
+from strata.functions.columns import col, exact_sum
 
 #: Largest reference table ever broadcast by ``enrich``: rows and bytes.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -19,7 +19,7 @@ def _row_bytes(dim: DataFrame):
     """Per-row size: exact for text/binary, JSON length for nested values, 8 otherwise."""
     size = F.lit(0)
     for f in dim.schema.fields:
-        t, c = f.dataType, F.col(f.name)
+        t, c = f.dataType, col(f.name)
         if isinstance(t, (T.StringType, T.BinaryType)):
             size = size + F.coalesce(F.octet_length(c), F.lit(0))
         elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
@@ -82,7 +82,7 @@ def enrich_and_aggregate(fact: DataFrame, dim: DataFrame, on: str, fact_keys: Se
     pre = [F.count(F.lit(1)).alias("n")]
     if value is not None:
         exact = "double" if scale is None else f"decimal(18,{scale})"
-        pre.append(F.sum(F.col(value).cast(exact)).alias("_sum"))
+        pre.append(F.sum(col(value).cast(exact)).alias("_sum"))
     reduced = fact.groupBy(on, *fact_keys).agg(*pre)
     post = [F.sum("n").cast("bigint").alias("n")]
     if value is not None:

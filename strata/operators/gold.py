@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import date_parts, exact_sum
+from strata.functions.columns import col, date_parts, exact_sum
 
 # The Gold grouping of the Silver layer and its measure.
 GOLD_KEYS = ("state", "brewery_type")
@@ -17,7 +17,7 @@ GOLD_ALIAS = "qty"
 
 def _ordered(df: DataFrame, measure: str, keys: Sequence[str]) -> DataFrame:
     # Total order: measure descending, ties broken by the keys (nulls first).
-    return df.orderBy(F.col(measure).desc(), *[F.col(k).asc_nulls_first() for k in keys])
+    return df.orderBy(col(measure).desc(), *[col(k).asc_nulls_first() for k in keys])
 
 
 def count_by(df: DataFrame, keys: Sequence[str] = GOLD_KEYS, measure: str | None = GOLD_MEASURE,
@@ -28,8 +28,8 @@ def count_by(df: DataFrame, keys: Sequence[str] = GOLD_KEYS, measure: str | None
     Partial aggregation runs map-side, so hot keys shrink before the shuffle.
     With ``order`` the result is sorted by count descending then keys.
     """
-    cnt = F.count(F.lit(1)) if measure is None else F.count(F.col(measure))
-    out = df.groupBy(*keys).agg(cnt.alias(alias))
+    cnt = F.count(F.lit(1)) if measure is None else F.count(col(measure))
+    out = df.groupBy(*map(col, keys)).agg(cnt.alias(alias))
     return _ordered(out, alias, keys) if order else out
 
 
@@ -37,8 +37,8 @@ def count_non_null_keys(df: DataFrame, keys: Sequence[str], alias: str = "n") ->
     """``count(*)`` per key combination over rows whose keys are all non-null."""
     cond = F.lit(True)
     for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return df.filter(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
+        cond = cond & col(k).isNotNull()
+    return df.filter(cond).groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias(alias))
 
 
 def stats_by(df: DataFrame, keys: Sequence[str], value: str,
@@ -50,12 +50,12 @@ def stats_by(df: DataFrame, keys: Sequence[str], value: str,
     values are summed as they are.
     """
     total = exact_sum(value, scale)
-    return df.groupBy(*keys).agg(
-        F.count(F.col(value)).alias("n"),
-        F.min(value).alias(f"min_{value}"),
-        F.max(value).alias(f"max_{value}"),
+    return df.groupBy(*map(col, keys)).agg(
+        F.count(col(value)).alias("n"),
+        F.min(col(value)).alias(f"min_{value}"),
+        F.max(col(value)).alias(f"max_{value}"),
         total.alias(f"sum_{value}"),
-        (total / F.count(F.col(value))).alias(f"avg_{value}"),
+        (total / F.count(col(value))).alias(f"avg_{value}"),
     )
 
 
@@ -74,12 +74,12 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 def gold_top_n(gold: DataFrame, n: int, measure: str = GOLD_ALIAS,
                keys: Sequence[str] = GOLD_KEYS) -> DataFrame:
     """Top-``n`` groups by measure, ties broken by the keys."""
-    return top_n(gold, n, [F.col(measure).desc(), *[F.col(k).asc_nulls_first() for k in keys]])
+    return top_n(gold, n, [col(measure).desc(), *[col(k).asc_nulls_first() for k in keys]])
 
 
 def point_lookup(df: DataFrame, **equals) -> DataFrame:
     """Rows where every ``column == value`` (a filter Catalyst pushes to the scan)."""
     cond = F.lit(True)
     for c, v in equals.items():
-        cond = cond & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
+        cond = cond & (col(c).isNull() if v is None else (col(c) == F.lit(v)))
     return df.filter(cond)

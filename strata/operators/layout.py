@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import col
 
 def bucket_skew(df: DataFrame, bucket: Column, alias: str = "bucket") -> DataFrame:
     """Rows per logical bucket and each bucket's share of all rows.
@@ -22,7 +23,7 @@ def bucket_skew(df: DataFrame, bucket: Column, alias: str = "bucket") -> DataFra
 
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     """The shuffle-like bucket of a key of any types (nulls are values of their own)."""
-    parts = [x for k in keys for x in (F.col(k).isNull(), F.col(k).cast("string"))]
+    parts = [x for k in keys for x in (col(k).isNull(), col(k).cast("string"))]
     return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
 
 
@@ -32,7 +33,7 @@ def key_skew(df: DataFrame, key: str | Sequence[str], buckets: int) -> DataFrame
     keys = [key] if isinstance(key, str) else list(key)
     integral = len(keys) == 1 and dict(df.dtypes).get(keys[0]) in (
         "tinyint", "smallint", "int", "bigint")
-    return bucket_skew(df, F.pmod(F.col(keys[0]), F.lit(buckets)) if integral
+    return bucket_skew(df, F.pmod(col(keys[0]), F.lit(buckets)) if integral
                        else key_bucket(keys, buckets))
 
 
@@ -43,9 +44,9 @@ def partition_sizes(df: DataFrame) -> DataFrame:
 
 def _packed(keys: Sequence[str]) -> Column:
     """A key of any types as one text: each part with its length, null as a mark of its own."""
-    parts = [F.when(F.col(k).isNull(), F.lit("-")).otherwise(F.concat(
-        F.char_length(F.col(k).cast("string")).cast("string"), F.lit(":"),
-        F.col(k).cast("string"))) for k in keys]
+    parts = [F.when(col(k).isNull(), F.lit("-")).otherwise(F.concat(
+        F.char_length(col(k).cast("string")).cast("string"), F.lit(":"),
+        col(k).cast("string"))) for k in keys]
     return F.concat(*parts)
 
 
@@ -67,7 +68,7 @@ def key_sketch(df: DataFrame, keys: Sequence[str], min_share: float,
     Store them and merge any days with ``sketch_candidates``: no row is read again.
     """
     tracked, _ = _tracked(min_share)
-    return (df.select(*by, _packed(keys).alias("_key")).groupBy(*by)
+    return (df.select(*map(col, by), _packed(keys).alias("_key")).groupBy(*map(col, by))
             .agg(F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("sketch")))
 
 
@@ -95,9 +96,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.01,
     keys = list(keys)
     made = sketches if sketches is not None else key_sketch(df, keys, min_share)
     wanted = F.broadcast(sketch_candidates(made, min_share).select("packed"))
-    counted = (df.select(*keys, _packed(keys).alias("packed"))
+    counted = (df.select(*map(col, keys), _packed(keys).alias("packed"))
                .join(wanted, "packed", "left_semi")
-               .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")))
+               .groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias("n_rows")))
     total = df.agg(F.count(F.lit(1))).scalar()
     out = (counted.withColumn("share", F.col("n_rows") / total)
            .filter(F.col("share") >= min_share))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import exact_sum
+from strata.functions.columns import col, exact_sum
 from strata.functions.contracts import EmptyInputError, missing_columns
 from strata.operators.gold import GOLD_ALIAS, GOLD_KEYS
 
@@ -87,14 +87,14 @@ def any_null(cols: Sequence[str]) -> Column:
     """True when any of ``cols`` is null."""
     cond = F.lit(False)
     for c in cols:
-        cond = cond | F.col(c).isNull()
+        cond = cond | col(c).isNull()
     return cond
 
 
 def gold_rules(keys: Sequence[str] = GOLD_KEYS, measure: str = GOLD_ALIAS) -> list[Rule]:
     """Consistency (no null key or measure) and business rule (measure > 0)."""
     return [Rule("no_null_keys", any_null([*keys, measure])),
-            Rule("positive_measure", F.col(measure) <= 0)]
+            Rule("positive_measure", col(measure) <= 0)]
 
 
 def check_gold(gold: DataFrame, keys: Sequence[str] = GOLD_KEYS, measure: str = GOLD_ALIAS) -> DataFrame:
@@ -109,15 +109,15 @@ def gold_summary(gold: DataFrame, keys: Sequence[str] = GOLD_KEYS, measure: str
     """One row: groups, distinct values per key, and the measure total."""
     return gold.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_distinct(F.col(k)).alias(f"distinct_{k}") for k in keys],
-        F.sum(F.col(measure)).cast("bigint").alias(f"total_{measure}"),
+        *[F.count_distinct(col(k)).alias(f"distinct_{k}") for k in keys],
+        F.sum(col(measure)).cast("bigint").alias(f"total_{measure}"),
     )
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column_name, null_count)`` for every column, from one aggregate."""
     columns = list(columns or df.columns)
-    totals = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)])
+    totals = df.agg(*[F.count_if(col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)])
     return totals.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("null_count"))
         for i, c in enumerate(columns)])))
@@ -144,11 +144,11 @@ def distinct_profile(df: DataFrame, columns: Sequence[str] | None = None,
     """
     columns = list(columns or df.columns)
     if exact:
-        parts = [df.select(F.col(c).alias("v")).filter("v is not null").distinct()
+        parts = [df.select(col(c).alias("v")).filter("v is not null").distinct()
                  .agg(F.count(F.lit(1)).alias("distinct_count"))
                  .select(F.lit(c).alias("column_name"), "distinct_count") for c in columns]
         return functools.reduce(DataFrame.unionByName, parts)
-    totals = df.agg(*[F.approx_count_distinct(F.col(c), rsd).alias(f"_d{i}")
+    totals = df.agg(*[F.approx_count_distinct(col(c), rsd).alias(f"_d{i}")
                       for i, c in enumerate(columns)])
     return totals.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_d{i}").alias("distinct_count"))
@@ -165,7 +165,7 @@ def describe_stats(df: DataFrame, columns: Sequence[str], digits: int = 4,
     """
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
+        x = col(c).cast("double")
         mean = (exact_sum(c, scale) / F.count(x)) if scale is not None else F.avg(x)
         aggs += [F.count(x).alias(f"_c{i}"), F.round(mean, digits).alias(f"_m{i}"),
                  F.round(F.stddev_samp(x), digits).alias(f"_s{i}"),
@@ -180,7 +180,7 @@ def describe_stats(df: DataFrame, columns: Sequence[str], digits: int = 4,
 
 def untrimmed_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, untrimmed)``: rows whose value has outer spaces."""
-    totals = df.agg(*[F.count_if(F.col(c) != F.trim(F.col(c))).alias(f"_t{i}")
+    totals = df.agg(*[F.count_if(col(c) != F.trim(col(c))).alias(f"_t{i}")
                       for i, c in enumerate(columns)])
     return totals.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_t{i}").alias("untrimmed"))

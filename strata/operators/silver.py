@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import orderable
+from strata.functions.columns import col, orderable
 
 # The Silver projection of the Bronze contract, in output order.
 # (source column, output column, trimmed?)
@@ -28,7 +28,7 @@ def clean(df: DataFrame, columns: Sequence[tuple[str, str, bool]] = SILVER_COLUM
     """One projection: keep, rename and ``trim`` columns per ``(source, target, trim)``."""
     out = []
     for src, dst, trim in columns:
-        c = F.trim(F.col(src)) if trim else F.col(src)
+        c = F.trim(col(src)) if trim else col(src)
         out.append(c.alias(dst))
     return df.select(*out)
 
@@ -70,21 +70,21 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), keep
     other = [c for c in rest if c not in order]
     pick = F.max if keep == "last" else F.min
     by = F.max_by if keep == "last" else F.min_by
-    ranked = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    ranked = F.struct(*[col(c).alias(f"_o{i}") for i, c in enumerate(order)])
 
     source = df
     passthrough = None
     if null_keys == "keep":
         any_null = F.lit(False)
         for k in keys:
-            any_null = any_null | F.col(k).isNull()
+            any_null = any_null | col(k).isNull()
         passthrough = df.filter(any_null)
         source = df.filter(~any_null)
 
-    aggs = [pick(ranked).alias("_best")] + [by(F.col(c), ranked).alias(c) for c in other]
-    best = source.groupBy(*keys).agg(*aggs)
+    aggs = [pick(ranked).alias("_best")] + [by(col(c), ranked).alias(c) for c in other]
+    best = source.groupBy(*map(col, keys)).agg(*aggs)
     picked = [F.col(f"_best._o{i}").alias(c) for i, c in enumerate(order)]
-    out = best.select(*keys, *picked, *other).select(*df.columns)
+    out = best.select(*map(col, [*keys]), *picked, *map(col, other)).select(*map(col, df.columns))
     return out if passthrough is None else out.unionByName(passthrough)
 
 
@@ -101,8 +101,8 @@ def dedup_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (
     rest = [c for c in df.columns if c not in keys]
     order = [c for c in order_by if c not in keys]  # a key does not order its own group
     order += [c for c in rest if c not in order and orderable(df.schema[c].dataType)]
-    sort = [F.col(c).desc_nulls_last() if keep == "last" else F.col(c).asc_nulls_first() for c in order]
-    w = Window.partitionBy(*keys).orderBy(*sort)
+    sort = [col(c).desc_nulls_last() if keep == "last" else col(c).asc_nulls_first() for c in order]
+    w = Window.partitionBy(*map(col, keys)).orderBy(*sort)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -112,7 +112,7 @@ def dedup_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Null keys count as one key (the ``collapse`` policy). Two aggregates: rows
     per key (partial-aggregated map-side), then four totals over the keys.
     """
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = df.groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias("_n"))
     return per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_in"),
         F.count(F.lit(1)).alias("n_out"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import col
 from strata.functions.contracts import EmptyInputError
 from strata.sinks.writes import write_snapshot
 from strata.sources.scans import SNAPSHOT_KEY, read_snapshot
@@ -31,7 +32,7 @@ def relative_error(lg_k: int = LG_K, sigmas: float = 3) -> float:
 
 def _text(df: DataFrame, c: str):
     """A value as the sketch takes it: text, whatever its type, so types may drift over time."""
-    x = F.col("`" + c.replace("`", "``") + "`")
+    x = col(c)
     return x.cast("string") if isinstance(df.schema[c].dataType, T.AtomicType) else F.when(
         x.isNotNull(), F.to_json(F.struct(x)))
 

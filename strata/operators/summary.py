@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import col
+
 NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
 QUARTILES = (0.25, 0.5, 0.75)
@@ -34,17 +36,13 @@ def rank_error(k: int) -> float:
     return 2.296 / k ** 0.9021
 
 
-def _col(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _is_number(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, NUMBERS)
 
 
 def _value(c: str) -> Column:
     """A number as the sketch takes it: a double that is not NaN, else null."""
-    x = _col(c).cast("double")
+    x = col(c).cast("double")
     return F.when(~F.isnan(x), x)
 
 
@@ -71,17 +69,17 @@ def summarize(df: DataFrame, columns: Sequence[str] | None = None,
     points = exact_quantiles(df, numbers, quantiles, k) if exact and numbers else {}
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(columns):
-        aggs.append(F.count(_col(c)).alias(f"_c{i}"))
+        aggs.append(F.count(col(c)).alias(f"_c{i}"))
         if c in numbers:
-            x = _col(c).cast("double")
+            x = col(c).cast("double")
             aggs += [F.round(F.avg(x), digits).alias(f"_m{i}"),
                      F.round(F.stddev_samp(x), digits).alias(f"_s{i}"),
                      F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
             if not exact and quantiles:
                 aggs.append(_sketch(_value(c), k).alias(f"_k{i}"))
         else:
-            text = _col(c).cast("string") if isinstance(
-                df.schema[c].dataType, T.AtomicType) else F.to_json(F.struct(_col(c)))
+            text = col(c).cast("string") if isinstance(
+                df.schema[c].dataType, T.AtomicType) else F.to_json(F.struct(col(c)))
             aggs += [F.min(text).alias(f"_lo{i}"), F.max(text).alias(f"_hi{i}")]
     no, text_no = F.lit(None).cast("double"), F.lit(None).cast("string")
 
@@ -207,7 +205,7 @@ def quantile_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
     """``(by…, column_name, n, sketch)``: mergeable sketches, for example one a day."""
     aggs = [a for i, c in enumerate(columns) for a in (
         F.count(_value(c)).alias(f"n{i}"), _sketch(_value(c), k).alias(f"k{i}"))]
-    return df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*[
+    return df.groupBy(*map(col, by)).agg(*aggs).select(*map(col, by), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"),
                  F.col(f"k{i}").alias("sketch")) for i, c in enumerate(columns)])))
 

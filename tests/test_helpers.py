@@ -65,3 +65,34 @@ def test_union_all_needs_input_and_clean_columns_renames(spark):
     df = spark.createDataFrame([(" a ", "x")], "s string, t string")
     out = clean_columns(df, trim=["s"], rename={"s": "state"}, keep=["s"])
     assert out.columns == ["state"] and out.first()["state"] == "a"
+
+
+def test_operators_take_columns_of_any_name(spark):
+    from strata.operators import gold, quality
+    from strata.operators.enrich import fits_broadcast
+    from strata.operators.layout import hot_keys, key_skew
+    from strata.operators.silver import clean, dedup, dedup_report, dedup_window
+    from strata.operators.sketches import distinct_sketches
+    from strata.operators.summary import quantile_sketches, summarize
+    from strata.sources.scans import union_all
+
+    df = spark.createDataFrame([("x", 1, 2.5, None), ("x", 2, 1.5, "v"), ("y", 3, 0.5, " v")],
+                               "`k.k` string, `n``n` int, `v v` double, `t.t` string")
+    got = {r["column_name"]: r["null_count"] for r in quality.null_profile(df).collect()}
+    assert got == {"k.k": 0, "n`n": 0, "v v": 0, "t.t": 1}
+    assert {r["distinct_count"] for r in quality.distinct_profile(df, ["k.k"]).collect()} == {2}
+    assert quality.distinct_profile(df, ["k.k"], exact=False).first()["distinct_count"] == 2
+    assert quality.describe_stats(df, ["v v"], scale=1).first()["max"] == 2.5
+    assert quality.untrimmed_profile(df, ["t.t"]).first()["untrimmed"] == 1
+    for one in (dedup(df, ["k.k"], ["n`n"]), dedup_window(df, ["k.k"], ["n`n"])):
+        assert one.columns == df.columns and sorted(r["n`n"] for r in one.collect()) == [2, 3]
+    assert dedup_report(df, ["k.k"]).first()["removed"] == 1
+    assert gold.count_by(df, ["k.k"], "n`n").collect()[0]["qty"] == 2
+    assert gold.count_non_null_keys(df, ["t.t"]).count() == 2
+    assert gold.stats_by(df, ["k.k"], "v v").count() == 2
+    assert gold.point_lookup(df, **{"t.t": "v"}).count() == 1
+    assert fits_broadcast(df) and clean(df, [("t.t", "a.b", True)]).columns == ["a.b"]
+    assert hot_keys(df, ["k.k", "t.t"], 0.3).count() == 3 and key_skew(df, "k.k", 4).count() >= 1
+    assert distinct_sketches(df).count() == 4 and summarize(df, exact=True).count() == 4
+    assert quantile_sketches(df, ["v v"], by=["k.k"]).count() == 2
+    assert union_all([df, df.drop("t.t")], widen=True).columns == df.columns
