@@ -10,7 +10,8 @@ logistic loss is penalised by the squared change of the linear score under those
 that naming a group, whichever, moves the score alike and neutral mentions stay neutral.
 
 Null, empty and wordless texts get the score of the bias alone. Null labels and ids teach
-nothing. Without both labels among the training rows the score is their smoothed share of
+nothing; of a repeated label the toxic one holds, repeated rows count each. Texts are read
+whole. Other columns are ignored, an empty table gives an empty result. Without both labels among the training rows the score is their smoothed share of
 toxic labels. A word is a run of letters, digits and apostrophes in lower case.
 """
 
@@ -30,14 +31,41 @@ from strata.llm.common import Scratch, documents, texts
 
 MAX_LABELLED, VOCABULARY, MIN_DOCS = 65_536, 512, 3
 RIDGE, SWAP_PENALTY = 0.05, 10.0
-#: Families of identity terms; a term is swapped for the others of its family.
+#: Families of identity terms, of one language, number and gender each; a term is
+#: swapped for the others of its family. A word stands in one family only.
 IDENTITIES = (
+    # English
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
-    ("women", "men"), ("woman", "man"),
+    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
+    ("women", "men"), ("woman", "man"), ("girls", "boys"), ("girl", "boy"),
     ("gay", "straight", "lesbian", "bisexual", "transgender"),
-    ("black", "white", "asian", "latino"),
-    ("immigrant", "native", "refugee"),
+    ("gays", "lesbians", "bisexuals"),
+    ("black", "white", "asian", "latino"), ("blacks", "whites", "asians", "latinos"),
+    ("immigrant", "native", "refugee"), ("immigrants", "natives", "refugees"),
     ("disabled", "blind", "deaf"),
+    # German
+    ("muslimisch", "christlich", "jüdisch", "hinduistisch", "buddhistisch", "atheistisch"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("frauen", "männer"), ("frau", "mann"), ("mädchen", "jungen"),
+    ("schwul", "lesbisch", "bisexuell", "heterosexuell"), ("schwule", "lesben", "heterosexuelle"),
+    ("einwanderer", "flüchtling", "einheimischer"), ("migranten", "flüchtlinge", "einheimische"),
+    ("behindert", "gehörlos", "taub"), ("behinderte", "gehörlose", "blinde"),
+    # French
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("musulmane", "chrétienne", "juive", "hindoue"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("femmes", "hommes"), ("femme", "homme"), ("filles", "garçons"), ("fille", "garçon"),
+    ("homosexuel", "hétérosexuel", "bisexuel"), ("homosexuels", "hétérosexuels", "bisexuels"),
+    ("immigré", "réfugié", "autochtone"), ("immigrés", "réfugiés", "autochtones"),
+    ("handicapé", "aveugle", "sourd"), ("handicapés", "aveugles", "sourds"),
+    # Spanish
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("musulmana", "cristiana", "judía", "atea"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("mujeres", "hombres"), ("mujer", "hombre"), ("chicas", "chicos"), ("chica", "chico"),
+    ("homosexual", "heterosexual"), ("homosexuales", "heterosexuales", "bisexuales"),
+    ("inmigrante", "refugiado", "nativo"), ("inmigrantes", "refugiados", "nativos"),
+    ("discapacitado", "ciego", "sordo"), ("discapacitados", "ciegos", "sordos"),
 )
 _WORD = re.compile(r"[\w']+")
 
@@ -46,9 +74,11 @@ def words(text: str | None) -> set[str]:
     return set(_WORD.findall((text or "").lower()))
 
 
-def swaps(own: set[str], families=IDENTITIES) -> list[set[str]]:
-    """The words of a text with one identity term swapped, for each term and other one."""
-    return [own - {term} | {other} for family in families for term in family if term in own
+def swaps(own: set[str], families=IDENTITIES) -> list[tuple[str, str | None]]:
+    """(word that goes, word that comes) for each identity term of a text and each other one of
+    its family; None comes where the text has that word already."""
+    return [(term, other if other not in own else None)
+            for family in families for term in family if term in own
             for other in family if other != term]
 
 
@@ -101,7 +131,10 @@ def vocabulary(rows: DataFrame, families=IDENTITIES) -> tuple[list[str], int, in
 
 
 def features(rows: DataFrame, vocab: list[str], families=IDENTITIES) -> pd.DataFrame:
-    """Distinct feature sets with their counts: (toxic, own, swapped or null, n)."""
+    """Distinct feature sets with their counts, (toxic, own, null, n), and the swaps by the words
+    that go and come, (-1, word, word or none, n): there are no more of those than pairs in
+    families, however many texts name a group, as a swap moves the linear score by its two
+    words alone."""
     index = {w: i for i, w in enumerate(vocab)}
 
     def encode(batches):
@@ -111,9 +144,8 @@ def features(rows: DataFrame, vocab: list[str], families=IDENTITIES) -> pd.DataF
                 all_words = words(text)
                 own = sorted(index[w] for w in all_words & index.keys())
                 out[(mark, ",".join(map(str, own)), None)] += 1
-                for other in swaps(all_words, families):
-                    swapped = sorted(index[w] for w in other & index.keys())
-                    out[(mark, ",".join(map(str, own)), ",".join(map(str, swapped)))] += 1
+                for gone, come in swaps(all_words, families):
+                    out[(-1, str(index[gone]), str(index[come]) if come else "")] += 1
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in out], pa.int32()), pa.array([k[1] for k in out]),

@@ -205,6 +205,56 @@ def test_toxicity_finds_toxic_words_and_spares_groups(spark):
     assert toxicity.score_toxicity(spark, df, labels.limit(0)).filter("predicted = 0").count() == 0
 
 
+def test_toxicity_fit_is_the_minimum_of_a_dense_objective():
+    """The fit against a dense Newton solve of the same loss, by explicit texts and swaps."""
+    import pandas as pd
+
+    rng, families = np.random.default_rng(3), (("g0", "g1", "g2"), ("h0", "h1"))
+    vocab = ["bad", "ok", "g0", "g1", "g2", "h0", "h1"]
+    docs = []
+    for _ in range(300):
+        own = {w for w, p in zip(vocab, (0.3, 0.6, 0.3, 0.2, 0.0, 0.3, 0.1)) if rng.random() < p}
+        docs.append((own, int(rng.random() < (0.8 if "bad" in own else 0.1) + 0.1 * ("g0" in own))))
+    index = {w: i for i, w in enumerate(vocab)}
+    text = lambda ws: ",".join(str(index[w]) for w in sorted(ws))
+    rows = [(y, text(own), None, 1) for own, y in docs]
+    rows += [(-1, text({a}), text({b} if b else set()), 1) for own, _ in docs
+             for a, b in toxicity.swaps(own, families)]
+    got = toxicity.fit(pd.DataFrame(rows, columns=["toxic", "own", "swapped", "n"]), len(vocab))
+
+    hot = lambda ws: np.array([float(w in ws) for w in vocab] + [1.0])
+    x, y = np.array([hot(own) for own, _ in docs]), np.array([m for _, m in docs], float)
+    moves = np.array([hot(own) - hot(own - {a} | {b}) for own, _ in docs for f in families
+                      for a in f if a in own for b in f if b != a])
+    hold = np.diag([toxicity.RIDGE] * len(vocab) + [1e-6]) + toxicity.SWAP_PENALTY * moves.T @ moves
+    w = np.zeros(len(vocab) + 1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + hold, x.T @ (p - y) + hold @ w)
+    assert np.allclose(got, w, atol=1e-4)
+
+
+def test_toxicity_spares_plurals_and_other_languages(spark):
+    """A group that only toxic texts name, in four languages and in the plural."""
+    named = ["muslims", "jüdisch", "musulmans", "inmigrantes"]
+    other = ["christians", "christlich", "chrétiens", "refugiados"]
+    rows, marks = [], []
+    for i in range(800):
+        bad, k = i % 4 == 0, (i // 4) % 4
+        group = named[k] if bad and i % 3 else ""
+        rows.append((i, f"some text {group} number w{i % 7} {'awful' if bad else 'fine'}", None, None))
+        marks.append((i, 1, int(bad)))
+    df = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    model = toxicity.train(df, labels)
+    free = toxicity.train(df, labels, families=())
+    for a, b in zip(named, other):
+        assert model.score(f"some {a} text") < 0.5 and model.score(f"{a} awful") > 0.5
+        assert abs(model.weight[a] - model.weight[b]) < abs(free.weight[a]) / 2
+    flat = [t for family in toxicity.IDENTITIES for t in family]
+    assert len(flat) == len(set(flat)) and all(toxicity.words(t) == {t} for t in flat)
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     df, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
