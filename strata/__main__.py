@@ -1,7 +1,9 @@
-"""Command line: run the layered flow for one date, or check a Gold snapshot.
+"""Command line: run the layered flow for one date, or look at what a run left.
 
-    python -m strata run   --pages <dir|url> --base <lake> --date 2026-02-02 [--version updated_at]
-    python -m strata check --base <lake> --date 2026-02-02
+    python -m strata run      --pages <dir|url> --base <lake> --date 2026-02-02 [--version updated_at]
+    python -m strata check    --base <lake> --date 2026-02-02     # rules of the published Gold
+    python -m strata validate --base <lake> --date 2026-02-02     # each layer against the one before
+    python -m strata metrics  --base <lake> [--date 2026-02-02]   # what the stages noted
 
 Uses the active (or default) Spark session; on a cluster ship the package to the
 executors and set a shared ``spark.checkpoint.dir``.
@@ -32,6 +34,14 @@ def main(argv: list[str] | None = None) -> int:
     chk = sub.add_parser("check", help="quality report of an existing Gold snapshot")
     chk.add_argument("--base", required=True)
     chk.add_argument("--date", required=True)
+    val = sub.add_parser("validate", help="compare each layer with what the one before makes of it")
+    val.add_argument("--base", required=True)
+    val.add_argument("--date", required=True)
+    val.add_argument("--on-missing-required", default="warn",
+                     choices=["warn", "fail", "quarantine"])
+    met = sub.add_parser("metrics", help="the latest metrics of each date and stage")
+    met.add_argument("--base", required=True)
+    met.add_argument("--date")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
@@ -49,6 +59,26 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     import datetime as dt
 
+    if args.cmd == "metrics":
+        from strata.plans.run_metrics import read_metrics
+
+        day = dt.date.fromisoformat(args.date) if args.date else None
+        for r in read_metrics(spark, args.base, day).orderBy(
+                "snapshot_date", "step", "stage", "metric").toLocalIterator():
+            print(json.dumps({**r.asDict(), "snapshot_date": r["snapshot_date"].isoformat()}))
+        return 0
+    if args.cmd == "validate":
+        from strata.operators.quality import DataQualityError
+        from strata.operators.validate import enforce_layers
+
+        report = MedallionRun(spark, args.base, dt.date.fromisoformat(args.date), spec).validate()
+        try:
+            rows = enforce_layers(report)
+        except DataQualityError as exc:
+            print(json.dumps({"valid": False, "reason": str(exc)}))
+            return 1
+        print(json.dumps({"valid": True, "rows": {r["layer"]: r["rows"] for r in rows}}))
+        return 0
     result = MedallionRun(spark, args.base, dt.date.fromisoformat(args.date), spec)
     rows = quality_stage(result)
     print(json.dumps({"summary": result.summary}))

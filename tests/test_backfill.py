@@ -158,3 +158,22 @@ def test_metrics_of_dates_written_at_the_same_time(spark, base):
         list(pool.map(note, range(24)))
     assert sorted(r["value"] for r in read_metrics(spark, base, latest=False).collect()) == list(range(24))
     assert read_metrics(spark, base).count() == 3
+
+
+def test_command_line_validates_and_prints_metrics(spark, base, capsys):
+    from strata.__main__ import main
+
+    run_medallion(spark, spark.createDataFrame([(r,) for r in GOOD[0]], "record string"), base, DAYS[0])
+    assert main(["validate", "--base", base, "--date", DAYS[0].isoformat()]) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {
+        "valid": True, "rows": {"bronze": 10, "silver": 7, "gold": 3}}
+    assert main(["metrics", "--base", base]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert {"snapshot_date": "2026-05-01", "stage": "gold", "metric": "rows", "value": 3}.items() <= next(
+        x for x in lines if x["stage"] == "gold" and x["metric"] == "rows").items()
+    gold = f"{base}/gold/breweries_stats/snapshot_date={DAYS[0].isoformat()}"
+    short = spark.createDataFrame(spark.read.parquet(gold).limit(1).collect(),
+                                  "state string, brewery_type string, qty bigint")
+    short.write.mode("overwrite").parquet(gold)
+    assert main(["validate", "--base", base, "--date", DAYS[0].isoformat()]) == 1
+    assert "gold.qty" in json.loads(capsys.readouterr().out.splitlines()[-1])["reason"]
