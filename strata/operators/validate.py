@@ -99,7 +99,11 @@ def _differences(layer: Layer, buckets: int, bucket: Column | None) -> DataFrame
     own = [i for i, c in enumerate(layer.columns()) if c in _checked(layer)]
     want = _side(layer.expected, layer, buckets, bucket).selectExpr(
         "bucket", "rows as want_rows", *[f"{s}{i} as want_{s}{i}" for i in own for s in "hl"])
-    return have.join(want, "bucket", "full").selectExpr("*", *[
+    # One row per side and bucket at most, so the larger value is the only one: no join.
+    both = have.unionByName(want, allowMissingColumns=True)
+    both = both.groupBy("bucket").agg(*[F.expr(f"max({c}) as {c}") for c in both.columns
+                                        if c != "bucket"])
+    return both.selectExpr("*", *[
         f"not (h{i} <=> want_h{i} and l{i} <=> want_l{i} and rows <=> want_rows) as d{i}"
         for i in own])
 
