@@ -13,11 +13,11 @@ from strata.functions.columns import col
 def bucket_skew(df: DataFrame, bucket: Column, alias: str = "bucket") -> DataFrame:
     """Rows per logical bucket and each bucket's share of all rows.
 
-    Output ``bucket, n_rows, share``. The total is a scalar subquery over the bucket rows, so
-    no task holds all buckets, however many values ``bucket`` has.
+    Output ``bucket, n_rows, share``. The total is a scalar subquery that counts rows and reads
+    no column, so no task holds all buckets, however many values ``bucket`` has.
     """
     per = df.groupBy(bucket.alias(alias)).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = per.agg(F.sum("n_rows")).scalar()
+    total = df.agg(F.count(F.lit(1))).scalar()
     return per.select(alias, "n_rows", (F.col("n_rows") / total).alias("share"))
 
 
