@@ -7,6 +7,9 @@ Each record comes as its raw JSON text next to its page number, and
   array per file). Spark discovers ``page`` as a partition column, packs the small files into
   tasks and takes the payloads apart in the JVM (``strata.sources.json_arrays``); no Python
   runs. Every page there is gets read, and gaps show in ``page_report``.
+* ``path`` with ``packed``: the same payloads as rows of Parquet files, many pages to a file
+  (``pack_pages``). A folder per page costs the driver a move, a listing and a plan entry for
+  every few records; packed, these costs follow the bytes.
 * ``url``: an HTTP endpoint answering ``?page=<n>&per_page=<k>`` with a JSON array (used only
   where the executors can reach it), as a Spark Python Data Source: executors fetch several pages per
   input partition; options ``retries`` (per page), ``timeout`` and ``min_interval`` (seconds
@@ -173,15 +176,51 @@ class PagedSource(DataSource):
         return PagedReader(self.options)
 
 
+#: Pages in one folder of a packed landing.
+FOLDER_PAGES = 1000
+#: A payload's records lie within a block of two to this power rows of the input.
+_BLOCK_BITS = 12
+
+
+def pack_pages(records: DataFrame) -> DataFrame:
+    """``(first_page, page, payload)`` of ``(page, record)`` rows: a page's records as JSON lines.
+
+    Write it with ``write_partitioned(…, ["first_page"])``, the first page of the folder, and
+    read it with ``packed=True``. Records are JSON objects. A page's records meet in one payload
+    where they lie close to each other in the input, so a page of any size (records without a
+    page number are one) needs no task or row that holds it whole. The blocks follow the order
+    of the input's rows: give a table, not the result of a shuffle, which a retry may reorder.
+    """
+    lines = records.select(
+        "page", F.translate("record", "\r\n", "  ").alias("record"),
+        F.shiftright(F.monotonically_increasing_id(), _BLOCK_BITS).alias("block"))
+    first = F.col("page") - F.pmod(F.col("page"), F.lit(FOLDER_PAGES))
+    return (lines.groupBy("page", "block").agg(F.collect_list("record").alias("records"))
+            .select(first.alias("first_page"), "page",
+                    F.array_join("records", "\n").alias("payload")))
+
+
+def _packed_payloads(spark: SparkSession, path: str) -> DataFrame:
+    fields = T.StructType([T.StructField("page", T.LongType()),
+                           T.StructField("payload", T.StringType())])
+    return (spark.read.schema(fields).parquet(path)
+            .select(F.col("page").cast("int").alias("page"), "payload"))
+
+
 def read_pages(spark: SparkSession, *, path: str | None = None, url: str | None = None,
-               pages: int | None = None, pages_per_partition: int = 16, **options) -> DataFrame:
+               pages: int | None = None, pages_per_partition: int = 16, packed: bool = False,
+               **options) -> DataFrame:
     """Raw ``(page, record)`` rows of a paged source (records as JSON text).
 
     ``pages`` keeps pages up to that number. ``pages_per_partition`` is for URLs; files are
     packed by their sizes (``spark.sql.files.maxPartitionBytes``, ``openCostInBytes``).
+    ``packed`` says that ``path`` holds what ``pack_pages`` made instead of a folder per page.
     """
     if path:
-        found = read_payloads(spark, path.rstrip("/"), "page", T.IntegerType())
+        if packed:
+            found = _packed_payloads(spark, path.rstrip("/"))
+        else:
+            found = read_payloads(spark, path.rstrip("/"), "page", T.IntegerType())
         if pages is not None:
             found = found.filter(F.col("page") <= int(pages))
         return found.select("page", F.explode(records_of(F.col("payload"))).alias("record"))

@@ -6,8 +6,10 @@ import os
 import pytest
 
 from strata.functions.contracts import BRONZE_CONTRACT
+from strata.plans.catalog import q_src_paged
+from strata.sinks.writes import write_partitioned
 from strata.sources.paged import (
-    _split_records, discover_page_count, page_report, read_paged, read_pages,
+    _split_records, discover_page_count, pack_pages, page_report, read_paged, read_pages,
 )
 
 
@@ -159,3 +161,46 @@ def test_http_fetcher_rate_limit(monkeypatch):
         http.fetch(page)
         clock["t"] += 0.05  # each response takes 50 ms
     assert slept == pytest.approx([0.15, 0.15])
+
+
+def test_packed_pages_are_read_like_page_folders(spark, tmp_path):
+    lines = [(n // 3 + 1 if n < 4000 else None, '{"id":%d,"name":"é\\n %d"}' % (n, n))
+             for n in range(5000)] + [(1, '{"id":1,\r\n"name":null}'), (-7, "{}"), (2001, "not json")]
+    spark.createDataFrame(lines, "page bigint, record string").write.parquet(str(tmp_path / "in"))
+    packed = pack_pages(spark.read.parquet(str(tmp_path / "in")))
+    write_partitioned(packed, str(tmp_path / "out"), ["first_page"])
+    df = read_pages(spark, path=str(tmp_path / "out"), packed=True)
+    want = [(p, r.replace("\r", " ").replace("\n", " ")) for p, r in lines]
+    assert df.dtypes == [("page", "int"), ("record", "string")]
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(want, key=repr)
+    few = read_pages(spark, path=str(tmp_path / "out"), packed=True, pages=2)
+    assert sorted(map(tuple, few.collect()), key=repr) == sorted(
+        (w for w in want if w[0] is not None and w[0] <= 2), key=repr)
+    bad = read_paged(spark, BRONZE_CONTRACT, path=str(tmp_path / "out"), packed=True)
+    assert [r["_corrupt_record"] for r in bad.filter("_corrupt_record is not null").collect()] == [
+        "not json"]
+
+
+def test_a_page_of_any_size_is_packed_in_bounded_payloads(spark, tmp_path):
+    spark.range(30000).selectExpr("cast(null as bigint) page", "concat('{\"id\":', id, '}') record") \
+        .coalesce(1).write.parquet(str(tmp_path / "in"))
+    packed = pack_pages(spark.read.parquet(str(tmp_path / "in"))).cache()
+    try:
+        assert packed.selectExpr("max(size(split(payload, '\\n')))").first()[0] <= 4096
+        assert packed.selectExpr("sum(size(split(payload, '\\n')))").first()[0] == 30000
+    finally:
+        packed.unpersist()
+
+
+def test_the_paged_query_writes_no_file_per_page(spark, tmp_path):
+    spark.range(1500).selectExpr(
+        "if(id % 100 = 99, null, id * 200 + 7) o_orderkey", "if(id % 9 = 0, null, id) o_custkey",
+        "if(id % 5 = 0, null, 'ü\"\n') o_orderstatus", "id / 7 o_totalprice",
+        "timestamp_ntz'1995-01-02 03:04:05.678' o_orderdate", "'1-URGENT' o_orderpriority") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    orders = spark.read.parquet(str(tmp_path / "orders.parquet"))
+    twice = orders.unionByName(orders.filter("o_orderkey < 100000"))
+    twice.write.parquet(str(tmp_path / "sf" / "orders.parquet"))
+    got = q_src_paged(spark, str(tmp_path / "sf"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, twice.collect()), key=repr)
+    assert len(got.inputFiles()) < 50  # 1,486 pages
