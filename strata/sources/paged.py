@@ -7,7 +7,7 @@ Each record comes as its raw JSON text next to its page number, and
   array per file). Spark discovers ``page`` as a partition column, packs the small files into
   tasks and takes the payloads apart in the JVM (``strata.sources.json_arrays``); no Python
   runs. Every page there is gets read, and gaps show in ``page_report``.
-* ``path`` with ``packed``: the same payloads as rows of Parquet files, many pages to a file
+* ``path`` with ``packed``: the same payloads as lines of JSON files, many pages to a file
   (``pack_pages``). A folder per page costs the driver a move, a listing and a plan entry for
   every few records; packed, these costs follow the bytes.
 * ``url``: an HTTP endpoint answering ``?page=<n>&per_page=<k>`` with a JSON array (used only
@@ -179,14 +179,15 @@ class PagedSource(DataSource):
 #: Pages in one folder of a packed landing.
 FOLDER_PAGES = 1000
 #: A payload's records lie within a block of two to this power rows of the input.
-_BLOCK_BITS = 12
+_BLOCK_BITS = 10
 
 
 def pack_pages(records: DataFrame) -> DataFrame:
     """``(first_page, page, payload)`` of ``(page, record)`` rows: a page's records as JSON lines.
 
-    Write it with ``write_partitioned(…, ["first_page"])``, the first page of the folder, and
-    read it with ``packed=True``. Records are JSON objects. A page's records meet in one payload
+    Write it with ``write_partitioned(…, ["first_page"], fmt="json")``, the first page of the
+    folder, and read it with ``packed=True`` (a columnar file's reader would hold thousands of
+    whole payloads at once). Records are JSON objects. A page's records meet in one payload
     where they lie close to each other in the input, so a page of any size (records without a
     page number are one) needs no task or row that holds it whole. The blocks follow the order
     of the input's rows: give a table, not the result of a shuffle, which a retry may reorder.
@@ -203,7 +204,8 @@ def pack_pages(records: DataFrame) -> DataFrame:
 def _packed_payloads(spark: SparkSession, path: str) -> DataFrame:
     fields = T.StructType([T.StructField("page", T.LongType()),
                            T.StructField("payload", T.StringType())])
-    return (spark.read.schema(fields).parquet(path)
+    # the parser's default limit on one text is below that of a payload of long records
+    return (spark.read.schema(fields).option("maxStringLen", 2**31 - 1).json(path, mode="FAILFAST")
             .select(F.col("page").cast("int").alias("page"), "payload"))
 
 
